@@ -89,9 +89,7 @@ def debezium_changes(
     )
     if schema_include:
         kind = T.StructType().add("payload", kind)
-    parsed = df.filter(F.col(payload).isNotNull()).withColumn(
-        "_e", F.from_json(payload, kind, {"mode": "FAILFAST"})
-    )
+    parsed = df.withColumn("_e", F.from_json(payload, kind, {"mode": "FAILFAST"}))
     if schema_include:
         parsed = parsed.withColumn("_e", F.col("_e.payload"))
     e = F.col("_e")
@@ -105,8 +103,10 @@ def debezium_changes(
         "source.properties": F.from_json(F.get_json_object(payload, prefix), "map<string,string>"),
     }
     op = e["op"]
+    # A null payload (a tombstone) parses to null and explodes to no row.
     changes = (
-        F.when(op.isin("c", "r"), F.array(_change("+I", 0, e["after"])))
+        F.when(e.isNull(), None)
+        .when(op.isin("c", "r"), F.array(_change("+I", 0, e["after"])))
         .when(op == "u", F.array(_change("-U", 0, e["before"]), _change("+U", 1, e["after"])))
         .when(op == "d", F.array(_change("-D", 0, e["before"])))
         .otherwise(F.raise_error(F.concat(F.lit("unknown change operation "), F.coalesce(op, F.lit("null")))))
@@ -143,14 +143,11 @@ def canal_changes(
         .add("pkNames", T.ArrayType(T.StringType()))
         .add("ts", T.LongType())
     )
-    parsed = df.filter(F.col(payload).isNotNull()).withColumn(
-        "_e", F.from_json(payload, kind, {"mode": "FAILFAST"})
-    )
+    parsed = df.withColumn("_e", F.from_json(payload, kind, {"mode": "FAILFAST"}))
     e = F.col("_e")
     for name, pattern in (("database", database), ("table", table)):
         if pattern is not None:
             parsed = parsed.filter(e[name].rlike(f"^(?:{pattern})$"))
-    parsed = parsed.filter(e["type"].isNull() | (e["type"] != "CREATE"))
 
     def previous(field: T.StructField, now: Column, old: Column) -> Column:
         text = old[field.name]
@@ -167,7 +164,8 @@ def canal_changes(
 
     kind_of = e["type"]
     changes = (
-        F.when(kind_of == "INSERT", F.transform(e["data"], lambda r: _change("+I", 0, r)))
+        F.when(e.isNull() | (kind_of == "CREATE"), None)
+        .when(kind_of == "INSERT", F.transform(e["data"], lambda r: _change("+I", 0, r)))
         .when(kind_of == "UPDATE", F.flatten(F.transform(e["data"], update)))
         .when(kind_of == "DELETE", F.transform(e["data"], lambda r: _change("-D", 0, r)))
         .otherwise(F.raise_error(F.concat(F.lit("unknown change type "), F.coalesce(kind_of, F.lit("null")))))

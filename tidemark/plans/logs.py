@@ -12,9 +12,18 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def events_log(spark: SparkSession, folder: str) -> DataFrame:
+def spread_table(spark: SparkSession, folder: str, name: str, key: str) -> DataFrame:
+    """A table for work that is heavy per row: one whose files make fewer splits than there are
+    cores is shuffled by ``key`` first; a larger one is read as it is."""
+    rows = table(spark, folder, name)
+    cores = spark.sparkContext.defaultParallelism
+    return rows.repartition(cores, key) if rows.rdd.getNumPartitions() < cores else rows
+
+
+def events_log(spark: SparkSession, folder: str, spread: bool = False) -> DataFrame:
     """``events`` as a stream: routed by user, positioned by event id, props as payload."""
-    return table(spark, folder, "events").select(
+    rows = spread_table(spark, folder, "events", "event_id") if spread else table(spark, folder, "events")
+    return rows.select(
         F.pmod("user_id", F.lit(SEGMENTS)).cast("int").alias("segment"),
         F.col("event_id").alias("offset"),
         F.col("user_id").cast("string").alias("routing_key"),
@@ -52,7 +61,7 @@ PHASE = 1 << 40
 
 def _order_phases(spark: SparkSession, folder: str) -> DataFrame:
     """Every order is inserted; open ones get 10 dearer; those of low priority are deleted."""
-    orders = table(spark, folder, "orders")
+    orders = spread_table(spark, folder, "orders", "o_orderkey")
     names = [part.split(" ")[0] for part in ORDER_ROW.split(", ")]
     price = F.col("o_totalprice").cast(PRICE)
     dearer = (price + 10).cast(PRICE)
@@ -69,17 +78,14 @@ def _order_phases(spark: SparkSession, folder: str) -> DataFrame:
             F.lit(number).alias("phase"), F.lit(op).alias("op"), before.alias("before"), after.alias("after")
         )
 
-    phases = F.filter(
-        F.array(
-            phase(0, "c", nothing, first),
-            F.when(is_open, phase(1, "u", first, last)),
-            F.when(is_low, phase(2, "d", last, nothing)),
-        ),
-        lambda p: p.isNotNull(),
+    phases = F.array(
+        phase(0, "c", nothing, first),
+        F.when(is_open, phase(1, "u", first, last)),
+        F.when(is_low, phase(2, "d", last, nothing)),
     )
     day = F.unix_date(F.col("o_orderdate").cast("date")).cast("bigint") * 86_400_000
     exploded = orders.select("o_orderkey", day.alias("day"), F.explode(phases).alias("p"))
-    return exploded.select(
+    return exploded.filter(F.col("p").isNotNull()).select(
         (F.col("p.phase") * F.lit(PHASE) + F.col("o_orderkey")).alias("offset"),
         (F.col("day") + F.col("p.phase") * 1000).alias("ts_ms"),
         "p.op",

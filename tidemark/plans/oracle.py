@@ -119,7 +119,7 @@ def _schema_rows() -> str:
 
 
 def _per_key(key: str) -> str:
-    return f"SELECT {key} AS routing_key, 1 AS n_segments, count(*) AS n_events FROM events GROUP BY 1"
+    return f"SELECT {key} AS routing_key, CAST(1 AS BIGINT) AS n_segments, count(*) AS n_events FROM events GROUP BY 1"
 
 
 ORACLE = {
@@ -238,12 +238,12 @@ ORACLE = {
     "ordered_write": f"""WITH {JITTERED} SELECT routing_key, "offset" AS event_id, event_time,
         CAST(row_number() OVER (PARTITION BY routing_key ORDER BY event_time, "offset") AS INTEGER) AS "position"
         FROM jittered""",
-    "sink_at_least_once": "SELECT event_id, 2 AS copies FROM events",
+    "sink_at_least_once": "SELECT event_id, CAST(2 AS BIGINT) AS copies FROM events",
     "sink_exactly_once": "SELECT event_id, event_type, props AS payload FROM events",
     "commit_replay": f"""SELECT 'daily' AS query_id,
         CAST(date_diff('day', DATE '1970-01-01', CAST(ts AS DATE)) AS BIGINT) AS batch_id, count(*) AS n_rows
         FROM events WHERE ts >= TIMESTAMP '{START_AT}' GROUP BY 2""",
-    "delivery_audit": """SELECT 'missing' AS issue, count(*) AS n_values, 0 AS n_copies FROM events
+    "delivery_audit": """SELECT 'missing' AS issue, count(*) AS n_values, CAST(0 AS BIGINT) AS n_copies FROM events
         WHERE event_type = 'purchase'
         UNION ALL SELECT 'duplicate', count(*), 2 * count(*) FROM events WHERE event_type = 'error'
         UNION ALL SELECT 'extra', count(DISTINCT user_id), count(DISTINCT user_id) FROM events""",

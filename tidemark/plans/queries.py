@@ -20,6 +20,7 @@ from tidemark.plans.logs import (
     jittered_log,
     orders_canal,
     orders_debezium,
+    spread_table,
     table,
 )
 from tidemark.settings import shared_folder
@@ -146,14 +147,14 @@ def pointer_fetch(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def decode_json(spark: SparkSession, folder: str) -> DataFrame:
-    return events.decode_json(events_log(spark, folder), "k int", keep=["segment", "offset"])
+    return events.decode_json(events_log(spark, folder, spread=True), "k int", keep=["segment", "offset"])
 
 
 def decode_json_lenient(spark: SparkSession, folder: str) -> DataFrame:
     """Error events arrive with their last character cut off and are skipped."""
     text = F.col("payload")
     torn = F.substring(text, F.lit(1), F.length(text) - 1)
-    log = events_log(spark, folder).withColumn(
+    log = events_log(spark, folder, spread=True).withColumn(
         "payload", F.when(F.col("event_type") == "error", torn).otherwise(text)
     )
     return events.decode_json(log, "k int", keep=["segment", "offset"], ignore_parse_errors=True)
@@ -186,7 +187,7 @@ def decode_text_int(spark: SparkSession, folder: str) -> DataFrame:
 
 def _batched_events(spark: SparkSession, folder: str) -> DataFrame:
     """Each event as a JSON array of none to three readings, depending on its user."""
-    log = events_log(spark, folder)
+    log = events_log(spark, folder, spread=True)
     user = F.col("routing_key").cast("bigint")
     k = F.get_json_object("payload", "$.k").cast("bigint")
 
@@ -267,7 +268,7 @@ def count_distinct(spark: SparkSession, folder: str) -> DataFrame:
 def word_count_window(spark: SparkSession, folder: str) -> DataFrame:
     """Words of the documents per 10 s window; one document arrives per second."""
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    documents = table(spark, folder, "documents").select(
+    documents = spread_table(spark, folder, "documents", "doc_id").select(
         (epoch + F.make_dt_interval(secs=F.col("doc_id"))).alias("ts"),
         F.explode(F.split("text", "[ \\t\\r\\n]+")).alias("word"),
     )
