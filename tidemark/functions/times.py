@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Session zones in which a zone-less time and a time name the same microsecond.
+_UTC_NAMES = ("UTC", "Etc/UTC", "GMT", "Z", "+00:00")
+
 
 def micros(df: DataFrame, column: str) -> Column:
     """Microseconds since the epoch, increasing with time whatever the session time zone is."""
@@ -14,6 +17,8 @@ def micros(df: DataFrame, column: str) -> Column:
     if isinstance(kind, T.TimestampType):
         return F.unix_micros(value)
     if isinstance(kind, T.TimestampNTZType):
+        if df.sparkSession.conf.get("spark.sql.session.timeZone") in _UTC_NAMES:
+            return F.unix_micros(value.cast("timestamp"))
         # Built from the fields: a cast to TIMESTAMP would fold an hour in zones with summer time.
         whole = F.unix_date(value.cast("date")).cast("bigint") * 86_400
         clock = F.hour(value) * 3_600 + F.minute(value) * 60

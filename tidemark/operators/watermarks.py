@@ -19,15 +19,20 @@ def lower_bounds(log: DataFrame, epoch: str, time: str) -> DataFrame:
     """Rows ``epoch, bound, in_force``: per epoch the lower bound after it, and the one during it.
 
     The bound is the least over segments of the newest event time each delivered in the epoch, and
-    never falls; ``in_force`` is the bound of the epochs before, null in the first.
+    never falls; ``in_force`` is the bound of the epochs before, null in the first. The log is
+    folded to one row per epoch in one pass and stored; the rest works on that table.
     """
+    return _lower_bounds(log, epoch, time)[0]
+
+
+def _lower_bounds(log: DataFrame, epoch: str, time: str) -> tuple[DataFrame, int]:
+    """As :func:`lower_bounds`, with the number of epochs."""
     times = log.select(epoch, "segment", F.col(time).alias("_time")).filter(F.col("_time").isNotNull())
     newest = times.groupBy(epoch, "segment").agg(F.max("_time").alias("_newest"))
-    per_epoch = newest.groupBy(epoch).agg(F.min("_newest").alias("_bound"))
-    bound = F.col("_bound")
-    grown = running(per_epoch, epoch, bound, "bound", how="max")
-    grown = running(grown, epoch, bound, "in_force", how="max", inclusive=False)
-    return grown.select(epoch, "bound", "in_force")
+    per_epoch = stored(newest.groupBy(epoch).agg(F.min("_newest").alias("_bound")), "epochs")
+    count = per_epoch.count()
+    grown = running(per_epoch, epoch, F.col("_bound"), "in_force", how="max", inclusive=False, rows_known=count)
+    return grown.select(epoch, F.greatest("_bound", "in_force").alias("bound"), "in_force"), count
 
 
 def advances(bounds: DataFrame, epoch: str) -> DataFrame:
@@ -45,33 +50,46 @@ def noted_marks(log: DataFrame, epoch: str, time: str, bounds: DataFrame | None
     bounds = lower_bounds(log, epoch, time) if bounds is None else bounds
     totals = log.groupBy(epoch).agg(F.max(time).alias("_newest"), F.count(F.lit(1)).alias("n_rows"))
     eligible = totals.join(bounds, epoch).filter(F.col("_newest") >= F.col("in_force"))
-    noted = running(eligible, epoch, F.col("in_force"), "_noted", how="max", inclusive=False)
+    eligible = stored(eligible, "marks")
+    noted = running(
+        eligible, epoch, F.col("in_force"), "_noted", how="max", inclusive=False, rows_known=eligible.count()
+    )
     grew = F.col("_noted").isNull() | (F.col("in_force") > F.col("_noted"))
     return noted.filter(grew).select(epoch, F.col("in_force").alias("watermark"), "n_rows")
 
 
+# Widths of the blocks that intervals are filed under grow by this power of two: fewer looks per
+# row for a wider step, at the price of more intervals in a block.
+LEVEL_STEP = 3
+
+
 def _level(length: Column) -> Column:
-    """The least n with ``2**n >= length``, for lengths from 1."""
-    return F.when(length > 1, F.length(F.bin(length - 1))).otherwise(0)
+    """The least multiple n of ``LEVEL_STEP`` with ``2**n >= length``, for lengths from 1."""
+    exact = F.when(length > 1, F.length(F.bin(length - 1))).otherwise(0)
+    return (F.ceil(exact / LEVEL_STEP) * LEVEL_STEP).cast("int")
 
 
 def first_at_or_after(df: DataFrame, value: str, steps: DataFrame, out: str) -> DataFrame:
     """Add the ``label`` of the first step whose ``mark`` is at or above ``value``; null past the last.
 
-    ``steps`` has integer columns ``label`` and ``mark``, both strictly ascending. Each step owns
-    the interval from the mark before it (excluded) to its own. An interval is filed under the one
-    or two blocks it touches, a block being as wide as the interval's length rounded up to a power
-    of two. A row looks once for each width in use; intervals do not overlap, so it meets at most
-    three of them per look, however densely the marks lie.
+    ``steps`` has integer columns ``label``, ``mark`` and ``previous``: the mark of the step before,
+    null in the first; labels and marks are strictly ascending. Each step owns the interval from
+    ``previous`` (excluded) to its own mark. An interval is filed under the one or two blocks it
+    touches, a block being at least as wide as the interval. A row looks once for each width in
+    use; intervals do not overlap, so it meets a bounded number of them per look, however densely
+    the marks lie.
     """
-    edge = steps.agg(F.min("mark").alias("low"), F.max("mark").alias("high"), F.min("label").alias("label"))
-    edge = edge.first()
+    level = _level(F.col("mark") - F.col("previous"))
+    edge = steps.agg(
+        F.min("mark").alias("low"),
+        F.max("mark").alias("high"),
+        F.min("label").alias("label"),
+        F.array_sort(F.collect_set(level)).alias("levels"),
+    ).first()
+    spans = steps.filter(F.col("previous").isNotNull()).withColumn("_level", level)
     if edge["low"] is None:
         return df.withColumn(out, F.lit(None).cast(steps.schema["label"].dataType))
-    spans = running(steps, "label", F.col("mark"), "_from", how="max", inclusive=False)
-    spans = spans.filter(F.col("_from").isNotNull())
-    spans = spans.withColumn("_level", _level(F.col("mark") - F.col("_from")))
-    levels = sorted(r["_level"] for r in spans.select("_level").distinct().collect())
+    levels = edge["levels"]
     v = F.col(value)
     first = F.when(v <= edge["low"], F.lit(edge["label"]))
     if not levels:
@@ -81,9 +99,9 @@ def first_at_or_after(df: DataFrame, value: str, steps: DataFrame, out: str) ->
         return F.call_function("shiftright", column, level.cast("int"))
 
     filed = spans.select(
-        F.col("label").alias("_label"), "_from", F.col("mark").alias("_to"), "_level",
+        F.col("label").alias("_label"), F.col("previous").alias("_from"), F.col("mark").alias("_to"), "_level",
         F.explode(
-            F.sequence(block(F.col("_from") + 1, F.col("_level")), block(F.col("mark"), F.col("_level")))
+            F.sequence(block(F.col("previous") + 1, F.col("_level")), block(F.col("mark"), F.col("_level")))
         ).alias("_block"),
     )
     inside = (v > edge["low"]) & (v <= edge["high"])
@@ -109,10 +127,12 @@ def replay(log: DataFrame, epoch: str, time: str) -> DataFrame:
     One row per epoch, so it is small beside the log; it is written once and its true size decides
     whether later joins broadcast it.
     """
-    bounds = lower_bounds(log, epoch, time)
+    bounds, count = _lower_bounds(log, epoch, time)
     grew = F.col("in_force").isNull() | (F.col("bound") > F.col("in_force"))
-    turns = running(bounds, epoch, grew.cast("bigint"), "turn", how="sum", inclusive=False)
-    return stored(turns, "epochs")
+    turns = running(
+        bounds, epoch, grew.cast("bigint"), "turn", how="sum", inclusive=False, rows_known=count
+    )
+    return stored(turns, "turns")
 
 
 def mark_late(
@@ -127,12 +147,14 @@ def mark_late(
     epochs = replay(log, epoch, time) if epochs is None else epochs
     grew = F.col("in_force").isNull() | (F.col("bound") > F.col("in_force"))
     steps = epochs.filter(grew).select(
-        (F.col("turn") + 1).alias("label"), micros(epochs, "bound").alias("mark")
+        (F.col("turn") + 1).alias("label"),
+        micros(epochs, "bound").alias("mark"),
+        micros(epochs, "in_force").alias("previous"),
     )
     rows = log.withColumn("_t", micros(log, time))
     rows = rows.join(epochs.select(epoch, F.col("turn").alias("_turn")), epoch, "left")
 
-    timed = rows.filter(F.col("_t").isNotNull()).select(key, "_turn", "_t")
+    timed = rows.filter(F.col(time).isNotNull()).select(key, "_turn", "_t")
     timed = first_at_or_after(timed, "_t", steps, "_reached")
     # An event fires when the watermark reaches its time, and never in the turn it arrives in.
     fires = F.when(F.col("_reached").isNotNull(), F.greatest(F.col("_turn") + 1, F.col("_reached")))

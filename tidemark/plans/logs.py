@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SEGMENTS = 4
@@ -39,7 +39,7 @@ def jittered_log(spark: SparkSession, folder: str) -> DataFrame:
 
     An epoch is an hour of arrival.
     """
-    log = events_log(spark, folder)
+    log = events_log(spark, folder, spread=True)
     hours = F.pmod(F.col("offset") * 37, F.lit(100)).cast("int")
     arrived = F.unix_date(F.col("event_time").cast("date")).cast("bigint") * 24 + F.hour("event_time")
     return log.withColumns(
@@ -50,6 +50,11 @@ def jittered_log(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def ten_days(hours: Column) -> Column:
+    """Ten-day epochs of arrival, from hours since 1970."""
+    return F.floor(hours / 240)
+
+
 PRICE = "decimal(12,2)"
 ORDER_ROW = (
     "o_orderkey bigint, o_custkey bigint, o_orderstatus string, "

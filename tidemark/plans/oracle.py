@@ -21,7 +21,7 @@ jittered AS (
   FROM log)"""
 
 # The lower bound after each epoch and the one in force during it.
-BOUNDS = f"""{JITTERED},
+_BOUNDS = """,
 newest AS (SELECT epoch, segment, max(event_time) AS newest FROM jittered GROUP BY ALL),
 per_epoch AS (SELECT epoch, min(newest) AS least FROM newest GROUP BY epoch),
 bounds AS (
@@ -29,6 +29,8 @@ bounds AS (
          max(least) OVER (ORDER BY epoch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS in_force
   FROM per_epoch)"""
 
+BOUNDS = JITTERED + _BOUNDS
+
 
 def _at(moment: str, log: str = "log") -> str:
     """The cut of a log at a moment."""
@@ -60,6 +62,25 @@ READINGS = """readings AS (
          CAST(json_extract_string(props, '$.k') AS BIGINT) + i AS k
   FROM events, range(3) AS r(i) WHERE i < user_id % 4)"""
 
+# fire: the first turn, newer than the one of arrival, whose watermark has reached the event time.
+KEPT = """
+turns AS (SELECT epoch, in_force,
+          coalesce(sum(CASE WHEN in_force IS NULL OR bound > in_force THEN 1 ELSE 0 END) OVER
+          (ORDER BY epoch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS turn FROM bounds),
+marks AS (SELECT turn, min(in_force) AS in_force FROM turns WHERE turn > 0 GROUP BY turn),
+arrivals AS (SELECT j.*, t.turn FROM jittered j JOIN turns t USING (epoch)),
+reached AS (SELECT event_time, (SELECT min(m.turn) FROM marks m WHERE m.in_force >= d.event_time) AS turn
+            FROM (SELECT DISTINCT event_time FROM arrivals) d),
+fired AS (SELECT a.routing_key, a.event_time, greatest(a.turn + 1, r.turn) AS fire
+          FROM arrivals a JOIN reached r USING (event_time) WHERE r.turn IS NOT NULL),
+kept AS (SELECT a.* FROM arrivals a WHERE NOT EXISTS (
+         SELECT 1 FROM fired f WHERE f.routing_key = a.routing_key AND f.fire <= a.turn
+         AND f.event_time >= a.event_time))"""
+
+PLACE = """CAST(row_number() OVER (PARTITION BY routing_key ORDER BY event_time, "offset") AS INTEGER)"""
+
+TEN_DAYS = JITTERED.replace("// 3600 AS epoch", "// 864000 AS epoch") + _BOUNDS
+
 COPIED = "SELECT event_id, ts AS event_time, event_type, props AS payload FROM events"
 
 CHANGED = """SELECT "offset", row_kind, sub_order, o_orderkey, o_custkey, o_orderstatus, o_totalprice,
@@ -218,22 +239,8 @@ ORACLE = {
           SELECT *, max(watermark) OVER (ORDER BY epoch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
                  AS noted FROM eligible)
         WHERE noted IS NULL OR watermark > noted""",
-    # fire: the first epoch under a watermark, newer than the one of arrival, that has reached the time.
-    "late_drop_replay": f"""WITH {BOUNDS},
-        turns AS (SELECT epoch, in_force,
-                  coalesce(sum(CASE WHEN in_force IS NULL OR bound > in_force THEN 1 ELSE 0 END) OVER
-                  (ORDER BY epoch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS turn FROM bounds),
-        marks AS (SELECT turn, min(in_force) AS in_force FROM turns WHERE turn > 0 GROUP BY turn),
-        arrivals AS (SELECT j.*, t.turn FROM jittered j JOIN turns t USING (epoch)),
-        reached AS (SELECT event_time, (SELECT min(m.turn) FROM marks m WHERE m.in_force >= d.event_time) AS turn
-                    FROM (SELECT DISTINCT event_time FROM arrivals) d),
-        fired AS (SELECT a.routing_key, a.event_time, greatest(a.turn + 1, r.turn) AS fire
-                  FROM arrivals a JOIN reached r USING (event_time) WHERE r.turn IS NOT NULL),
-        kept AS (SELECT a.* FROM arrivals a WHERE NOT EXISTS (
-                 SELECT 1 FROM fired f WHERE f.routing_key = a.routing_key AND f.fire <= a.turn
-                 AND f.event_time >= a.event_time))
-        SELECT routing_key, "offset", event_time, CAST(row_number() OVER
-          (PARTITION BY routing_key ORDER BY event_time, "offset") AS INTEGER) AS "position" FROM kept""",
+    "late_drop_replay": f"""WITH {BOUNDS}, {KEPT}
+        SELECT routing_key, "offset", event_time, {PLACE} AS "position" FROM kept""",
     "append_roundtrip": COPIED,
     "ordered_write": f"""WITH {JITTERED} SELECT routing_key, "offset" AS event_id, event_time,
         CAST(row_number() OVER (PARTITION BY routing_key ORDER BY event_time, "offset") AS INTEGER) AS "position"
@@ -252,6 +259,8 @@ ORACLE = {
         SELECT epoch_us(window_end) AS window_end_us, event_type, count(*) AS n FROM w
         WHERE window_end <= (SELECT date_trunc('milliseconds', max(ts)) FROM events) GROUP BY ALL""",
     "streaming_resume": COPIED,
+    "event_time_order_stream": f"""WITH {TEN_DAYS}, {KEPT}
+        SELECT routing_key, "offset" AS event_id, event_time, {PLACE} AS "position" FROM kept""",
     "catalog_tables": """SELECT DISTINCT lang AS database_name, source AS table_name FROM documents
         WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)""",
     "schema_latest": """WITH versions AS (

@@ -22,6 +22,7 @@ from tidemark.plans.logs import (
     orders_debezium,
     spread_table,
     table,
+    ten_days,
 )
 from tidemark.settings import shared_folder
 from tidemark.sources import cuts, scan
@@ -29,6 +30,7 @@ from tidemark.sources.catalog import Catalog, latest_versions, visible_tables
 from tidemark.sources.layout import StreamTable
 from tidemark.sources.names import StreamName
 from tidemark.streaming import sinks
+from tidemark.streaming.ordering import EventTimeOrdering
 
 # The moments at which cuts are taken.
 TRUNCATED_AT = "2024-01-05 00:00:00"
@@ -503,6 +505,34 @@ def streaming_resume(spark: SparkSession, folder: str) -> DataFrame:
     return target.read().select("event_id", "event_time", "event_type", "payload")
 
 
+def event_time_order_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """Event-time ordering of a live stream to which ten days are appended at a time.
+
+    Positions are those of the stored offsets. A batch of the stream is an epoch.
+    """
+    row = "event_id bigint, event_time timestamp_ntz, shard int"
+    source, target = _new_stream(spark, "arrivals", row), _new_stream(spark, "in_order", row)
+    log = jittered_log(spark, folder).select(
+        F.col("offset").alias("event_id"), "event_time", F.col("segment").alias("shard"), "routing_key",
+        ten_days(F.col("epoch")).alias("epoch"),
+    )
+    sink = sinks.StreamSink(
+        target, "ordering", sinks.EXACTLY_ONCE, key="routing_key", order=["event_time", "event_id"]
+    )
+    ordered = EventTimeOrdering(
+        sink, shared_folder(spark, "ordering"), "routing_key", "event_time", segment="shard"
+    )
+    checkpoint = shared_folder(spark, "query")
+    for epoch in [r["epoch"] for r in log.select("epoch").distinct().orderBy("epoch").collect()]:
+        sinks.append(source, log.filter(F.col("epoch") == epoch), key="routing_key")
+        query = source.tail().writeStream.foreachBatch(ordered.write)
+        query = query.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        query.awaitTermination()
+    ordered.finish()
+    ranked = ordering.with_position(target.read(), "routing_key", "offset", "offset")
+    return ranked.select("routing_key", "event_id", "event_time", "position")
+
+
 # -- catalog --------------------------------------------------------------------------------
 
 
@@ -597,6 +627,7 @@ QUERIES = {
         delivery_audit,
         streaming_parity,
         streaming_resume,
+        event_time_order_stream,
         catalog_tables,
         schema_latest,
         schema_to_json,
