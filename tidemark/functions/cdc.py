@@ -126,6 +126,8 @@ def canal_changes(
 ) -> DataFrame:
     """Changelog rows of Canal JSON: ``data[]`` holds the rows, ``old[]`` the changed fields.
 
+    Field values come as strings and are cast.
+
     ``database`` and ``table`` are regular expressions that the whole name must match. A field
     that ``old`` does not name has not changed.
     """
@@ -134,7 +136,7 @@ def canal_changes(
     texts = T.MapType(T.StringType(), T.StringType())
     kind = (
         T.StructType()
-        .add("data", T.ArrayType(row))
+        .add("data", T.ArrayType(texts))
         .add("old", T.ArrayType(texts))
         .add("type", T.StringType())
         .add("database", T.StringType())
@@ -149,25 +151,26 @@ def canal_changes(
         if pattern is not None:
             parsed = parsed.filter(e[name].rlike(f"^(?:{pattern})$"))
 
-    def previous(field: T.StructField, now: Column, old: Column) -> Column:
-        text = old[field.name]
+    def value(field: T.StructField, texts: Column) -> Column:
+        text = texts[field.name]
         if isinstance(field.dataType, (T.StructType, T.ArrayType, T.MapType)):
-            was = F.from_json(text, field.dataType)
-        else:
-            was = text.cast(field.dataType)
-        return F.when(F.map_contains_key(old, field.name), was).otherwise(now[field.name]).alias(field.name)
+            return F.from_json(text, field.dataType, {"mode": "FAILFAST"})
+        return F.unbase64(text) if isinstance(field.dataType, T.BinaryType) else text.cast(field.dataType)
+
+    def image(texts: Column) -> Column:
+        return F.struct(*[value(f, texts).alias(f.name) for f in row.fields])
 
     def update(now: Column, i: Column) -> Column:
-        old = e["old"][i]
-        before = F.struct(*[previous(f, now, old) for f in row.fields])
-        return F.array(_change("-U", 0, before), _change("+U", 1, now))
+        before = F.map_concat(F.map_filter(now, lambda k, _: ~F.map_contains_key(old[i], k)), old[i])
+        return F.array(_change("-U", 0, image(before)), _change("+U", 1, image(now)))
 
+    old = e["old"]
     kind_of = e["type"]
     changes = (
         F.when(e.isNull() | (kind_of == "CREATE"), None)
-        .when(kind_of == "INSERT", F.transform(e["data"], lambda r: _change("+I", 0, r)))
+        .when(kind_of == "INSERT", F.transform(e["data"], lambda r: _change("+I", 0, image(r))))
         .when(kind_of == "UPDATE", F.flatten(F.transform(e["data"], update)))
-        .when(kind_of == "DELETE", F.transform(e["data"], lambda r: _change("-D", 0, r)))
+        .when(kind_of == "DELETE", F.transform(e["data"], lambda r: _change("-D", 0, image(r))))
         .otherwise(F.raise_error(F.concat(F.lit("unknown change type "), F.coalesce(kind_of, F.lit("null")))))
     )
     sources = {

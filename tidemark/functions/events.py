@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -74,7 +75,8 @@ def decode_json(
 ) -> DataFrame:
     """One row per JSON event: the ``keep`` columns, then the declared fields.
 
-    A malformed event fails the query, or is dropped when ``ignore_parse_errors`` is set. Null
+    Numbers and booleans may come as JSON strings. A malformed event fails the query. With
+    ``ignore_parse_errors`` it is dropped, and a field that does not fit its type is null. Null
     payloads carry no row and are dropped.
     """
     if ignore_parse_errors and fail_on_missing_field:
@@ -86,17 +88,37 @@ def decode_json(
         first = F.coalesce(*_missing(F.col(payload), fields))
         refuse = F.raise_error(F.concat(F.lit("missing field "), first))
         rows = rows.withColumn(payload, F.when(first.isNotNull(), refuse).otherwise(F.col(payload)))
+    wide = T.StructType([*fields.fields, T.StructField(_CORRUPT, T.StringType())])
+    typed = F.from_json(payload, wide, options | {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
+    parsed = rows.select(*keep, F.col(payload).alias("_text"), typed.alias("_typed"))
+    # The second, slower parse runs only for the events that the first could not take as they are.
+    fits = F.col("_typed").isNotNull() & F.col(f"_typed.{_CORRUPT}").isNull()
+    taken = F.struct(*[F.col("_typed").getField(n).alias(n) for n in fields.names])
+    mode = "PERMISSIVE" if ignore_parse_errors else "FAILFAST"
+    loose = F.from_json("_text", _as_text(fields), options | {"mode": mode})
+    loose = loose.try_cast(fields) if ignore_parse_errors else loose.cast(fields)
+    row = F.when(fits, taken)
     if ignore_parse_errors:
-        wide = T.StructType([*fields.fields, T.StructField(_CORRUPT, T.StringType())])
-        options |= {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
-        parsed = rows.select(*keep, F.from_json(payload, wide, options).alias("_row"))
-        parsed = parsed.filter(F.col(f"_row.{_CORRUPT}").isNull())
+        row = row.when(F.json_object_keys("_text").isNotNull(), loose)
+        # Exploding at most one row drops the others without parsing twice, as a filter would.
+        parsed = parsed.select(*keep, F.explode(F.when(row.isNotNull(), F.array(row))).alias("_row"))
     else:
-        options |= {"mode": "FAILFAST"}
-        parsed = rows.select(*keep, F.from_json(payload, fields, options).alias("_row"))
+        blank = F.raise_error(F.lit("a JSON event is blank"))
+        parsed = parsed.select(*keep, row.otherwise(F.coalesce(loose, blank)).alias("_row"))
     return parsed.select(*keep, *[F.col("_row").getField(n).alias(n) for n in fields.names])
 
 
+def _as_text(kind: T.DataType) -> T.DataType:
+    """The same type with numbers and booleans as strings."""
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, _as_text(f.dataType)) for f in kind.fields])
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(_as_text(kind.elementType))
+    if isinstance(kind, T.MapType):
+        return T.MapType(kind.keyType, _as_text(kind.valueType))
+    return T.StringType() if isinstance(kind, (T.NumericType, T.BooleanType)) else kind
+
+
 def decode_json_rows(
     df: DataFrame, element: T.StructType | str, *, payload: str = "payload", keep: Sequence[str] = ()
 ) -> DataFrame:
@@ -125,7 +147,7 @@ def assign_timestamps(
     )
 
     def step(done: Column, element: Column) -> Column:
-        previous = F.element_at(done, -1)["ts"]
+        previous = F.try_element_at(done, F.lit(-1))["ts"]
         stamped = F.struct(element.alias("element"), extract(element, previous).cast("bigint").alias("ts"))
         return F.concat(done, F.array(stamped))
 
@@ -188,13 +210,14 @@ def map_from_nullable(entries: Column, mode: str = "FAIL", literal: str = "null"
     raise ValueError("mode is one of FAIL, DROP, LITERAL")
 
 
-def avro_available(spark) -> bool:
+def avro_available(spark: SparkSession) -> bool:
     """Whether the optional spark-avro module is on the class path."""
+    from pyspark.sql.avro.functions import to_avro
+
     try:
-        spark.sparkContext._jvm.java.lang.Class.forName("org.apache.spark.sql.avro.AvroUtils")
-    except Exception:  # noqa: BLE001 - py4j wraps ClassNotFoundException
+        return bool(spark.range(1).select(to_avro("id")).columns)
+    except AnalysisException:
         return False
-    return True
 
 
 def decode_avro(payload: Column, schema_text: str) -> Column:

@@ -6,6 +6,9 @@ control files only.
 
 from __future__ import annotations
 
+import os
+from urllib.parse import urlparse
+
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
@@ -18,6 +21,7 @@ class Files:
         self._bytes = jvm.java.io.ByteArrayOutputStream
         conf = spark.sparkContext._jsc.hadoopConfiguration()
         self._fs = self._path(root).getFileSystem(conf)
+        self._local = self._fs.getUri().getScheme() == "file"
 
     def exists(self, path: str) -> bool:
         return self._fs.exists(self._path(path))
@@ -41,7 +45,20 @@ class Files:
             stream.close()
 
     def create(self, path: str, text: str) -> bool:
-        """Write a new file; False when the name is taken."""
+        """Write a new file; False when the name is taken.
+
+        Of several writers exactly one succeeds where the file system creates files atomically.
+        Hadoop's wrapper of the local one does not, so there the file is opened exclusively.
+        """
+        if self._local:
+            name = urlparse(path).path
+            os.makedirs(os.path.dirname(name), exist_ok=True)
+            try:
+                with open(name, "x", encoding="utf-8") as file:
+                    file.write(text)
+            except FileExistsError:
+                return False
+            return True
         try:
             stream = self._fs.create(self._path(path), False)
         except Py4JJavaError as error:
