@@ -29,7 +29,7 @@ def test_position_in_slices_matches_brute_force(spark, seed, spread):
         for arrival in range(3_000)
     ]
     df = spark.createDataFrame(rows, "k string, t bigint, a bigint")
-    got = ordering.with_position(df, "k", "t", "a", rows_per_slice=100)
+    got = ordering.with_position(df, "k", "t", "a", rows_per_slice=20 if seed == 1 else 100)
     assert {(r.k, r.a): r.position for r in got.collect()} == brute_positions(rows)
 
 
@@ -44,10 +44,14 @@ def test_slices_stay_small_with_a_hot_key_and_a_hot_time(spark):
     assert sizes <= 400
 
 
-def test_step_of(spark):
-    bounds = [2, 3, 5, 8, 13, 21]
-    rows = spark.range(25).select("id", ordering.step_of(F.col("id"), bounds).alias("n")).collect()
-    assert all(r.n == sum(b < r.id for b in bounds) for r in rows)
+@pytest.mark.parametrize("count", [1, 6, 63, 64, 65, 500, 4095])
+def test_step_of(spark, count):
+    rng = random.Random(count)
+    bounds = sorted(rng.sample(range(10_000), count))
+    # Far from zero, where a double could not tell neighbours apart.
+    far = 1 << 61
+    rows = spark.range(-1, 10_001).select("id", ordering.step_of(F.col("id") + far, [b + far for b in bounds]).alias("n"))
+    assert all(r.n == sum(b < r.id for b in bounds) for r in rows.collect())
 
 
 def test_range_order_splits_a_hot_key(spark):

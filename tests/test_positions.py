@@ -88,8 +88,8 @@ def test_empty_cut(spark):
 
 def test_head_tail_and_backlog(spark):
     log = log_of(spark, [(0, 5, "abc", "k"), (0, 9, "é", "k"), (1, 2, "x", "k")])
-    assert cuts.load_cut(cuts.head_positions(log)) == {0: 5, 1: 2}
-    assert cuts.load_cut(cuts.tail_positions(log)) == {0: 10, 1: 3}
+    assert cuts.load_cut(log, cuts.head()) == {0: 5, 1: 2}
+    assert cuts.load_cut(log, cuts.tail()) == {0: 10, 1: 3}
     left = cuts.backlog(log, Cut({0: 6, 1: 3})).first()
     assert (left.unread_events, left.unread_bytes) == (1, 2)
 

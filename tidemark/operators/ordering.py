@@ -21,8 +21,12 @@ ROWS_PER_SLICE = 4_000_000
 MAX_SLICES = 4096
 
 
+# Up to this many bounds the search is unrolled into generated code; beyond, it is a loop.
+UNROLLED = 64
+
+
 def step_of(value: Column, bounds: Sequence[int]) -> Column:
-    """How many of the ascending ``bounds`` lie below ``value``, as a balanced tree of comparisons."""
+    """How many of the ascending ``bounds`` lie below ``value``, by binary search."""
     if not bounds:
         return F.lit(0)
 
@@ -34,7 +38,18 @@ def step_of(value: Column, bounds: Sequence[int]) -> Column:
             search(middle + 1, high)
         )
 
-    return search(0, len(bounds))
+    if len(bounds) <= UNROLLED:
+        return search(0, len(bounds))
+    # Each stride moves on when the last bound it would pass over lies below the value.
+    strides = [1 << i for i in reversed(range(len(bounds).bit_length()))]
+    table, last = F.lit(list(bounds)), len(bounds)
+    return F.aggregate(
+        F.lit(strides),
+        F.lit(0),
+        lambda at, stride: F.when(
+            (at + stride <= last) & (F.get(table, at + stride - 1) < value), at + stride
+        ).otherwise(at),
+    )
 
 
 def slice_bounds(df: DataFrame, columns: Sequence[Column], rows_per_slice: int) -> list[list[int]] | None:

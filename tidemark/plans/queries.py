@@ -48,8 +48,10 @@ def _moment(text: str):
     return F.lit(text).cast("timestamp_ntz")
 
 
-def _cut(log: DataFrame, moment: str) -> cuts.Cut:
-    return cuts.load_cut(cuts.positions_at(log, _moment(moment)))
+def _cuts(log: DataFrame, *moments: str) -> list[cuts.Cut]:
+    """The cuts of a log at some moments, in one pass."""
+    named = {f"cut{i}": cuts.at_time(_moment(m)) for i, m in enumerate(moments)}
+    return list(cuts.load_cuts(log, **named).values())
 
 
 # -- scans ----------------------------------------------------------------------------------
@@ -61,19 +63,20 @@ def stream_scan_full(spark: SparkSession, folder: str) -> DataFrame:
 
 def scan_from_cut(spark: SparkSession, folder: str) -> DataFrame:
     log = events_log(spark, folder)
-    return scan.scan(log, _cut(log, START_AT)).select(*EVENT)
+    return scan.scan(log, *_cuts(log, START_AT)).select(*EVENT)
 
 
 def scan_cut_range(spark: SparkSession, folder: str) -> DataFrame:
     log = events_log(spark, folder)
-    return scan.scan(log, _cut(log, START_AT), _cut(log, END_AT)).select(*EVENT)
+    return scan.scan(log, *_cuts(log, START_AT, END_AT)).select(*EVENT)
 
 
 def truncated_scan(spark: SparkSession, folder: str) -> DataFrame:
     log = events_log(spark, folder)
-    left = cuts.after(log, _cut(log, TRUNCATED_AT))
-    requested = cuts.load_cut(cuts.head_positions(log))
-    return scan.scan_untruncated(left, requested, _cut(log, END_AT)).select(*EVENT)
+    truncated, end = _cuts(log, TRUNCATED_AT, END_AT)
+    left = cuts.after(log, truncated)
+    requested = cuts.Cut({segment: 0 for segment in truncated})
+    return scan.scan_untruncated(left, requested, end).select(*EVENT)
 
 
 def _two_streams(spark: SparkSession, folder: str):
@@ -91,14 +94,15 @@ def multi_stream_union(spark: SparkSession, folder: str) -> DataFrame:
 def multi_stream_cuts(spark: SparkSession, folder: str) -> DataFrame:
     open_log = _two_streams(spark, folder)
     names = [StreamName("web", "browsing"), StreamName("shop", "deeds")]
-    starts = [_cut(open_log(names[0]), START_AT).text(), cuts.UNBOUNDED_TEXT]
-    ends = [_cut(open_log(names[0]), END_AT).text(), _cut(open_log(names[1]), START_AT).text()]
+    first, second = _cuts(open_log(names[0]), START_AT, END_AT), _cuts(open_log(names[1]), START_AT)
+    starts = [first[0].text(), cuts.UNBOUNDED_TEXT]
+    ends = [first[1].text(), second[0].text()]
     ranges = scan.stream_ranges([str(n) for n in names], starts, ends)
     return scan.read_streams(ranges, open_log).select("scope", "stream", *EVENT)
 
 
 def cut_text_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
-    tails = cuts.tail_positions(events_log(spark, folder), "event_type")
+    tails = cuts.positions(events_log(spark, folder), cuts.tail(), "event_type")
     texts = cuts.cut_text(tails, "event_type")
     return texts.select(
         "event_type", "cut_text", F.explode(cuts.parse_cut_text(F.col("cut_text"))).alias("segment", "offset")
@@ -106,12 +110,12 @@ def cut_text_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def tail_cut(spark: SparkSession, folder: str) -> DataFrame:
-    return cuts.tail_positions(events_log(spark, folder))
+    return cuts.positions(events_log(spark, folder), cuts.tail())
 
 
 def unread_backlog(spark: SparkSession, folder: str) -> DataFrame:
     log = events_log(spark, folder)
-    return cuts.backlog(log, _cut(log, START_AT), "segment")
+    return cuts.backlog(log, *_cuts(log, START_AT), "segment")
 
 
 def eos_marker_cut(spark: SparkSession, folder: str) -> DataFrame:

@@ -68,35 +68,36 @@ def parse_cut_text(text: Column) -> Column:
     return F.transform_keys(parsed, lambda k, _: k.cast("int"))
 
 
-def tail_positions(log: DataFrame, *by: str) -> DataFrame:
-    """Rows ``by..., segment, offset``: the position after the last event of each segment."""
-    return log.groupBy(*by, "segment").agg((F.max("offset") + 1).alias("offset"))
+def head() -> Column:
+    """As an aggregate over a segment: the position of the first event still there."""
+    return F.min("offset")
 
 
-def head_positions(log: DataFrame, *by: str) -> DataFrame:
-    """Rows ``by..., segment, offset``: the position of the first event still in each segment."""
-    return log.groupBy(*by, "segment").agg(F.min("offset").alias("offset"))
+def tail() -> Column:
+    """As an aggregate over a segment: the position after the last event."""
+    return F.max("offset") + 1
 
 
-def positions_at(log: DataFrame, moment: Column, *by: str) -> DataFrame:
-    """Rows ``by..., segment, offset``: the first event at or after ``moment``, else the tail."""
-    reached = F.min(F.when(F.col("event_time") >= moment, F.col("offset")))
-    return log.groupBy(*by, "segment").agg(
-        F.coalesce(reached, F.max("offset") + 1).alias("offset")
-    )
+def at_time(moment: Column) -> Column:
+    """As an aggregate over a segment: the first event at or after ``moment``, else the tail."""
+    return F.coalesce(F.min(F.when(F.col("event_time") >= moment, F.col("offset"))), tail())
 
 
-def marker_positions(log: DataFrame, marker: Column, *by: str) -> DataFrame:
-    """Rows ``by..., segment, offset``: the first event for which ``marker`` holds.
+def positions(log: DataFrame, where: Column, *by: str) -> DataFrame:
+    """Rows ``by..., segment, offset`` of one position: :func:`head`, :func:`tail`, :func:`at_time`."""
+    return log.groupBy(*by, "segment").agg(where.alias("offset"))
 
-    Segments without a marker have no row.
-    """
-    return log.filter(marker).groupBy(*by, "segment").agg(F.min("offset").alias("offset"))
+
+def load_cuts(log: DataFrame, **where: Column) -> dict[str, Cut]:
+    """Several cuts of a log in one pass; each comes to the driver as one row per segment."""
+    rows = log.groupBy("segment").agg(*[c.alias(name) for name, c in where.items()]).collect()
+    return {name: Cut({row["segment"]: row[name] for row in rows}) for name in where}
 
 
-def load_cut(positions: DataFrame) -> Cut:
-    """Bring ``segment, offset`` rows to the driver; one row per segment of a stream."""
-    return Cut({row["segment"]: row["offset"] for row in positions.collect()})
+def load_cut(log: DataFrame, where: Column) -> Cut:
+    """One cut of a log. Segments for which ``where`` is null are left out."""
+    rows = log.groupBy("segment").agg(where.alias("offset")).collect()
+    return Cut({row["segment"]: row["offset"] for row in rows if row["offset"] is not None})
 
 
 def clamp(cut: Cut | None, head: Cut) -> Cut:

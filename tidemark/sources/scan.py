@@ -19,9 +19,8 @@ from tidemark.sources.cuts import (
     after,
     before,
     clamp,
-    head_positions,
+    head,
     load_cut,
-    marker_positions,
 )
 from tidemark.sources.names import StreamName, resolve
 
@@ -35,7 +34,7 @@ def scan(log: DataFrame, start: Cut | None = UNBOUNDED, end: Cut | None = UNBOUN
 
 def scan_untruncated(log: DataFrame, start: Cut | None, end: Cut | None = UNBOUNDED) -> DataFrame:
     """As :func:`scan`, but a start that was truncated away moves to the first event still there."""
-    return scan(log, clamp(start, load_cut(head_positions(log))), end)
+    return scan(log, clamp(start, load_cut(log, head())), end)
 
 
 def until_marker(log: DataFrame, marker: Column) -> DataFrame:
@@ -44,7 +43,7 @@ def until_marker(log: DataFrame, marker: Column) -> DataFrame:
     The first marker of each segment is found by an aggregate over the marker rows alone, and the
     scan stops there; no segment is gathered or sorted.
     """
-    return before(log, load_cut(marker_positions(log, marker)), open_segments=True)
+    return before(log, load_cut(log.filter(marker), head()), open_segments=True)
 
 
 @dataclass(frozen=True)
