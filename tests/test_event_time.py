@@ -37,21 +37,31 @@ def test_slices_stay_small_with_a_hot_key_and_a_hot_time(spark):
     rows = [("hot", 5 if i % 2 else i, i) for i in range(4_000)]
     df = spark.createDataFrame(rows, "k string, t bigint, a bigint")
     times, arrivals = ordering.slice_bounds(df, (F.col("t"), F.col("a")), 100)
-    below = ordering.step_of(F.col("t"), times)
-    on_bound = ordering.step_of(F.col("t") + 1, times) > below
-    part = F.when(on_bound, ordering.step_of(F.col("a"), arrivals)).otherwise(0)
-    sizes = df.groupBy(below, on_bound, part).count().agg(F.max("count")).first()[0]
+    df = ordering.with_step(ordering.with_step(df, F.col("t"), times, "below"), F.col("a"), arrivals, "step")
+    on_bound = F.coalesce(F.get(F.lit(times), "below") == F.col("t"), F.lit(False))
+    part = F.when(on_bound, F.col("step")).otherwise(0)
+    sizes = df.groupBy("below", on_bound, part).count().agg(F.max("count")).first()[0]
     assert sizes <= 400
 
 
-@pytest.mark.parametrize("count", [1, 6, 63, 64, 65, 500, 4095])
-def test_step_of(spark, count):
+@pytest.mark.parametrize("count", [1, 6, 64, 65, 500, 4095])
+@pytest.mark.parametrize("far", [0, 1 << 61])
+def test_steps(spark, count, far):
+    """Also far from zero, where a double cannot tell neighbours apart."""
     rng = random.Random(count)
-    bounds = sorted(rng.sample(range(10_000), count))
-    # Far from zero, where a double could not tell neighbours apart.
-    far = 1 << 61
-    rows = spark.range(-1, 10_001).select("id", ordering.step_of(F.col("id") + far, [b + far for b in bounds]).alias("n"))
-    assert all(r.n == sum(b < r.id for b in bounds) for r in rows.collect())
+    bounds = ordering.distinct_as_doubles([b + far for b in rng.sample(range(10_000), count)])
+    rows = ordering.with_step(spark.range(far - 1, far + 10_001), F.col("id"), bounds, "n").collect()
+    assert len(rows) == 10_002
+    assert all(r.n == sum(b < r.id for b in bounds) for r in rows)
+
+
+def test_positions_far_from_zero(spark):
+    """Many bounds, in numbers that doubles round."""
+    rng = random.Random(3)
+    rows = [("hot" if i % 3 else f"k{i % 11}", (1 << 61) + rng.randrange(300_000), i) for i in range(3_000)]
+    df = spark.createDataFrame(rows, "k string, t bigint, a bigint")
+    got = ordering.with_position(df, "k", "t", "a", rows_per_slice=20)
+    assert {(r.k, r.a): r.position for r in got.collect()} == brute_positions(rows)
 
 
 def test_range_order_splits_a_hot_key(spark):

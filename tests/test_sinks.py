@@ -44,7 +44,7 @@ def test_append_and_read_back(spark, stream):
 
 def test_offsets_of_later_appends_lie_beyond_the_tail(spark, stream):
     sinks.append(stream, integers(spark, 50), key="key")
-    cut = cuts.load_cut(stream.read(, cuts.tail()))
+    cut = cuts.load_cut(stream.read(), cuts.tail())
     sinks.append(stream, integers(spark, 50, 51), key="key")
     assert sorted(r.value for r in cuts.after(stream.read(), cut).collect()) == list(range(51, 101))
     assert sorted(r.value for r in cuts.before(stream.read(), cut).collect()) == list(range(1, 51))

@@ -38,7 +38,7 @@ def values(table):
 def test_many_streams_are_tailed_as_one_from_their_cuts(spark, open_table, root):
     a, b = open_table("s/a").create("value int"), open_table("t/b").create("value int")
     sinks.append(a, integers(spark, 10), key="key")
-    start = cuts.load_cut(a.read(, cuts.tail()))
+    start = cuts.load_cut(a.read(), cuts.tail())
     sinks.append(a, integers(spark, 10, 11), key="key")
     sinks.append(b, integers(spark, 5, 100))
     ranges = scan.stream_ranges(["s/a", "t/b"], [start, ""])
@@ -54,7 +54,7 @@ def test_many_streams_are_tailed_as_one_from_their_cuts(spark, open_table, root)
 def test_bounded_tail_stops_at_its_cut(spark, open_table, root):
     a, out = open_table("s/a").create("value int"), open_table("s/out").create("value int")
     sinks.append(a, integers(spark, 10), key="key")
-    end = cuts.load_cut(a.read(, cuts.tail()))
+    end = cuts.load_cut(a.read(), cuts.tail())
     sinks.append(a, integers(spark, 10, 11), key="key")
     run(scan.scan(a.tail(), end=end), StreamSink(out, "q", EXACTLY_ONCE), f"{root}/cp")
     assert values(out) == list(range(1, 11))

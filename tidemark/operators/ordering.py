@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -21,35 +22,32 @@ ROWS_PER_SLICE = 4_000_000
 MAX_SLICES = 4096
 
 
-# Up to this many bounds the search is unrolled into generated code; beyond, it is a loop.
+# Up to this many bounds the search is unrolled into generated code.
 UNROLLED = 64
 
 
-def step_of(value: Column, bounds: Sequence[int]) -> Column:
-    """How many of the ascending ``bounds`` lie below ``value``, by binary search."""
-    if not bounds:
-        return F.lit(0)
-
-    def search(low: int, high: int) -> Column:
-        if low == high:
-            return F.lit(low)
-        middle = (low + high) // 2
-        return F.when(value <= F.lit(bounds[middle]), search(low, middle)).otherwise(
-            search(middle + 1, high)
-        )
+def with_step(df: DataFrame, value: Column, bounds: Sequence[int], out: str) -> DataFrame:
+    """Add how many of the ascending ``bounds`` lie below the integer ``value``.
 
+    The bounds are distinct also as doubles. A null value gets some step or other.
+    """
     if len(bounds) <= UNROLLED:
-        return search(0, len(bounds))
-    # Each stride moves on when the last bound it would pass over lies below the value.
-    strides = [1 << i for i in reversed(range(len(bounds).bit_length()))]
-    table, last = F.lit(list(bounds)), len(bounds)
-    return F.aggregate(
-        F.lit(strides),
-        F.lit(0),
-        lambda at, stride: F.when(
-            (at + stride <= last) & (F.get(table, at + stride - 1) < value), at + stride
-        ).otherwise(at),
-    )
+
+        def search(low: int, high: int) -> Column:
+            if low == high:
+                return F.lit(low)
+            middle = (low + high) // 2
+            return F.when(value <= F.lit(bounds[middle]), search(low, middle)).otherwise(search(middle + 1, high))
+
+        return df.withColumn(out, search(0, len(bounds)))
+    # The search runs on doubles, whose rounding keeps the order. Only the bound that rounds to the
+    # same double as the value can be counted wrongly, so one exact comparison puts that right.
+    splits = [float("-inf"), *map(float, bounds), float("inf")]
+    rough = df.withColumns({"_value": value, "_double": F.coalesce(value, F.lit(0)).cast("double")})
+    rough = Bucketizer(splits=splits, inputCol="_double", outputCol="_rough").transform(rough)
+    at = F.col("_rough").cast("int")
+    over = F.coalesce(F.get(F.lit(list(bounds)), at - 1) >= F.col("_value"), F.lit(False)).cast("int")
+    return rough.withColumn(out, at - over).drop("_value", "_double", "_rough")
 
 
 def slice_bounds(df: DataFrame, columns: Sequence[Column], rows_per_slice: int) -> list[list[int]] | None:
@@ -65,7 +63,12 @@ def slice_bounds(df: DataFrame, columns: Sequence[Column], rows_per_slice: int)
     quantiles = df.select(
         *[F.percentile_approx(c, marks, 10 * slices).alias(f"q{i}") for i, c in enumerate(columns)]
     ).first()
-    return [sorted(set(q or [])) for q in quantiles]
+    return [distinct_as_doubles(q or []) for q in quantiles]
+
+
+def distinct_as_doubles(bounds: Sequence[int]) -> list[int]:
+    """Ascending bounds, one for each double they round to."""
+    return sorted({float(b): b for b in bounds}.values())
 
 
 def with_position(
@@ -91,12 +94,15 @@ def with_position(
     times, arrivals = bounds
     # A bound is a slice of its own, since one event time may hold many rows; inside it, rows are
     # cut further by arrival. Other slices hold fewer rows than lie between two quantiles.
-    below = step_of(t, times)
-    on_bound = step_of(t + 1, times) > below
-    cut = df.withColumns(
+    cut = with_step(with_step(df, t, times, "_below"), a, arrivals, "_arrival_step")
+    if times:
+        on_bound = F.coalesce(F.get(F.lit(times), "_below") == t, F.lit(False))
+    else:
+        on_bound = F.lit(False)
+    cut = cut.withColumns(
         {
-            "_slice": F.when(t.isNull(), -1).otherwise(below * 2 + on_bound.cast("int")),
-            "_part": F.when(t.isNull() | on_bound, step_of(a, arrivals)).otherwise(0),
+            "_slice": F.when(t.isNull(), -1).otherwise(F.col("_below") * 2 + on_bound.cast("int")),
+            "_part": F.when(t.isNull() | on_bound, F.col("_arrival_step")).otherwise(0),
         }
     )
     place = [*keys, "_slice", "_part"]

@@ -141,28 +141,30 @@ def mark_late(
     """Add whether event-time ordering drops the row: its time is not after the newest time
     already emitted for its key, which is laxer than comparing with the watermark.
 
-    Rows without a time are never late. Per key only one row per turn is kept for the running
-    maximum, so a hot key costs no more than the number of turns.
+    Rows without a time are never late, nor are rows ahead of the watermark in force, since nothing
+    newer than it has been emitted: only rows behind it are shuffled and judged. Per key one row per
+    turn is kept for the running maximum, so a hot key costs no more than the number of turns.
     """
     epochs = replay(log, epoch, time) if epochs is None else epochs
     grew = F.col("in_force").isNull() | (F.col("bound") > F.col("in_force"))
+    in_force = micros(epochs, "in_force")
     steps = epochs.filter(grew).select(
-        (F.col("turn") + 1).alias("label"),
-        micros(epochs, "bound").alias("mark"),
-        micros(epochs, "in_force").alias("previous"),
+        (F.col("turn") + 1).alias("label"), micros(epochs, "bound").alias("mark"), in_force.alias("previous")
     )
-    rows = log.withColumn("_t", micros(log, time))
-    rows = rows.join(epochs.select(epoch, F.col("turn").alias("_turn")), epoch, "left")
+    turns = epochs.select(epoch, F.col("turn").alias("_turn"), in_force.alias("_in_force"))
+    rows = log.withColumn("_t", micros(log, time)).join(turns, epoch, "left")
+    is_behind = F.coalesce(F.col("_t") <= F.col("_in_force"), F.lit(False))
 
-    timed = rows.filter(F.col(time).isNotNull()).select(key, "_turn", "_t")
+    timed = rows.filter(F.col(time).isNotNull()).select(key, "_turn", "_t", is_behind.alias("_behind"))
     timed = first_at_or_after(timed, "_t", steps, "_reached")
     # An event fires when the watermark reaches its time, and never in the turn it arrives in.
     fires = F.when(F.col("_reached").isNotNull(), F.greatest(F.col("_turn") + 1, F.col("_reached")))
+    asks = F.when(F.col("_behind"), F.col("_turn"))
     points = timed.select(
         key,
         F.explode(
             F.array(
-                F.struct(F.col("_turn").alias("turn"), F.lit(None).cast("bigint").alias("t")),
+                F.struct(asks.alias("turn"), F.lit(None).cast("bigint").alias("t")),
                 F.struct(fires.alias("turn"), F.col("_t").alias("t")),
             )
         ).alias("_p"),
@@ -171,9 +173,11 @@ def mark_late(
     points = points.groupBy(key, F.col("_p.turn").alias("_turn")).agg(F.max("_p.t").alias("_fired"))
     so_far = W.partitionBy(key).orderBy("_turn").rowsBetween(W.unboundedPreceding, W.currentRow)
     emitted = points.select(key, "_turn", F.max("_fired").over(so_far).alias("_emitted"))
-    judged = rows.join(emitted, [key, "_turn"], "left")
+
+    ahead = rows.filter(~is_behind).select(*log.columns, F.lit(False).alias(out))
+    judged = rows.filter(is_behind).join(emitted, [key, "_turn"], "left")
     late = F.coalesce(F.col("_t") <= F.col("_emitted"), F.lit(False))
-    return judged.select(*log.columns, late.alias(out))
+    return ahead.unionByName(judged.select(*log.columns, late.alias(out)))
 
 
 def drop_late(log: DataFrame, key: str, epoch: str, time: str, *, epochs: DataFrame | None = None) -> DataFrame:

@@ -177,9 +177,9 @@ class StreamTable:
         each task writes few files, and offsets follow ``order`` - by default the order in which
         each input task delivers its rows.
         """
-        routed = route(rows, self.segments, key)
-        if order is None:
-            routed, order = routed.withColumn("_arrival", F.monotonically_increasing_id()), ["_arrival"]
+        routed = route(rows, self.segments, key).withColumn("_arrival", F.monotonically_increasing_id())
+        # Arrival also splits runs of equal order values.
+        order = [*(order or []), "_arrival"]
         tasks = tasks or self.default_tasks()
         ranged = routed.repartitionByRange(tasks, "segment", *order).sortWithinPartitions("segment", *order)
         placed = ranged.withColumn("offset", _offset(claim.epoch))

@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.settings import stored
 from tidemark.sources.cuts import (
     UNBOUNDED,
     Cut,
@@ -127,12 +128,12 @@ def with_metadata(
 def fetch(log: DataFrame, pointers: DataFrame, pointer: str = "event_pointer") -> DataFrame:
     """The events that ``pointers`` name, each pointer row once per event it names.
 
-    A plain equi-join on the unpacked position: positions are unique, so no key is hot, and the
-    planner broadcasts the pointers only while their size is under its threshold.
+    An equi-join on the unpacked position; positions are unique, so no key is hot. The pointers are
+    stored first: the planner then knows their true size and broadcasts them only while small.
     """
     wanted = pointers.select(pointer).withColumn("_at", pointer_position(F.col(pointer)))
     wanted = wanted.select(pointer, *[F.col(f"_at.{f}").alias(f) for f in POINTER_FIELDS])
-    return log.join(wanted, list(POINTER_FIELDS))
+    return log.join(stored(wanted, "pointers"), list(POINTER_FIELDS))
 
 
 def local_streams(logs: dict[str, DataFrame]) -> Callable[[StreamName], DataFrame]:

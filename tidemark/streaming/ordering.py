@@ -99,10 +99,22 @@ class EventTimeOrdering:
         return self.spark.read.parquet(f"{self._folder(batch_id)}/rows").filter(~F.col("_fires")).drop("_fires")
 
     def _emitted(self, note: dict, batch_id: int) -> DataFrame:
-        """Rows ``key, _emitted``: the newest time emitted per key, up to a batch."""
+        """Rows ``key, _emitted``, not yet folded: newest times emitted per key, up to a batch."""
         known = range(note["snapshot"], batch_id + 1)
-        parts = self.spark.read.parquet(*[f"{self._folder(b)}/emitted" for b in known])
-        return parts.groupBy(self.key).agg(F.max("_emitted").alias("_emitted"))
+        return self.spark.read.parquet(*[f"{self._folder(b)}/emitted" for b in known])
+
+    def _newest(self, emitted: DataFrame) -> DataFrame:
+        return emitted.groupBy(self.key).agg(F.max("_emitted").alias("_emitted"))
+
+    def _timely(self, behind: DataFrame, emitted: DataFrame) -> DataFrame:
+        """The rows behind the watermark that are newer than what their key has emitted.
+
+        Few rows are behind, so their keys cut the emitted times down before those are folded.
+        """
+        asked = emitted.join(behind.select(self.key).distinct(), self.key, "left_semi")
+        judged = behind.join(self._newest(asked), self.key, "left")
+        fresh = F.col("_emitted").isNull() | (F.col("_t") > F.col("_emitted"))
+        return judged.filter(fresh).select(*behind.columns)
 
     # -- one batch -------------------------------------------------------------------------
 
@@ -112,19 +124,20 @@ class EventTimeOrdering:
             return
         folder = self._folder(batch_id)
         note = None if before is None else self._note(before)
-        watermark = None if note is None else note["watermark"]
+        in_force = None if note is None else note["watermark"]
 
         arrived = rows.withColumn("_t", micros(rows, self.time))
         newest = arrived.groupBy(self.segment).agg(F.max("_t").alias("_newest"))
         bound = newest.agg(F.min("_newest")).first()[0]
-        grew = last or (bound is not None and (watermark is None or bound > watermark))
-        watermark = bound if grew and not last else watermark
-
+        grew = last or (bound is not None and (in_force is None or bound > in_force))
+        watermark = bound if grew and not last else in_force
+
+        if in_force is not None:
+            # Nothing newer than the watermark has been emitted: only rows behind it can be late.
+            is_behind = F.coalesce(F.col("_t") <= F.lit(in_force), F.lit(False))
+            timely = self._timely(arrived.filter(is_behind), self._emitted(note, before))
+            arrived = arrived.filter(~is_behind).unionByName(timely)
         if before is not None:
-            emitted = self._emitted(note, before)
-            arrived = arrived.join(emitted, self.key, "left")
-            timely = F.col("_t").isNull() | F.col("_emitted").isNull() | (F.col("_t") > F.col("_emitted"))
-            arrived = arrived.filter(timely).drop("_emitted").select(*rows.columns, "_t")
             arrived = arrived.unionByName(self._held(before))
         reached = F.lit(True) if last else (F.col("_t") <= F.lit(watermark) if grew else F.lit(False))
         fires = F.col("_t").isNull() | reached
@@ -136,8 +149,7 @@ class EventTimeOrdering:
         delta = fired.filter(F.col("_t").isNotNull()).groupBy(self.key).agg(F.max("_t").alias("_emitted"))
         snapshot = batch_id if note is None else note["snapshot"]
         if note is not None and batch_id - snapshot >= self.snapshot_every:
-            known = self._emitted(note, before).unionByName(delta)
-            delta, snapshot = known.groupBy(self.key).agg(F.max("_emitted").alias("_emitted")), batch_id
+            delta, snapshot = self._newest(self._emitted(note, before).unionByName(delta)), batch_id
         delta.write.mode("overwrite").parquet(f"{folder}/emitted")
         self.sink.write(fired.drop("_fires", "_t"), batch_id)
         self.files.create(f"{folder}/done.json", json.dumps({"watermark": watermark, "snapshot": snapshot}))
