@@ -7,6 +7,7 @@ import json
 import pytest
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -52,6 +53,13 @@ def test_json_errors(spark):
         events.decode_json(df, "k int", ignore_parse_errors=True, fail_on_missing_field=True)
 
 
+def test_malformed_events_are_counted(spark):
+    seen = Observation()
+    df = payloads(spark, '{"k": 1}', "{", '{"k": "x"}', "[1]", None)
+    assert events.decode_json(df, "k int", ignore_parse_errors=True, observe=seen).count() == 2
+    assert seen.get == {"events": 4, "malformed": 2}
+
+
 def test_numbers_may_be_json_strings(spark):
     df = payloads(spark, '{"i": "5", "d": "1.50", "b": "true", "a": ["1", 2], "m": {"x": "7"}, "s": 3}')
     got = events.decode_json(df, "i int, d decimal(5,2), b boolean, a array<int>, m map<string,bigint>, s string")

@@ -265,6 +265,16 @@ def test_catalog(spark, root):
     declared = catalog.open({"scan.streams": "a;t/b", "scan.execution.type": "batch"})
     assert declared.groupBy("scope", "stream").count().collect()[0]["count"] == 3
     assert catalog.open({"scan.streams": "a"}).isStreaming
+    catalog.create_view("a", "view_of_a", {"twice": "concat(a, a)"})
+    assert {r.twice for r in spark.sql("SELECT twice FROM view_of_a").collect()} == {"xx", "yy"}
+
+    sink = catalog.sink(
+        {"sink.stream": "a", "sink.semantic": "exactly-once", "sink.routing-key.field.name": "a"}, "declared"
+    )
+    sink.write(spark.createDataFrame([("z",)], "a string"), 0)
+    assert (sink.guarantee, sink.key, catalog.stream("a").read().count()) == ("exactly-once", "a", 4)
+    with pytest.raises(ValueError, match="missing"):
+        catalog.sink({"sink.stream": "a", "sink.routing-key.field.name": "ghost"}, "declared")
 
     with pytest.raises(ValueError, match="not empty"):
         catalog.drop_database("t")

@@ -7,13 +7,15 @@ from pyspark.sql import functions as F
 
 from tests.test_event_time import arrivals, replayed
 from tidemark.operators import audit
+from tidemark.operators.changelog import retracting
 from tidemark.sources import cuts, scan
 from tidemark.sources.layout import StreamTable
 from tidemark.streaming import sinks
 from tidemark.streaming.metrics import MetricsListener
 from tidemark.streaming.ordering import EventTimeOrdering, hold_until_watermark
-from tidemark.streaming.reader import tail_streams, trigger_for
+from tidemark.streaming.reader import EndOfStream, tail_streams, trigger_for
 from tidemark.streaming.sinks import EXACTLY_ONCE, StreamSink
+from tidemark.streaming.upserts import UpsertView
 
 
 @pytest.fixture
@@ -71,6 +73,65 @@ def test_truncated_files_are_skipped(spark, open_table, root):
     assert values(out) == list(range(1, 41))
 
 
+def test_without_a_checkpoint_a_restart_begins_at_the_cut(spark, open_table, root):
+    a, out = open_table("s/a").create("value int"), open_table("s/out").create("value int")
+    sinks.append(a, integers(spark, 10), key="key")
+    start = cuts.load_cut(a.read(), cuts.tail())
+    sinks.append(a, integers(spark, 10, 11), key="key")
+    for attempt in ("first", "second"):
+        run(scan.scan(a.tail(), start), StreamSink(out, attempt, EXACTLY_ONCE), f"{root}/cp-{attempt}")
+    assert values(out) == sorted(2 * list(range(11, 21)))
+
+
+def test_end_of_a_live_stream(spark, open_table, root):
+    a, out = open_table("s/a").create("value int", 2), open_table("s/out").create("value int", 2)
+    checkpoint, state = f"{root}/cp", f"{root}/_eos"
+    live = a.tail().withColumnRenamed("segment", "shard").withColumnRenamed("offset", "position")
+    live = live.select("value", F.col("shard").alias("segment"), F.col("position").alias("offset"))
+    for batch, numbers in enumerate([[1, 2], [3, -1, 4], [5]]):
+        rows = spark.createDataFrame([(n, "k") for n in numbers], "value int, key string").coalesce(1)
+        sinks.append(a, rows, key="key")
+        # A new object each time, as after a restart.
+        end = EndOfStream(F.col("value") < 0, state, a.files)
+        sink = StreamSink(out, "job", EXACTLY_ONCE)
+        run(live, sink, checkpoint, prepare=lambda rows, end=end: end(rows).select("value"))
+        assert bool(end.ended) == (batch > 0)
+    assert values(out) == [1, 2, 3]
+
+
+def test_current_table_of_a_live_changelog(spark, root):
+    view = UpsertView(f"{root}/view", ["id"], ["id", "name"], snapshot_every=2)
+    schema = "offset bigint, sub_order int, row_kind string, id int, name string"
+    history = [
+        [(0, 0, "+I", 1, "a"), (1, 0, "+I", 2, "b")],
+        [(2, 0, "-U", 1, "a"), (2, 1, "+U", 1, "c")],
+        [(3, 0, "-D", 2, "b"), (4, 0, "+I", 3, "d")],
+        [(5, 0, "+I", 2, "e"), (6, 0, "-D", 3, "d")],
+    ]
+    states = [{(1, "a"), (2, "b")}, {(1, "c"), (2, "b")}, {(1, "c"), (3, "d")}, {(1, "c"), (2, "e")}]
+    for batch, (rows, expected) in enumerate(zip(history, states)):
+        for _ in range(2):
+            view.write(spark.createDataFrame(rows, schema), batch)
+        assert {tuple(r) for r in view.read(spark).collect()} == expected
+    again = UpsertView(f"{root}/view", ["id"], ["id", "name"])
+    assert {tuple(r) for r in again.read(spark).collect()} == states[-1]
+
+
+def test_retracting_aggregate_of_a_live_changelog(spark, open_table, root):
+    source = open_table("s/in").create("n bigint, sub_order int, row_kind string, name string, weight int")
+    schema = source.row_type
+    sinks.append(source, spark.createDataFrame([(0, 0, "+I", "a", 5), (1, 0, "+I", "b", 7)], schema))
+    totals = retracting(source.tail(), ["name"], sums={"weight": F.col("weight")}, order=("n", "sub_order"))
+    query = totals.writeStream.format("memory").queryName("live_totals").outputMode("complete").start()
+    try:
+        query.processAllAvailable()
+        sinks.append(source, spark.createDataFrame([(2, 0, "-U", "a", 5), (2, 1, "+U", "a", 6), (3, 0, "-D", "b", 7)], schema))
+        query.processAllAvailable()
+        assert {tuple(r) for r in spark.table("live_totals").collect()} == {("a", 6)}
+    finally:
+        query.stop()
+
+
 def test_every_value_once_after_a_failure(spark, open_table, root):
     """The job fails after two thirds of the values and is started again."""
     count = 3_000

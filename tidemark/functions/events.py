@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -72,12 +72,14 @@ def decode_json(
     ignore_parse_errors: bool = False,
     fail_on_missing_field: bool = False,
     timestamp_format: str | None = None,
+    observe: Observation | None = None,
 ) -> DataFrame:
     """One row per JSON event: the ``keep`` columns, then the declared fields.
 
     Numbers and booleans may come as JSON strings. A malformed event fails the query. With
     ``ignore_parse_errors`` it is dropped, and a field that does not fit its type is null. Null
-    payloads carry no row and are dropped.
+    payloads carry no row and are dropped. ``observe`` receives the counts ``events`` and
+    ``malformed`` when the result is run.
     """
     if ignore_parse_errors and fail_on_missing_field:
         raise ValueError("fail_on_missing_field and ignore_parse_errors exclude each other")
@@ -98,6 +100,9 @@ def decode_json(
     loose = F.from_json("_text", _as_text(fields), options | {"mode": mode})
     loose = loose.try_cast(fields) if ignore_parse_errors else loose.cast(fields)
     row = F.when(fits, taken)
+    if observe is not None:
+        broken = ~fits & F.json_object_keys("_text").isNull()
+        parsed = parsed.observe(observe, F.count(F.lit(1)).alias("events"), F.count_if(broken).alias("malformed"))
     if ignore_parse_errors:
         row = row.when(F.json_object_keys("_text").isNotNull(), loose)
         # Exploding at most one row drops the others without parsing twice, as a filter would.

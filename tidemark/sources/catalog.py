@@ -14,12 +14,14 @@ from pyspark.sql import types as T
 
 from tidemark.functions.events import decode_json
 from tidemark.functions.schematext import json_schema_text
+from tidemark.operators.routing import key_column
 from tidemark.sources.files import Files
 from tidemark.sources.layout import StreamTable
 from tidemark.sources.names import StreamName, is_hidden, resolve
-from tidemark.sources.options import scan_options
-from tidemark.streaming.reader import tail_streams
+from tidemark.sources.options import scan_options, sink_options
 from tidemark.sources.scan import read_streams
+from tidemark.streaming.reader import tail_streams
+from tidemark.streaming.sinks import StreamSink
 
 SCHEMA_TABLE = "namespace string, group_id string, version int, format string, json_schema string, row_type string"
 FORMATS = ("json", "avro")
@@ -114,9 +116,11 @@ class Catalog:
         options = {"scope": name.scope, "scan.streams": name.stream, "sink.stream": name.stream}
         return {"name": name, "row_type": self.latest_schema(name), "options": options}
 
-    def create_view(self, table: str, view: str) -> None:
-        """Make a stream readable from SQL under ``view``."""
-        self.stream(table).read().createOrReplaceTempView(view)
+    def create_view(self, table: str, view: str, computed: Mapping[str, str] | None = None) -> None:
+        """Make a stream readable from SQL under ``view``, with columns computed by SQL expressions."""
+        rows = self.stream(table).read()
+        rows = rows.select("*", *[F.expr(e).alias(name) for name, e in (computed or {}).items()])
+        rows.createOrReplaceTempView(view)
 
     # -- schemas ---------------------------------------------------------------------------
 
@@ -163,6 +167,23 @@ class Catalog:
             return tail_streams(declared.ranges, self.stream, declared.max_files_per_trigger)
         return read_streams(declared.ranges, lambda name: self.stream(name).read())
 
+    def sink(self, options: Mapping[str, str], query_id: str, event_time: str | None = None) -> StreamSink:
+        """The sink a declared table stands for, by its ``sink.*`` options.
+
+        ``event_time`` is the column whose watermark is noted when propagation is on.
+        """
+        declared = sink_options({"scope": self.default_scope or "", **options})
+        stream = self.stream(declared.stream)
+        if declared.routing_key:
+            key_column(self.spark.createDataFrame([], stream.row_type), declared.routing_key)
+        return StreamSink(
+            stream,
+            query_id,
+            declared.semantic,
+            declared.routing_key,
+            event_time=event_time if declared.watermark_propagation else None,
+        )
+
 
 def visible_tables(streams: DataFrame, groups: DataFrame, on: list[str], name: str) -> DataFrame:
     """Streams that are not internal and have a schema group."""

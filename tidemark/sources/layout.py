@@ -180,8 +180,10 @@ class StreamTable:
         routed = route(rows, self.segments, key).withColumn("_arrival", F.monotonically_increasing_id())
         # Arrival also splits runs of equal order values.
         order = [*(order or []), "_arrival"]
-        tasks = tasks or self.default_tasks()
-        ranged = routed.repartitionByRange(tasks, "segment", *order).sortWithinPartitions("segment", *order)
+        # Without a given number, small neighbouring ranges are merged at run time.
+        ranges = ["segment", *order]
+        ranged = routed.repartitionByRange(tasks, *ranges) if tasks else routed.repartitionByRange(*ranges)
+        ranged = ranged.sortWithinPartitions(*ranges)
         placed = ranged.withColumn("offset", _offset(claim.epoch))
         columns = ["offset", "routing_key", *self.row_type.names, "segment"]
         folder = f"{self.folder}/staging/ingest_epoch={claim.epoch}"
@@ -209,5 +211,8 @@ class StreamTable:
         }
         self.files.create(f"{self.folder}/commits/{claim.epoch:010d}.json", json.dumps(entry))
 
-    def default_tasks(self) -> int:
-        return int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+    def most_tasks(self) -> int:
+        """The most write tasks an append can have when it is given no number."""
+        conf = self.spark.conf
+        initial = conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+        return max(int(conf.get("spark.sql.shuffle.partitions")), int(initial or 0))

@@ -71,7 +71,7 @@ class StreamSink:
         # Only exactly-once remembers which batches it has seen; the others write a replay again.
         once = self.guarantee == EXACTLY_ONCE
         query = self.query_id if once else f"{self.query_id}-{uuid.uuid4().hex}"
-        claim = self.table.claim(query, batch_id, self.tasks or self.table.default_tasks())
+        claim = self.table.claim(query, batch_id, self.tasks or self.table.most_tasks())
         if self.table.is_published(claim):
             if not self.table.is_committed(claim):
                 self._log_published(claim)
