@@ -51,7 +51,7 @@ def test_offsets_of_later_appends_lie_beyond_the_tail(spark, stream):
 
 
 def test_arrival_order_is_kept_inside_a_task(spark, stream):
-    sinks.append(stream, integers(spark, 1_000).coalesce(1), key="key", tasks=5)
+    sinks.append(stream, integers(spark, 1_000).coalesce(1), key="key", keep_arrival=True, tasks=5)
     for key in range(7):
         rows = stream.read().filter(F.col("routing_key") == str(key)).orderBy("offset").collect()
         assert [r.value for r in rows] == sorted(r.value for r in rows)
@@ -69,6 +69,18 @@ def test_hot_key_spans_write_tasks(spark, stream):
     assert ordered == sorted(ordered)
 
 
+def test_hot_segment_spans_write_tasks_without_any_order(spark, root):
+    stream = StreamTable(spark, root, "s/many").create("value bigint", 50)
+    key = F.when(F.col("id") % 3 > 0, "hot").otherwise(F.col("id").cast("string"))
+    rows = spark.range(20_000).select(F.col("id").alias("value"), key.alias("key"))
+    sinks.append(stream, rows, key="key", tasks=8)
+    files = stream.read().withColumn("file", F.input_file_name())
+    assert files.count() == files.select("segment", "offset").distinct().count() == 20_000
+    hot = files.filter("routing_key = 'hot'").groupBy("file").count()
+    assert hot.count() >= 6 and hot.agg(F.max("count")).first()[0] < 5_000
+    assert files.select("file").distinct().count() < 8 * 50 / 2
+
+
 def test_write_in_event_time_order(spark, root):
     stream = StreamTable(spark, root, "s/timed").create("at bigint, n bigint", 3)
     rows = spark.range(2_000).select(

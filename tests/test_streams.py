@@ -90,7 +90,7 @@ def test_end_of_a_live_stream(spark, open_table, root):
     live = live.select("value", F.col("shard").alias("segment"), F.col("position").alias("offset"))
     for batch, numbers in enumerate([[1, 2], [3, -1, 4], [5]]):
         rows = spark.createDataFrame([(n, "k") for n in numbers], "value int, key string").coalesce(1)
-        sinks.append(a, rows, key="key")
+        sinks.append(a, rows, key="key", keep_arrival=True)
         # A new object each time, as after a restart.
         end = EndOfStream(F.col("value") < 0, state, a.files)
         sink = StreamSink(out, "job", EXACTLY_ONCE)

@@ -169,21 +169,27 @@ class StreamTable:
         return self.files.exists(f"{self.data}/ingest_epoch={claim.epoch}")
 
     def stage(self, rows: DataFrame, claim: Claim, *, key: str | Column | None = None,
-              order: list[str] | None = None, tasks: int | None = None,
+              order: list[str] | None = None, keep_arrival: bool = True, tasks: int | None = None,
               observe: tuple[Observation, list[Column]] | None = None) -> None:
         """Write a batch where no reader sees it, over whatever an earlier attempt left there.
 
-        Rows are split into ranges of (segment, order): a segment with a hot key spans many tasks,
-        each task writes few files, and offsets follow ``order`` - by default the order in which
-        each input task delivers its rows.
+        Rows are split into ranges of (segment, order, arrival): a segment with a hot key spans many
+        tasks, each task writes few files, and offsets follow ``order``, then the order in which
+        each input task delivers its rows. Finding the ranges reads the input once more; where
+        neither order matters, ``keep_arrival=False`` counts the rows per segment instead, which
+        reads the routing key only, and spreads each segment over its share of the tasks.
         """
         routed = route(rows, self.segments, key).withColumn("_arrival", F.monotonically_increasing_id())
-        # Arrival also splits runs of equal order values.
-        order = [*(order or []), "_arrival"]
-        # Without a given number, small neighbouring ranges are merged at run time.
-        ranges = ["segment", *order]
-        ranged = routed.repartitionByRange(tasks, *ranges) if tasks else routed.repartitionByRange(*ranges)
-        ranged = ranged.sortWithinPartitions(*ranges)
+        ranges = ["segment", *(order or []), "_arrival"]
+        # Without a given number of tasks, small neighbouring ones are merged at run time.
+        number = [tasks] if tasks else []
+        if order or keep_arrival:
+            spread = routed.repartitionByRange(*number, *ranges)
+        else:
+            shares = self._slots(routed, tasks or self.most_tasks())
+            slot = F.pmod(F.col("_arrival"), F.get(F.lit(shares), F.col("segment")))
+            spread = routed.withColumn("_slot", slot).repartition(*number, "segment", "_slot")
+        ranged = spread.sortWithinPartitions(*ranges)
         placed = ranged.withColumn("offset", _offset(claim.epoch))
         columns = ["offset", "routing_key", *self.row_type.names, "segment"]
         folder = f"{self.folder}/staging/ingest_epoch={claim.epoch}"
@@ -193,6 +199,12 @@ class StreamTable:
             placed = placed.observe(observe[0], *observe[1])
         placed.write.mode("overwrite").partitionBy("segment").parquet(folder)
 
+    def _slots(self, routed: DataFrame, tasks: int) -> list[int]:
+        """Per segment, into how many parts its rows are cut: four per task its share is worth."""
+        counts = {r["segment"]: r["count"] for r in routed.groupBy("segment").count().collect()}
+        total = max(1, sum(counts.values()))
+        return [max(1, -(-4 * tasks * counts.get(s, 0) // total)) for s in range(self.segments)]
+
     def publish(self, claim: Claim, n_rows: int, watermark: int | None = None) -> None:
         """Make a staged batch visible by one rename, then log it."""
         staged = f"{self.folder}/staging/ingest_epoch={claim.epoch}"

@@ -40,7 +40,8 @@ class StreamSink:
     ``key`` routes events (a string column, an expression, or None for random routing). ``order``
     gives the columns whose order offsets follow inside a segment. ``event_time`` names the column
     from which a watermark is noted with each commit: the newest time written, less ``delay_micros``.
-    ``tasks`` is the number of write tasks.
+    ``keep_arrival`` keeps the order in which each input task delivers its rows. ``tasks`` is the
+    number of write tasks.
     """
 
     table: StreamTable
@@ -50,6 +51,7 @@ class StreamSink:
     order: list[str] | None = None
     event_time: str | None = None
     delay_micros: int = 0
+    keep_arrival: bool = True
     tasks: int | None = None
     metrics: SinkMetrics = field(init=False)
 
@@ -82,7 +84,13 @@ class StreamSink:
         if self.event_time:
             counted.append(F.max(micros(rows, self.event_time)).alias("newest"))
         self.table.stage(
-            rows, claim, key=self.key, order=self.order, tasks=self.tasks, observe=(seen, counted)
+            rows,
+            claim,
+            key=self.key,
+            order=self.order,
+            keep_arrival=self.keep_arrival,
+            tasks=self.tasks,
+            observe=(seen, counted),
         )
         # Observed while the batch was written, so there is no second pass.
         n_rows, newest = seen.get["n_rows"], seen.get.get("newest")
@@ -111,9 +119,13 @@ class StreamSink:
 
 
 def append(table: StreamTable, rows: DataFrame, *, key: str | Column | None = None,
-           order: list[str] | None = None, event_time: str | None = None, tasks: int | None = None) -> SinkMetrics:
+           order: list[str] | None = None, event_time: str | None = None, keep_arrival: bool = False,
+           tasks: int | None = None) -> SinkMetrics:
     """Append a batch; the call returns when it is published, and raises when it failed."""
-    sink = StreamSink(table, f"append-{uuid.uuid4().hex}", EXACTLY_ONCE, key, order, event_time, tasks=tasks)
+    sink = StreamSink(
+        table, f"append-{uuid.uuid4().hex}", EXACTLY_ONCE, key, order, event_time,
+        keep_arrival=keep_arrival, tasks=tasks,
+    )
     sink.write(rows, 0)
     return sink.metrics
 
