@@ -14,7 +14,7 @@ from tidemark.operators.running import running
 def brute_positions(rows):
     """(key, time, arrival) -> place in the key's order."""
     places, seen = {}, {}
-    for key, time, arrival in sorted(rows, key=lambda r: (r[0], r[1] is not None, r[1] or 0, r[2])):
+    for key, time, arrival in sorted(rows, key=lambda r: (str(r[0]), r[1] is not None, r[1] or 0, r[2])):
         seen[key] = seen.get(key, 0) + 1
         places[key, arrival] = seen[key]
     return places
@@ -25,7 +25,7 @@ def test_position_in_slices_matches_brute_force(spark, seed, spread):
     """A third of the rows share a key, and with a small spread many share an event time."""
     rng = random.Random(seed)
     rows = [
-        ("hot" if rng.random() < 0.34 else f"k{rng.randrange(40)}",
+        ("hot" if rng.random() < 0.34 else None if rng.random() < 0.2 else f"k{rng.randrange(40)}",
          None if rng.random() < 0.02 else rng.randrange(spread), arrival)
         for arrival in range(3_000)
     ]
@@ -34,10 +34,19 @@ def test_position_in_slices_matches_brute_force(spark, seed, spread):
     assert {(r.k, r.a): r.position for r in got.collect()} == brute_positions(rows)
 
 
+def test_cold_keys_are_not_sliced(spark):
+    rows = [(f"k{i % 50}", i, i) for i in range(1_000)]
+    df = spark.createDataFrame(rows, "k string, t bigint, a bigint")
+    assert ordering._hot_keys(df, ["k"], 100) is None
+    few = ordering.with_position(df, "k", "t", "a", rows_per_slice=100)
+    assert {(r.k, r.a): r.position for r in few.collect()} == brute_positions(rows)
+    assert "Join" not in few._jdf.queryExecution().executedPlan().toString()
+
+
 def test_slices_stay_small_with_a_hot_key_and_a_hot_time(spark):
     rows = [("hot", 5 if i % 2 else i, i) for i in range(4_000)]
     df = spark.createDataFrame(rows, "k string, t bigint, a bigint")
-    times, arrivals = ordering.slice_bounds(df, (F.col("t"), F.col("a")), 100)
+    times, arrivals = ordering.slice_bounds(df, (F.col("t"), F.col("a")), 40)
     df = ordering.with_step(ordering.with_step(df, F.col("t"), times, "below"), F.col("a"), arrivals, "step")
     on_bound = F.coalesce(F.get(F.lit(times), "below") == F.col("t"), F.lit(False))
     part = F.when(on_bound, F.col("step")).otherwise(0)
@@ -123,7 +132,7 @@ class Orderer:
             self.waiting.setdefault((time, key), []).append(tag)
 
     def watermark(self, bound):
-        for time, key in sorted(k for k in self.waiting if k[0] <= bound):
+        for time, key in sorted((k for k in self.waiting if k[0] <= bound), key=lambda k: k[0]):
             self.out += [(key, tag) for tag in self.waiting.pop((time, key))]
             self.last[key] = time
 
@@ -152,7 +161,7 @@ def arrivals(seed, count=1_500, epochs=40):
     for offset in range(count):
         epoch = offset * epochs // count
         time = None if rng.random() < 0.02 else max(0, epoch * 25 - rng.randrange(200) + rng.randrange(40))
-        key = "hot" if rng.random() < 0.34 else f"k{rng.randrange(15)}"
+        key = "hot" if rng.random() < 0.34 else None if rng.random() < 0.1 else f"k{rng.randrange(15)}"
         rows.append((rng.randrange(3), offset, key, epoch * 3, time))
     return rows
 

@@ -1,9 +1,10 @@
 """Per-key event-time order that a hot key cannot pull into one task.
 
-Rows of a key are cut into slices along (event time, arrival). The slices are sorted on their own,
-and a row's position is its place in the slice plus the sizes of the key's earlier slices. Slice
-bounds are approximate quantiles of the whole table, so no slice holds much more than its share of
-the rows, whatever share one key or one event time has.
+A key with more rows than a task should sort is cut into slices along (event time, arrival). The
+slices are sorted on their own, and a row's position is its place in the slice plus the sizes of the
+key's earlier slices. Slice bounds are approximate quantiles of the whole table, so no slice holds
+much more than its share of the rows, whatever share one key or one event time has. Other keys
+are sorted as they are.
 """
 
 from __future__ import annotations
@@ -14,14 +15,16 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.times import micros
+from tidemark.settings import stored
 
-# Rows one task may comfortably sort; a table below it needs no slices.
+# Rows of one key that a task may comfortably sort.
 ROWS_PER_SLICE = 4_000_000
+# At most so many slices, and so many hot keys: a hot key holds more rows than one slice would.
 MAX_SLICES = 4096
 
-
 # Up to this many bounds the search is unrolled into generated code.
 UNROLLED = 64
 
@@ -50,15 +53,11 @@ def with_step(df: DataFrame, value: Column, bounds: Sequence[int], out: str) ->
     return rough.withColumn(out, at - over).drop("_value", "_double", "_rough")
 
 
-def slice_bounds(df: DataFrame, columns: Sequence[Column], rows_per_slice: int) -> list[list[int]] | None:
-    """Quantiles of each column that cut the table into slices; None when one slice will do.
+def slice_bounds(df: DataFrame, columns: Sequence[Column], slices: int) -> list[list[int]]:
+    """Quantiles of each column that cut the table into slices.
 
-    One pass over the two columns; what comes to the driver is at most ``MAX_SLICES`` numbers each.
+    One pass over the columns; what comes to the driver is at most ``MAX_SLICES`` numbers each.
     """
-    count = df.count()
-    slices = min(-(-count // rows_per_slice), MAX_SLICES)
-    if slices < 2:
-        return None
     marks = [i / slices for i in range(1, slices)]
     quantiles = df.select(
         *[F.percentile_approx(c, marks, 10 * slices).alias(f"q{i}") for i, c in enumerate(columns)]
@@ -83,35 +82,55 @@ def with_position(
 ) -> DataFrame:
     """Add each row's place (from 1) in its key's event-time order; ties keep arrival order.
 
-    ``arrival`` is an integer, unique inside a key. ``measure`` is a table with the same ``time``
-    and ``arrival`` columns to take the slice bounds from, where ``df`` itself is costly to run.
+    ``arrival`` is an integer, unique inside a key. ``measure`` is a table with the same columns to
+    find hot keys and slice bounds in, where ``df`` itself is costly to run.
     """
     keys = [key] if isinstance(key, str) else list(key)
     t, a = micros(df, time), F.col(arrival).cast("bigint")
-    bounds = slice_bounds(df if measure is None else measure, (t, a), rows_per_slice)
-    if bounds is None:
-        return df.withColumn(out, F.row_number().over(W.partitionBy(*keys).orderBy(time, arrival)))
-    times, arrivals = bounds
+    measure = df if measure is None else measure
+    count = measure.count()
+    slices = min(-(-count // rows_per_slice), MAX_SLICES)
+    hot = _hot_keys(measure, keys, count // slices) if slices > 1 else None
+    if hot is None:
+        place = F.row_number().over(W.partitionBy(*keys).orderBy(time, arrival))
+        return df.withColumn(out, place.cast("bigint"))
+
+    times, arrivals = slice_bounds(measure, (t, a), slices)
     # A bound is a slice of its own, since one event time may hold many rows; inside it, rows are
     # cut further by arrival. Other slices hold fewer rows than lie between two quantiles.
     cut = with_step(with_step(df, t, times, "_below"), a, arrivals, "_arrival_step")
-    if times:
-        on_bound = F.coalesce(F.get(F.lit(times), "_below") == t, F.lit(False))
-    else:
-        on_bound = F.lit(False)
+    on_bound = F.coalesce(F.get(F.lit(times), "_below") == t, F.lit(False)) if times else F.lit(False)
+    same = [F.col(k).eqNullSafe(F.col(f"_hot_{i}")) for i, k in enumerate(keys)]
+    cut = cut.join(hot, same, "left")
+    cold = F.col("_hot").isNull()
     cut = cut.withColumns(
         {
-            "_slice": F.when(t.isNull(), -1).otherwise(F.col("_below") * 2 + on_bound.cast("int")),
-            "_part": F.when(t.isNull() | on_bound, F.col("_arrival_step")).otherwise(0),
+            "_slice": F.when(cold | t.isNull(), -1).otherwise(F.col("_below") * 2 + on_bound.cast("int")),
+            # Any number that is the same for all rows of a cold key; this one spreads the join below.
+            "_part": F.when(cold, F.pmod(F.xxhash64(*keys), F.lit(MAX_SLICES)).cast("int"))
+            .when(t.isNull() | on_bound, F.col("_arrival_step"))
+            .otherwise(0),
         }
     )
-    place = [*keys, "_slice", "_part"]
-    sizes = cut.groupBy(*place).agg(F.count(F.lit(1)).alias("_size"))
-    earlier = W.partitionBy(*keys).orderBy("_slice", "_part").rowsBetween(W.unboundedPreceding, -1)
-    sizes = sizes.select(*place, F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_earlier"))
-    inside = F.row_number().over(W.partitionBy(*place).orderBy(time, arrival))
-    ranked = cut.withColumn("_inside", inside).join(sizes, place)
-    return ranked.select(*df.columns, (F.col("_earlier") + F.col("_inside")).cast("int").alias(out))
+    place = ["_hot", "_slice", "_part"]
+    sizes = cut.filter(~cold).groupBy(*place).agg(F.count(F.lit(1)).alias("_size"))
+    earlier = W.partitionBy("_hot").orderBy("_slice", "_part").rowsBetween(W.unboundedPreceding, -1)
+    sizes = sizes.select(*place, F.sum("_size").over(earlier).alias("_earlier"))
+    inside = F.row_number().over(W.partitionBy(*keys, "_slice", "_part").orderBy(time, arrival))
+    ranked = cut.withColumn("_inside", inside).join(stored(sizes, "slices"), place, "left")
+    position = F.coalesce("_earlier", F.lit(0)) + F.col("_inside")
+    return ranked.select(*df.columns, position.cast("bigint").alias(out))
+
+
+def _hot_keys(df: DataFrame, keys: Sequence[str], more_than: int) -> DataFrame | None:
+    """The keys with more rows than that, numbered, or None. They are few: fewer than ``MAX_SLICES``."""
+    heavy = df.groupBy(*keys).count().filter(F.col("count") > more_than).select(*keys).collect()
+    if not heavy:
+        return None
+    names = [f"_hot_{i}" for i in range(len(keys))]
+    kinds = [T.StructField(n, df.schema[k].dataType) for n, k in zip(names, keys)]
+    schema = T.StructType([*kinds, T.StructField("_hot", T.IntegerType())])
+    return F.broadcast(df.sparkSession.createDataFrame([(*row, i) for i, row in enumerate(heavy)], schema))
 
 
 def in_event_time_order(

@@ -175,7 +175,9 @@ def mark_late(
     emitted = points.select(key, "_turn", F.max("_fired").over(so_far).alias("_emitted"))
 
     ahead = rows.filter(~is_behind).select(*log.columns, F.lit(False).alias(out))
-    judged = rows.filter(is_behind).join(emitted, [key, "_turn"], "left")
+    emitted = emitted.withColumnsRenamed({key: "_key", "_turn": "_until"})
+    met = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_turn") == F.col("_until"))
+    judged = rows.filter(is_behind).join(emitted, met, "left")
     late = F.coalesce(F.col("_t") <= F.col("_emitted"), F.lit(False))
     return ahead.unionByName(judged.select(*log.columns, late.alias(out)))
 

@@ -77,7 +77,7 @@ kept AS (SELECT a.* FROM arrivals a WHERE NOT EXISTS (
          SELECT 1 FROM fired f WHERE f.routing_key = a.routing_key AND f.fire <= a.turn
          AND f.event_time >= a.event_time))"""
 
-PLACE = """CAST(row_number() OVER (PARTITION BY routing_key ORDER BY event_time, "offset") AS INTEGER)"""
+PLACE = """row_number() OVER (PARTITION BY routing_key ORDER BY event_time, "offset")"""
 
 TEN_DAYS = JITTERED.replace("// 3600 AS epoch", "// 864000 AS epoch") + _BOUNDS
 
@@ -227,7 +227,7 @@ ORACLE = {
     "route_by_key": _per_key("CAST(user_id AS VARCHAR)"),
     "route_by_expr": _per_key("event_type || '-' || json_extract_string(props, '$.k')"),
     "event_time_order": f"""WITH {JITTERED} SELECT routing_key, "offset", event_time,
-        CAST(row_number() OVER (PARTITION BY routing_key ORDER BY event_time, "offset") AS INTEGER) AS "position"
+        row_number() OVER (PARTITION BY routing_key ORDER BY event_time, "offset") AS "position"
         FROM jittered""",
     "lower_bound_watermark": f"""WITH {BOUNDS} SELECT epoch, bound AS watermark FROM bounds
         WHERE in_force IS NULL OR bound > in_force""",
@@ -243,7 +243,7 @@ ORACLE = {
         SELECT routing_key, "offset", event_time, {PLACE} AS "position" FROM kept""",
     "append_roundtrip": COPIED,
     "ordered_write": f"""WITH {JITTERED} SELECT routing_key, "offset" AS event_id, event_time,
-        CAST(row_number() OVER (PARTITION BY routing_key ORDER BY event_time, "offset") AS INTEGER) AS "position"
+        row_number() OVER (PARTITION BY routing_key ORDER BY event_time, "offset") AS "position"
         FROM jittered""",
     "sink_at_least_once": "SELECT event_id, CAST(2 AS BIGINT) AS copies FROM events",
     "sink_exactly_once": "SELECT event_id, event_type, props AS payload FROM events",

@@ -23,6 +23,8 @@ UNBOUNDED_TEXT = ""
 
 # A cut of at most this many segments becomes a plain filter; a larger one becomes a join.
 FILTER_SEGMENTS = 64
+# A cut of at most this many segments (some 16 MB) is broadcast when it is joined.
+BROADCAST_SEGMENTS = 1_000_000
 
 
 class Cut(dict):
@@ -46,7 +48,9 @@ class Cut(dict):
             raise ValueError(f"not the text form of a cut: {text!r}") from error
 
     def table(self, spark: SparkSession, offset: str = "offset") -> DataFrame:
-        return spark.createDataFrame(list(self.items()), f"segment int, {offset} bigint")
+        """The cut as rows; broadcast in joins, unless it names more segments than fit a task."""
+        rows = spark.createDataFrame(list(self.items()), f"segment int, {offset} bigint")
+        return F.broadcast(rows) if len(self) <= BROADCAST_SEGMENTS else rows
 
 
 def cut_text(rows: DataFrame, *by: str) -> DataFrame:

@@ -111,8 +111,10 @@ class EventTimeOrdering:
 
         Few rows are behind, so their keys cut the emitted times down before those are folded.
         """
-        asked = emitted.join(behind.select(self.key).distinct(), self.key, "left_semi")
-        judged = behind.join(self._newest(asked), self.key, "left")
+        same = F.col(self.key).eqNullSafe(F.col("_key"))
+        asked = emitted.join(behind.select(F.col(self.key).alias("_key")).distinct(), same, "left_semi")
+        newest = self._newest(asked).withColumnRenamed(self.key, "_key")
+        judged = behind.join(newest, same, "left")
         fresh = F.col("_emitted").isNull() | (F.col("_t") > F.col("_emitted"))
         return judged.filter(fresh).select(*behind.columns)
 
