@@ -1,7 +1,9 @@
 """Stream tables: appends, delivery guarantees, order, the catalog."""
 
+import glob
 import threading
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -93,6 +95,21 @@ def test_write_in_event_time_order(spark, root):
         assert len(got) == 400 and got == sorted(got)
 
 
+@pytest.mark.parametrize("order", [None, ["value"]])
+@pytest.mark.parametrize("keep_arrival", [True, False])
+def test_files_hold_one_segment_in_offset_order(spark, stream, order, keep_arrival):
+    sinks.append(stream, integers(spark, 3_000), key="key", order=order, keep_arrival=keep_arrival, tasks=5)
+    spans = {}
+    for name in glob.glob(f"{stream.data}/**/*.parquet", recursive=True):
+        offsets = pq.ParquetFile(name).read(["offset"])["offset"].to_pylist()
+        assert offsets == sorted(offsets)
+        spans.setdefault(name.split("segment=")[1][0], []).append((offsets[0], offsets[-1]))
+    # Ranges of offsets of one segment's files do not overlap, so a cut skips whole files.
+    for files in spans.values():
+        files.sort()
+        assert all(a[1] < b[0] for a, b in zip(files, files[1:]))
+
+
 def test_replay_is_written_once(spark, stream):
     sink = StreamSink(stream, "q", EXACTLY_ONCE, key="key")
     for batch in (0, 1, 1, 0, 2):

@@ -34,12 +34,12 @@ def events_log(spark: SparkSession, folder: str, spread: bool = False) -> DataFr
     )
 
 
-def jittered_log(spark: SparkSession, folder: str) -> DataFrame:
+def jittered_log(spark: SparkSession, folder: str, spread: bool = False) -> DataFrame:
     """``events`` arriving out of order: event time up to 99 hours before arrival.
 
     An epoch is an hour of arrival.
     """
-    log = events_log(spark, folder, spread=True)
+    log = events_log(spark, folder, spread)
     hours = F.pmod(F.col("offset") * 37, F.lit(100)).cast("int")
     arrived = F.unix_date(F.col("event_time").cast("date")).cast("bigint") * 24 + F.hour("event_time")
     return log.withColumns(

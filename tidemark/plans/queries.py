@@ -375,7 +375,7 @@ def watermark_marks(spark: SparkSession, folder: str) -> DataFrame:
 
 def late_drop_replay(spark: SparkSession, folder: str) -> DataFrame:
     """What event-time ordering emits per key, and in which order, when events come late."""
-    log = jittered_log(spark, folder)
+    log = jittered_log(spark, folder, spread=True)
     emitted = watermarks.drop_late(log, "routing_key", "epoch", "event_time")
     ordered = ordering.with_position(emitted, "routing_key", "event_time", "offset", measure=log)
     return ordered.select("routing_key", "offset", "event_time", "position")

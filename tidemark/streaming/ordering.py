@@ -24,17 +24,18 @@ from tidemark.streaming.sinks import EXACTLY_ONCE, StreamSink
 
 
 def hold_until_watermark(stream: DataFrame, key: str, time: str, arrival: str, delay: str = "0 seconds",
-                         slots: int = 8) -> DataFrame:
+                         rows_per_entry: int = 1024) -> DataFrame:
     """Release each row once the watermark has passed its event time.
 
-    State is keyed by key, time and a slot of the arrival number, so neither a hot key nor a hot
-    moment becomes one large state entry. Rows released in one micro-batch are unordered: give
-    the sink ``order=[time, arrival]``. Micro-batches follow each other in event time.
+    ``arrival`` is an integer, unique inside a key. State is keyed by key, time and a stretch of
+    arrival numbers, so an entry holds at most ``rows_per_entry`` rows however hot a key or a moment
+    is. Rows released in one micro-batch are unordered: give the sink ``order=[time, arrival]``.
+    Micro-batches follow each other in event time.
     """
     rows = watermarked(stream, time, delay)
-    slot = F.pmod(F.xxhash64(arrival), F.lit(slots)).alias("_slot")
+    stretch = F.floor(F.col(arrival) / rows_per_entry).alias("_stretch")
     rest = [c for c in rows.columns if c not in (key, time)]
-    held = rows.groupBy(key, time, slot).agg(F.collect_list(F.struct(*rest)).alias("_rows"))
+    held = rows.groupBy(key, time, stretch).agg(F.collect_list(F.struct(*rest)).alias("_rows"))
     released = held.select(key, time, F.explode("_rows").alias("_row"))
     return released.select(*[c if c in (key, time) else F.col("_row").getField(c).alias(c) for c in rows.columns])
 
