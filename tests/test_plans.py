@@ -5,10 +5,11 @@ import re
 import pytest
 
 import __spark_entry__ as entry_point
+from tidemark.plans.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 PURE = [
-    n for n in sorted(entry_point.queries())
+    n for n in sorted(QUERIES)
     if not n.startswith(("sink_", "streaming_", "append_", "ordered_", "event_time_order_stream"))
 ]
 
