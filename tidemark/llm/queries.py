@@ -3,11 +3,23 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import cuckoo, language
+from tidemark.llm import bpe, cuckoo, language, packing, sharding
 from tidemark.llm.common import table
 
 
+def vocabulary(name: str) -> str:
+    """The place of a public tokenizer's file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.sharded_digests(table(spark, sf_dir, "documents"))
+
+
 def op2_language_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
@@ -16,9 +28,27 @@ def op4_cuckoo_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cuckoo.duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed_digests(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
+def op8_streaming_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = vocabulary("byte_bpe_50k.json")
+    encoded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path, drop=True)
+    return bpe.decode(encoded, path).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
+    "op1_histogram_sort": op1_histogram_sort,
     "op2_language_filters": op2_language_filters,
     "op4_cuckoo_dedup": op4_cuckoo_dedup,
+    "op7_nnls_packing": op7_nnls_packing,
+    "op8_streaming_bpe": op8_streaming_bpe,
 }
 
 ORACLE = {
