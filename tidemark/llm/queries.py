@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, cuckoo, language, packing, sharding
+from tidemark.llm import bpe, cuckoo, language, minhash, packing, sharding
 from tidemark.llm.common import table
 
 
@@ -43,12 +43,17 @@ def op8_streaming_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_oph_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), k=2)
+
+
 QUERIES = {
     "op1_histogram_sort": op1_histogram_sort,
     "op2_language_filters": op2_language_filters,
     "op4_cuckoo_dedup": op4_cuckoo_dedup,
     "op7_nnls_packing": op7_nnls_packing,
     "op8_streaming_bpe": op8_streaming_bpe,
+    "op10_oph_minhash": op10_oph_minhash,
 }
 
 ORACLE = {
