@@ -81,40 +81,36 @@ def _digit(word: str, shift: int, bits: int):
 ROUNDS = len(_pieces(10**6))
 
 
-def splitters(keys: DataFrame, targets: list[int], slack: int) -> list[tuple[tuple[int, ...], int, int]]:
-    """For each target (bytes below), the boundary as digits of the key, with the bytes and rows below it.
+def splitters(keys: DataFrame, targets: list[int], slack: int) -> list[tuple[tuple[int, int, int], int, int]]:
+    """For each target (bytes below), the boundary as the words of a key, with the bytes and rows below it.
 
-    A boundary is a prefix of digits; rows with smaller digits are below it. Rounds go on for the targets whose
-    best boundary is not within ``slack``; a round collects 2 ** BITS cells for each open cell.
+    Rows with smaller keys are below a boundary. Rounds go on for the targets whose best boundary is not within
+    ``slack``. A round collects at most 2 ** BITS cells for each open cell, and once no open cell
+    has more rows than that, its keys themselves, which ends the search.
     """
-    found: dict[int, tuple[tuple[int, ...], int, int]] = {}
+    found: dict[int, tuple[tuple[int, int, int], int, int]] = {}
     open_: dict[tuple[int, ...], list[int]] = {(): sorted(set(targets))}
-    start: dict[tuple[int, ...], tuple[int, int]] = {(): (0, 0)}
+    start: dict[tuple[int, ...], tuple[int, int, int]] = {(): (0, 0, keys.count())}
     for depth in range(1, ROUNDS + 1):
         if not open_:
             break
-        digits = [_digit(*p) for p in _pieces(depth)]
-        cells = keys
+        digits = [_digit(*p).alias(f"d{i}") for i, p in enumerate(_pieces(depth))]
+        named, above = keys.select("*", *digits), [f"d{i}" for i in range(depth - 1)]
         if depth > 1:  # only rows in cells that a splitter falls in
-            wanted = keys.sparkSession.createDataFrame(
-                [tuple(p) for p in open_], ", ".join(f"d{i} int" for i in range(depth - 1))
-            )
-            named = keys.select("*", *[d.alias(f"d{i}") for i, d in enumerate(digits)])
-            cells = named.join(F.broadcast(wanted), [f"d{i}" for i in range(depth - 1)], "left_semi")
-        else:
-            cells = keys.select("*", digits[0].alias("d0"))
-        counted = cells.groupBy(*[f"d{i}" for i in range(depth)]).agg(
-            F.sum("size").alias("bytes"), F.count("*").alias("rows")
-        )
+            wanted = keys.sparkSession.createDataFrame(list(open_), ", ".join(f"{d} int" for d in above))
+            named = named.join(F.broadcast(wanted), above, "left_semi")
+        last = depth == ROUNDS or max(start[p][2] for p in open_) <= 1 << BITS
+        by = WORDS if last else (f"d{depth - 1}",)
+        counted = named.groupBy(*above, *by).agg(F.sum("size").alias("bytes"), F.count("*").alias("rows"))
         inside: dict[tuple[int, ...], list] = {}
-        for r in counted.collect():  # at most 2 ** BITS cells for each open one
-            d = tuple(r[f"d{i}"] for i in range(depth))
-            inside.setdefault(d[:-1], []).append((d, r["bytes"], r["rows"]))
+        for r in counted.collect():
+            key = tuple(r[c] for c in by)
+            inside.setdefault(tuple(r[d] for d in above), []).append((key, r["bytes"], r["rows"]))
         next_open: dict[tuple[int, ...], list[int]] = {}
-        next_start: dict[tuple[int, ...], tuple[int, int]] = {}
+        next_start: dict[tuple[int, ...], tuple[int, int, int]] = {}
         for prefix, wanted_targets in open_.items():
             ordered = sorted(inside[prefix])
-            below, rows = start[prefix]
+            below, rows, _ = start[prefix]
             edges = [(below, rows)]
             for _, b, n in ordered:
                 below, rows = below + b, rows + n
@@ -122,16 +118,16 @@ def splitters(keys: DataFrame, targets: list[int], slack: int) -> list[tuple[tup
             sums = [e[0] for e in edges]
             for target in wanted_targets:
                 at = min(max(bisect_left(sums, target), 1), len(ordered))  # the cell ordered[at - 1] holds it
-                low, high = edges[at - 1], edges[at]
-                digit = ordered[at - 1][0]
-                if abs(low[0] - target) <= slack or abs(high[0] - target) <= slack or depth == ROUNDS:
-                    if abs(low[0] - target) <= abs(high[0] - target):
-                        found[target] = (digit, *low)
-                    else:
-                        found[target] = ((*digit[:-1], digit[-1] + 1), *high)
+                low, high, key = edges[at - 1], edges[at], ordered[at - 1][0]
+                upper = abs(high[0] - target) < abs(low[0] - target)
+                if last:
+                    found[target] = ((*key[:2], key[2] + 1), *high) if upper else (key, *low)
+                elif min(abs(low[0] - target), abs(high[0] - target)) <= slack:
+                    found[target] = (_below((*prefix, key[0] + upper)), *(high if upper else low))
                 else:
-                    next_open.setdefault(digit, []).append(target)
-                    next_start[digit] = low
+                    cell = (*prefix, key[0])
+                    next_open.setdefault(cell, []).append(target)
+                    next_start[cell] = (*low, ordered[at - 1][2])
         open_, start = next_open, next_start
     return [found[t] for t in targets]
 
@@ -157,12 +153,12 @@ def shard(df: DataFrame, shards: int = SHARDS) -> DataFrame:
     n = shards * parts
     targets = [round(totals["bytes"] * i / n) for i in range(1, n)]
     cuts = splitters(keys, targets, int(TOLERANCE * per_shard)) if totals["rows"] else []
-    edges = sorted({(*_below(c[0]), c[2]) for c in cuts if c[2]})
+    edges = sorted({(*c[0], c[2]) for c in cuts if c[2]})
     # Which part starts where: several splitters on one key leave the parts between them empty.
     bounds = [(0, 0, 0, 0)] + edges
     first_of = {}
     for i, c in enumerate(cuts, 1):
-        first_of[(*_below(c[0]), c[2])] = i
+        first_of[(*c[0], c[2])] = i
     part_at = [0] + [first_of[e] for e in edges]
     rows_below = {}
     for at, bound in zip(part_at, bounds, strict=True):
