@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, cuckoo, language, minhash, packing, sharding
+from tidemark.llm import bpe, chaining, cuckoo, language, minhash, packing, sharding
 from tidemark.llm.common import table
 
 
@@ -28,6 +28,10 @@ def op4_cuckoo_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cuckoo.duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_collinear_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chaining.passages(table(spark, sf_dir, "documents"))
+
+
 def op7_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_digests(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
@@ -51,6 +55,7 @@ QUERIES = {
     "op1_histogram_sort": op1_histogram_sort,
     "op2_language_filters": op2_language_filters,
     "op4_cuckoo_dedup": op4_cuckoo_dedup,
+    "op6_collinear_passages": op6_collinear_passages,
     "op7_nnls_packing": op7_nnls_packing,
     "op8_streaming_bpe": op8_streaming_bpe,
     "op10_oph_minhash": op10_oph_minhash,
