@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, chaining, cuckoo, language, minhash, packing, sharding
+from tidemark.llm import bpe, chaining, cuckoo, language, minhash, packing, sharding, suffixes
 from tidemark.llm.common import table
 
 
@@ -47,6 +47,10 @@ def op8_streaming_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_suffix_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.removed(table(spark, sf_dir, "documents"))
+
+
 def op10_oph_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), k=2)
 
@@ -58,6 +62,7 @@ QUERIES = {
     "op6_collinear_passages": op6_collinear_passages,
     "op7_nnls_packing": op7_nnls_packing,
     "op8_streaming_bpe": op8_streaming_bpe,
+    "op9_suffix_levels": op9_suffix_levels,
     "op10_oph_minhash": op10_oph_minhash,
 }
 
