@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, chaining, cuckoo, language, minhash, packing, sharding, suffixes
+from tidemark.llm import bpe, chaining, cuckoo, inner_products, language, minhash, packing, sharding, suffixes
 from tidemark.llm.common import table
 
 
@@ -24,6 +24,10 @@ def op2_language_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
 
+def op3_norm_sorted_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return inner_products.top_products(table(spark, sf_dir, "embeddings"), F.pmod("vec_id", F.lit(100)) == 0)
+
+
 def op4_cuckoo_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cuckoo.duplicates(table(spark, sf_dir, "documents"))
 
@@ -58,6 +62,7 @@ def op10_oph_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_histogram_sort": op1_histogram_sort,
     "op2_language_filters": op2_language_filters,
+    "op3_norm_sorted_products": op3_norm_sorted_products,
     "op4_cuckoo_dedup": op4_cuckoo_dedup,
     "op6_collinear_passages": op6_collinear_passages,
     "op7_nnls_packing": op7_nnls_packing,
@@ -67,6 +72,16 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op3_norm_sorted_products": """
+        WITH usable AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v::DOUBLE[], c.v::DOUBLE[]) AS BIGINT) AS score
+            FROM usable q JOIN usable c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0)
+        SELECT query_id, CAST(row_number() OVER best AS INTEGER) AS rank, vec_id, score
+        FROM scored WINDOW best AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY rank <= 10""",
     "op4_cuckoo_dedup": r"""
         WITH normalised AS (
             SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256
