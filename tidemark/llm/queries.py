@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, chaining, cuckoo, inner_products, language, minhash, packing, sharding, suffixes
+from tidemark.llm import bpe, chaining, cuckoo, inner_products, language, minhash, packing, sharding, suffixes, toxicity
 from tidemark.llm.common import table
 
 
@@ -32,6 +32,10 @@ def op4_cuckoo_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cuckoo.duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_convolutional_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_collinear_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chaining.passages(table(spark, sf_dir, "documents"))
 
@@ -64,6 +68,7 @@ QUERIES = {
     "op2_language_filters": op2_language_filters,
     "op3_norm_sorted_products": op3_norm_sorted_products,
     "op4_cuckoo_dedup": op4_cuckoo_dedup,
+    "op5_convolutional_toxicity": op5_convolutional_toxicity,
     "op6_collinear_passages": op6_collinear_passages,
     "op7_nnls_packing": op7_nnls_packing,
     "op8_streaming_bpe": op8_streaming_bpe,
