@@ -10,6 +10,8 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.settings import shared_folder
+
 #: Rows of one key that one task may get in a join before the key is salted, at least.
 HOT_ROWS = 2_000
 #: Most keys that may be salted; the row limit rises with the table so that there are never more.
@@ -22,6 +24,14 @@ MIX = np.uint64(0x9E3779B97F4A7C15)
 MASK63 = (1 << 63) - 1
 
 
+def free_name(columns: list[str], base: str) -> str:
+    """``base``, lengthened until no column has that name in any case."""
+    taken = {c.lower() for c in columns}
+    while base.lower() in taken:
+        base += "_"
+    return base
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -95,6 +105,13 @@ def signed(x: np.ndarray) -> np.ndarray:
     return x.astype(np.uint64, copy=False).view(np.int64)
 
 
+def compact(df: DataFrame, purpose: str) -> DataFrame:
+    """As ``stored``, for wide rows: compressed more tightly."""
+    folder = shared_folder(df.sparkSession, purpose)
+    df.write.option("compression", "zstd").parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def salted_join(many: DataFrame, one: DataFrame, key: str, total: int | None = None, how: str = "inner") -> DataFrame:
     """Joins ``many`` with ``one``, whose keys are unique, on ``key``; no task gets an unbounded group.
 

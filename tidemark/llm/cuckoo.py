@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import rows_at_once, salted_join
+from tidemark.llm.common import free_name, rows_at_once, salted_join
 from tidemark.settings import stored
 
 SPACE = r"[\x20\x09-\x0D]+"
@@ -222,5 +222,8 @@ def duplicates(documents: DataFrame) -> DataFrame:
 
 def kept_documents(documents: DataFrame) -> DataFrame:
     """The rows of ``documents`` that stay, with all their columns."""
-    gone = duplicates(documents).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    return documents.join(gone, documents["doc_id"].eqNullSafe(gone["_gone"]), "left_anti")
+    gone_id, gone_digest = (free_name(documents.columns, c) for c in ("gone_id", "gone_digest"))
+    gone = duplicates(documents).where(~F.col("kept"))
+    gone = gone.select(F.col("doc_id").alias(gone_id), F.col("text_sha256").alias(gone_digest)).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col(gone_id)) & (digest(F.col("text")) == F.col(gone_digest))
+    return documents.join(gone, same, "left_anti")

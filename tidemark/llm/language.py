@@ -194,8 +194,10 @@ def learn(rows: DataFrame) -> LanguageFilters:
     return LanguageFilters(list(sizes), {k: np.array(v, np.int64).view(np.uint64) for k, v in found.items()}, usual)
 
 
-def predict(documents: DataFrame, model: LanguageFilters, columns: list[str]) -> DataFrame:
-    """``columns`` of ``documents`` with lang_pred and score; reads the column text besides."""
+def predict(
+    documents: DataFrame, model: LanguageFilters, columns: list[str], lang: str = "lang_pred", score: str = "score"
+) -> DataFrame:
+    """``columns`` of ``documents`` with two more, named by ``lang`` and ``score``; reads the column text besides."""
     shared = documents.sparkSession.sparkContext.broadcast(model)  # a fixed size per 64 languages
     kept = documents.select(*columns) if "text" in columns else documents.select(*columns, "text")
 
@@ -205,11 +207,11 @@ def predict(documents: DataFrame, model: LanguageFilters, columns: list[str]) ->
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(c) for c in columns],
                  pa.array([d[0] for d in decided], pa.string()), pa.array([d[1] for d in decided], pa.float64())],
-                [*columns, "lang_pred", "score"],
+                [*columns, lang, score],
             )
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.select(*columns).schema)
-    return in_batches(kept, run, f"{schema}, lang_pred string, score double")
+    return in_batches(kept, run, f"{schema}, `{lang}` string, `{score}` double")
 
 
 def held_out(column: str = "doc_id"):

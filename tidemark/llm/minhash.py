@@ -26,7 +26,20 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import MIX, hashes_of, in_batches, mix, rows_at_once, salted_join, shingles, signed, slices, texts, words_of
+from tidemark.llm.common import (
+    MIX,
+    free_name,
+    hashes_of,
+    in_batches,
+    mix,
+    rows_at_once,
+    salted_join,
+    shingles,
+    signed,
+    slices,
+    texts,
+    words_of,
+)
 from tidemark.llm.components import components
 from tidemark.settings import stored
 
@@ -217,5 +230,6 @@ def near_duplicates(documents: DataFrame, k: int = 5, percent: int = PERCENT) ->
 
 def kept_documents(documents: DataFrame, k: int = 5, percent: int = PERCENT) -> DataFrame:
     """The rows of ``documents`` of which one per group of near-duplicates stays, with all their columns."""
-    gone = near_duplicates(documents, k, percent).where(~F.col("kept")).select(F.col("doc_id").alias("_gone"))
-    return documents.join(gone.distinct(), documents["doc_id"].eqNullSafe(F.col("_gone")), "left_anti")
+    gone_id = free_name(documents.columns, "gone_id")
+    gone = near_duplicates(documents, k, percent).where(~F.col("kept")).select(F.col("doc_id").alias(gone_id))
+    return documents.join(gone.distinct(), F.col("doc_id") == F.col(gone_id), "left_anti")
