@@ -18,6 +18,7 @@ told apart by a row key of their own.
 from __future__ import annotations
 
 import re
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -26,8 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.llm.common import in_batches, slices, texts
-from tidemark.settings import stored
+from tidemark.llm.bpe import byte_symbols
+from tidemark.llm.common import compact, in_batches, slices, texts
 
 WINDOW = 4096
 END = 2
@@ -44,6 +45,8 @@ CACHED_CHARS = 40
 CACHE_ENTRIES = 600_000
 #: White space to Python's str.split that is none to the tokenizer.
 ODD = re.compile("[\x1c-\x1f]")
+#: Letters that normalisation keeps and whose lower case is one letter, and marks that follow them.
+LATIN = re.compile("([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([!-&(-/:-@\\[-`{-~]*)")
 
 
 # -- ids ---------------------------------------------------------------------------------------------
@@ -53,7 +56,8 @@ class WordIds(dict):
     """Ids of words between white space as packed 32-bit numbers, from the tokenizer.
 
     The tokenizer's normaliser and pre-tokenizer never look across white space, so a text's ids are those of
-    its words one after the other.
+    its words one after the other. A word of Latin letters in lower case is one pre-token that the
+    normaliser leaves alone, so it goes to the merge model directly; all other words take the whole way.
     """
 
     def __init__(self, path: str):
@@ -62,37 +66,36 @@ class WordIds(dict):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-
-    def prepare(self, words: set[str]) -> None:
-        """Encodes the words that are not there yet, those with a plain end without it."""
+        self.merge = self.tokenizer.model.tokenize
+        self.symbols = {b: c for b, c in byte_symbols().items() if b >= 128}
+
+    def letters(self, word: str) -> bytes:
+        found = self.get(word)
+        if found is None:
+            symbols = word
+            if not word.isascii():
+                symbols = "".join(chr(b) if b < 128 else self.symbols[b] for b in word.encode())
+            found = self[word] = array("I", [t.id for t in self.merge(symbols)]).tobytes()
+        return found
+
+    def __missing__(self, word: str) -> bytes:
         if len(self) > CACHE_ENTRIES:
             self.clear()
-        new = [w for w in words if w not in self]
-        core = {w: _core(w) for w in new}
-        lacking = list({part for pair in core.values() for part in pair if part and part not in self})
-        for word, encoded in zip(
-            lacking, self.tokenizer.encode_batch_fast(lacking, add_special_tokens=False), strict=True
-        ):
-            self[word] = np.array(encoded.ids, "<u4").tobytes()
-        for word, (head, tail) in core.items():
-            self[word] = self[head] + self[tail] if tail else self[head]
+        parts = LATIN.fullmatch(word)
+        if parts is None:
+            found = array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+        else:
+            found = self.letters(parts[1].lower())
+            if parts[2]:
+                found += self[parts[2]]
+        if len(word) <= CACHED_CHARS:
+            self[word] = found
+        return found
 
     def encode(self, text: str) -> bytes:
         if ODD.search(text):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        words = text.split()
-        self.prepare(set(words))
-        out = b"".join(map(self.__getitem__, words))
-        for w in words:
-            if len(w) > CACHED_CHARS:
-                self.pop(w, None)
-        return out
-
-
-def _core(word: str) -> tuple[str, str]:
-    """A word of ASCII letters in lower case and the mark after it; any other word whole."""
-    head, tail = (word[:-1], word[-1]) if word[-1] in ".,;:!?" else (word, "")
-    return (head.lower(), tail) if head.isascii() and head.isalpha() else (word, "")
+            return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        return b"".join(map(self.__getitem__, text.split()))
 
 
 @lru_cache(2)
@@ -225,7 +228,7 @@ def pack(documents: DataFrame, path: str, window: int = WINDOW) -> DataFrame:
     ``ids`` holds the piece's ids, little-endian unsigned 32-bit.
     """
     spark = documents.sparkSession
-    pieces = stored(tokenise(documents, path, window), "pieces")
+    pieces = compact(tokenise(documents, path, window), "pieces")
     rests = pieces.where(F.col("length") < window)
     histogram = {r["length"]: r["count"] for r in rests.groupBy("length").count().collect()}  # < window rows
     most = max(histogram.values(), default=0)
