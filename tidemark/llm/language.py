@@ -156,7 +156,7 @@ def _documents_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         for lang, found in by.items():
             values, n = np.unique(np.concatenate(found), return_counts=True)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(values)), pa.array(signed(values)), pa.array(n.astype(np.int64))],
+                [pa.array([lang] * len(values), pa.string()), pa.array(signed(values)), pa.array(n.astype(np.int64))],
                 ["lang", "gram", "n"],
             )
 
