@@ -1,0 +1,223 @@
+"""Large batches, tables in folders, nulls at every switch, torn control files, refusals."""
+
+import json
+import os
+from types import SimpleNamespace
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tests.oracle import connect, duckdb_result, spark_result
+from tidemark.functions import cdc
+from tidemark.functions.events import decode_json
+from tidemark.functions.schematext import avro_schema_text
+from tidemark.operators.running import running
+from tidemark.plans.oracle import ORACLE
+from tidemark.plans.queries import QUERIES
+from tidemark.settings import shared_folder
+from tidemark.sources import cuts, layout
+from tidemark.sources.catalog import Catalog
+from tidemark.sources.cuts import Cut
+from tidemark.sources.files import Files
+from tidemark.sources.layout import StreamTable
+from tidemark.streaming import sinks
+from tidemark.streaming.metrics import MetricsListener
+from tidemark.streaming.ordering import EventTimeOrdering, hold_until_watermark
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize("keep_arrival", [True, False])
+def test_a_batch_takes_as_many_tasks_as_its_rows_need(spark, root, monkeypatch, keep_arrival):
+    monkeypatch.setattr(layout, "PLANNED_ROWS", 100)
+    monkeypatch.setattr(layout, "TASK_BITS", 9)
+    monkeypatch.setattr(layout, "ROWS_PER_TASK", 1 << 9)
+    stream = StreamTable(spark, root, "s/t").create("v bigint")
+    rows = spark.range(20_000).select(F.col("id").alias("v"), F.when(F.col("id") % 3 > 0, "hot").alias("k")).coalesce(1)
+    sinks.append(stream, rows, key=F.col("k"), keep_arrival=keep_arrival, tasks=1)
+    kept = stream.read()
+    assert sorted(r["v"] for r in kept.collect()) == list(range(20_000))
+    assert kept.select("segment", "offset").distinct().count() == 20_000
+    if keep_arrival:
+        for rows_ in kept.groupBy("segment").agg(F.array_sort(F.collect_list(F.struct("offset", "v"))).alias("x")).collect():
+            values = [x["v"] for x in rows_["x"]]
+            assert values == sorted(values)
+
+
+def test_replay_with_more_tasks_than_claimed_is_refused(spark, root):
+    stream = StreamTable(spark, root, "s/t").create("v bigint")
+    stream.claim("q", 0, 10)
+    with pytest.raises(ValueError, match="claimed"):
+        stream.claim("q", 0, layout.TASKS_PER_EPOCH + 1)
+
+
+@pytest.fixture(scope="module")
+def folders(spark, tmp_path_factory):
+    """The tables as folders of part files."""
+    out = str(tmp_path_factory.mktemp("folders"))
+    for name in os.listdir(FOLDER):
+        spark.read.parquet(f"{FOLDER}/{name}").repartition(3).write.parquet(f"{out}/{name}")
+    return out
+
+
+@pytest.mark.parametrize(
+    "name", ["sink_at_least_once", "sink_exactly_once", "streaming_parity", "streaming_resume", "stream_scan_full",
+             "append_roundtrip", "word_count_window"])
+def test_tables_in_folders_are_read_whole(spark, folders, name):
+    columns, rows = spark_result(QUERIES[name](spark, folders))
+    assert rows and (columns, rows) == duckdb_result(connect(FOLDER), ORACLE[name])
+
+
+def test_cut_paths_agree_on_null_segments(spark):
+    log = spark.createDataFrame([(0, 1), (0, 9), (1, 5), (7, 1), (None, 3)], "segment int, offset bigint")
+    few = Cut({0: 5, 1: 5})
+    many = few | {s: 0 for s in range(100, 100 + cuts.FILTER_SEGMENTS)}
+    for strict in (False, True):
+        plain = sorted(map(str, cuts.after(log, few, strict).collect()))
+        assert plain == sorted(map(str, cuts.after(log, Cut(many), strict).collect()))
+        plain = sorted(map(str, cuts.before(log, few, strict).collect()))
+        assert plain == sorted(map(str, cuts.before(log, Cut(many), strict).collect()))
+
+
+def test_load_cuts_skips_positions_that_are_null(spark):
+    log = spark.createDataFrame([(0, 1, None), (1, 5, 4)], "segment int, offset bigint, other bigint")
+    assert cuts.load_cuts(log, x=F.max("other"), y=F.max("offset")) == {"x": {1: 4}, "y": {0: 1, 1: 5}}
+
+
+@pytest.mark.parametrize("how", ["sum", "max"])
+def test_running_paths_agree_on_nulls_and_sparse_orders(spark, how):
+    rows = [(p, None if i == 0 else i * 10**9 + i * i, i % 7) for p in ("a", None) for i in range(40)]
+    df = spark.createDataFrame(rows, "p string, o bigint, v bigint")
+    for inclusive in (True, False):
+        small = running(df, "o", F.col("v"), "r", how=how, partition=["p"], inclusive=inclusive, rows_known=len(rows))
+        blocks = running(df, "o", F.col("v"), "r", how=how, partition=["p"], inclusive=inclusive, block=9)
+        assert sorted(map(str, small.collect())) == sorted(map(str, blocks.collect()))
+        assert blocks.count() == len(rows)
+
+
+def test_control_files_appear_whole_or_not_at_all(spark, root, monkeypatch):
+    files = Files(spark, root)
+    assert files.create(f"{root}/c/1.json", "{}") and not files.create(f"{root}/c/1.json", "other")
+    assert files.read(f"{root}/c/1.json") == "{}" and files.names(f"{root}/c") == ["1.json"]
+    monkeypatch.setattr(os, "link", lambda *_: (_ for _ in ()).throw(OSError("stopped")))
+    with pytest.raises(OSError):
+        files.create(f"{root}/c/2.json", "{}")
+    assert not files.exists(f"{root}/c/2.json") and files.names(f"{root}/c") == ["1.json"]
+
+
+@pytest.mark.parametrize("guarantee", sinks.GUARANTEES)
+def test_committed_watermarks_never_fall(spark, root, guarantee):
+    stream = StreamTable(spark, root, "s/t").create("t timestamp_ntz")
+    batch = lambda second: spark.sql(f"SELECT timestamp_ntz'1970-01-01 00:00:{second}' AS t")
+    for number, second in enumerate((40, 20)):  # the second run starts anew with older rows
+        sinks.StreamSink(stream, "q", guarantee, event_time="t").write(batch(second), number)
+    marks = [r["watermark"] for r in stream.commits().orderBy("ingest_epoch").collect()]
+    assert marks == [40_000_000, 40_000_000]
+
+
+def test_a_batch_published_but_not_logged_keeps_the_watermark(spark, root):
+    stream = StreamTable(spark, root, "s/t").create("t timestamp_ntz")
+    sink = lambda: sinks.StreamSink(stream, "q", sinks.EXACTLY_ONCE, event_time="t")
+    for number, second in enumerate((40, 20)):
+        sink().write(spark.sql(f"SELECT timestamp_ntz'1970-01-01 00:00:{second}' AS t"), number)
+    claim = stream.claimed("q", 1)
+    stream.files.remove(f"{stream.folder}/commits/{claim.epoch:010d}.json")
+    sink().write(spark.sql("SELECT timestamp_ntz'1970-01-01 00:00:20' AS t"), 1)
+    marks = [r["watermark"] for r in stream.commits().orderBy("ingest_epoch").collect()]
+    assert marks == [40_000_000, 40_000_000]
+
+
+def test_sinks_take_inserts_only(spark, root):
+    stream = StreamTable(spark, root, "s/t").create("v bigint")
+    rows = spark.createDataFrame([(1, "+I"), (2, "+I")], "v bigint, row_kind string")
+    sinks.append(stream, rows)
+    assert stream.read().count() == 2
+    with pytest.raises(Exception, match="append-only"):
+        sinks.append(stream, rows.union(spark.createDataFrame([(3, "-D")], rows.schema)))
+    assert stream.read().count() == 2
+
+
+@pytest.mark.parametrize("event", ['{"op":"u","after":{"v":1}}', '{"op":"d","after":null}', '{"op":"c"}'])
+def test_debezium_refuses_missing_images(spark, event):
+    rows = spark.createDataFrame([(event,)], "payload string")
+    with pytest.raises(Exception, match="without"):
+        cdc.debezium_changes(rows, "v bigint").collect()
+
+
+def test_canal_refuses_missing_old_values_and_parses_once(spark):
+    row = '{"type":"UPDATE","database":"d","table":"t","data":[{"v":"1"}]}'
+    rows = spark.createDataFrame([(row,)], "payload string")
+    with pytest.raises(Exception, match="old values"):
+        cdc.canal_changes(rows, "v bigint").collect()
+    other = cdc.canal_changes(rows, "v bigint", database="x.*")
+    assert other.count() == 0
+    assert other._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
+
+
+def test_only_the_failed_query_is_marked(spark):
+    listener = MetricsListener()
+    for name in ("a", "b"):
+        listener.onQueryStarted(SimpleNamespace(name=name, runId=f"run-{name}"))
+    listener.onQueryTerminated(SimpleNamespace(runId="run-a", exception="broken"))
+    listener.onQueryTerminated(SimpleNamespace(runId="run-b", exception=None))
+    assert listener.queries["a"].failed == "broken" and listener.queries["b"].failed is None
+
+
+def test_nine_fraction_digits_are_cut_to_six(spark):
+    rows = spark.createDataFrame([('{"t":"2020-01-01 00:00:43.123456789"}',)], "payload string")
+    got = decode_json(rows, "t timestamp_ntz", timestamp_format="SQL").select(F.col("t").cast("string")).first()[0]
+    assert got == "2020-01-01 00:00:43.123456"
+
+
+def test_declared_tables_read_their_latest_version(spark, root):
+    catalog = Catalog(spark, root, "s")
+    catalog.create_table("t", T.StructType.fromDDL("a bigint")) if hasattr(catalog, "create_table") else None
+    stream = catalog.stream("t")
+    sinks.append(stream, spark.range(2).select(F.col("id").alias("a")))
+    catalog.register_schema("t", T.StructType.fromDDL("a bigint, b string"))
+    assert stream.read(catalog.version_in_force("t")).select("a", "b").collect()[0]["b"] is None
+
+
+def test_avro_groups_are_not_decoded_as_json(spark, root):
+    catalog = Catalog(spark, root, "s", format="avro")
+    catalog.register_schema("t", T.StructType.fromDDL("a bigint"))
+    rows = spark.createDataFrame([('{"a":1}',)], "payload string")
+    with pytest.raises(ValueError, match="avro"):
+        catalog.decode(rows, "t")
+
+
+def test_avro_schema_text():
+    row = T.StructType.fromDDL("a bigint NOT NULL, b array<struct<x: decimal(10,2)>>, c map<string,date>, d timestamp")
+    found = json.loads(avro_schema_text(row, "r"))
+    assert found["name"] == "r" and found["fields"][0] == {"name": "a", "type": "long"}
+    item = found["fields"][1]["type"][1]["items"][1]
+    assert item["type"] == "record" and item["fields"][0]["type"][1]["precision"] == 10
+    assert found["fields"][2]["type"][1]["values"][1]["logicalType"] == "date"
+    with pytest.raises(TypeError):
+        avro_schema_text(T.StructType.fromDDL("m map<int,int>"))
+
+
+def test_writes_after_finish_are_refused_not_lost(spark, root):
+    stream = StreamTable(spark, root, "s/t").create("t bigint, k string, segment_ int")
+    sink = sinks.StreamSink(stream, "o", sinks.EXACTLY_ONCE, key=F.col("k"), order=["t"])
+    ordered = EventTimeOrdering(sink, shared_folder(spark, "state"), "k", "t", segment="segment_")
+    batch = lambda *times: spark.createDataFrame([(t, "a", 0) for t in times], "t bigint, k string, segment_ int")
+    ordered.write(batch(10, 20), 0)
+    ordered.finish()
+    ordered.finish()
+    ordered.write(batch(10, 20), 0)  # a replay
+    assert sorted(r["t"] for r in stream.read().collect()) == [10, 20]
+    with pytest.raises(ValueError, match="finished"):
+        ordered.write(batch(100), 1)
+
+
+def test_rows_without_a_time_pass_at_once(spark, root):
+    source = StreamTable(spark, root, "s/in").create("a bigint, t timestamp_ntz")
+    target = StreamTable(spark, root, "s/out").create("a bigint, t timestamp_ntz, k string")
+    rows = spark.sql("SELECT * FROM VALUES (1, timestamp_ntz'2020-01-01 00:00:01'), (2, NULL) AS x(a, t)")
+    sinks.append(source, rows)
+    live = source.tail().select("a", "t", F.lit("k").alias("k"))
+    sink = sinks.StreamSink(target, "held", sinks.EXACTLY_ONCE)
+    sinks.start(hold_until_watermark(live, "k", "t", "a"), sink, f"{root}/cp", available_now=True).awaitTermination()
+    assert 2 in [r["a"] for r in target.read().collect()]

@@ -103,12 +103,18 @@ def debezium_changes(
         "source.properties": F.from_json(F.get_json_object(payload, prefix), "map<string,string>"),
     }
     op = e["op"]
+
+    def needed(name: str) -> Column:
+        """An image the operation must carry; without it, sums over the changelog would be wrong in silence."""
+        refuse = F.raise_error(F.concat(F.lit("change operation "), op, F.lit(f" without {name}")))
+        return F.when(e[name].isNull(), refuse.cast(row)).otherwise(e[name])
+
     # A null payload (a tombstone) parses to null and explodes to no row.
     changes = (
         F.when(e.isNull(), None)
-        .when(op.isin("c", "r"), F.array(_change("+I", 0, e["after"])))
-        .when(op == "u", F.array(_change("-U", 0, e["before"]), _change("+U", 1, e["after"])))
-        .when(op == "d", F.array(_change("-D", 0, e["before"])))
+        .when(op.isin("c", "r"), F.array(_change("+I", 0, needed("after"))))
+        .when(op == "u", F.array(_change("-U", 0, needed("before")), _change("+U", 1, needed("after"))))
+        .when(op == "d", F.array(_change("-D", 0, needed("before"))))
         .otherwise(F.raise_error(F.concat(F.lit("unknown change operation "), F.coalesce(op, F.lit("null")))))
     )
     return _spread(parsed, changes, keep, row, {k: sources[k] for k in metadata})
@@ -147,9 +153,11 @@ def canal_changes(
     )
     parsed = df.withColumn("_e", F.from_json(payload, kind, {"mode": "FAILFAST"}))
     e = F.col("_e")
+    # Inside the explode, not as a filter: that would be pushed below the parse and parse again.
+    foreign = F.lit(False)
     for name, pattern in (("database", database), ("table", table)):
         if pattern is not None:
-            parsed = parsed.filter(e[name].rlike(f"^(?:{pattern})$"))
+            foreign = foreign | ~F.coalesce(e[name].rlike(f"^(?:{pattern})$"), F.lit(False))
 
     def value(field: T.StructField, texts: Column) -> Column:
         text = texts[field.name]
@@ -161,13 +169,15 @@ def canal_changes(
         return F.struct(*[value(f, texts).alias(f.name) for f in row.fields])
 
     def update(now: Column, i: Column) -> Column:
-        before = F.map_concat(F.map_filter(now, lambda k, _: ~F.map_contains_key(old[i], k)), old[i])
+        refuse = F.raise_error(F.lit("an UPDATE without its old values")).cast(texts)
+        changed = F.when(old[i].isNull(), refuse).otherwise(old[i])
+        before = F.map_concat(F.map_filter(now, lambda k, _: ~F.map_contains_key(changed, k)), changed)
         return F.array(_change("-U", 0, image(before)), _change("+U", 1, image(now)))
 
     old = e["old"]
     kind_of = e["type"]
     changes = (
-        F.when(e.isNull() | (kind_of == "CREATE"), None)
+        F.when(e.isNull() | foreign | (kind_of == "CREATE"), None)
         .when(kind_of == "INSERT", F.transform(e["data"], lambda r: _change("+I", 0, image(r))))
         .when(kind_of == "UPDATE", F.flatten(F.transform(e["data"], update)))
         .when(kind_of == "DELETE", F.transform(e["data"], lambda r: _change("-D", 0, image(r))))

@@ -15,6 +15,12 @@ TIMESTAMP_FORMATS = {
     "ISO-8601": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]",
 }
 
+# The same for reading, where up to nine fraction digits may come; microseconds are kept.
+READING_FORMATS = {
+    "SQL": "yyyy-MM-dd HH:mm:ss[.SSSSSSSSS]",
+    "ISO-8601": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSSSSS]",
+}
+
 _CORRUPT = "_corrupt"
 
 
@@ -53,11 +59,11 @@ def _missing(text: Column, schema: T.StructType, path: str = "") -> list[Column]
     return found
 
 
-def _time_options(timestamp_format: str | None) -> dict[str, str]:
+def _time_options(timestamp_format: str | None, formats: dict[str, str] = TIMESTAMP_FORMATS) -> dict[str, str]:
     if timestamp_format is None:
         return {}
     try:
-        pattern = TIMESTAMP_FORMATS[timestamp_format]
+        pattern = formats[timestamp_format]
     except KeyError:
         raise ValueError(f"timestamp format is one of {sorted(TIMESTAMP_FORMATS)}") from None
     return {"timestampNTZFormat": pattern, "timestampFormat": pattern}
@@ -84,7 +90,7 @@ def decode_json(
     if ignore_parse_errors and fail_on_missing_field:
         raise ValueError("fail_on_missing_field and ignore_parse_errors exclude each other")
     fields = _as_schema(schema)
-    options = _time_options(timestamp_format)
+    options = _time_options(timestamp_format, READING_FORMATS)
     rows = df.filter(F.col(payload).isNotNull())
     if fail_on_missing_field:
         first = F.coalesce(*_missing(F.col(payload), fields))

@@ -1,73 +1,23 @@
 """Per-key event-time order that a hot key cannot pull into one task.
 
-A key with more rows than a task should sort is cut into slices along (event time, arrival). The
-slices are sorted on their own, and a row's position is its place in the slice plus the sizes of the
-key's earlier slices. Slice bounds are approximate quantiles of the whole table, so no slice holds
-much more than its share of the rows, whatever share one key or one event time has. Other keys
-are sorted as they are.
+A table with more rows than a task should sort is dealt over ranges of (key, event time, arrival), as many
+as its rows need, so no range holds much more than its share of the rows, whatever share one key or
+one event time has. A row's position is its place in its range plus the sizes of the key's parts in
+earlier ranges. There is no limit on the number of ranges.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tidemark.functions.times import micros
 from tidemark.settings import stored
 
-# Rows of one key that a task may comfortably sort.
+# Rows that a task may comfortably sort.
 ROWS_PER_SLICE = 4_000_000
-# At most so many slices, and so many hot keys: a hot key holds more rows than one slice would.
-MAX_SLICES = 4096
-
-# Up to this many bounds the search is unrolled into generated code.
-UNROLLED = 64
-
-
-def with_step(df: DataFrame, value: Column, bounds: Sequence[int], out: str) -> DataFrame:
-    """Add how many of the ascending ``bounds`` lie below the integer ``value``.
-
-    The bounds are distinct also as doubles. A null value gets some step or other.
-    """
-    if len(bounds) <= UNROLLED:
-
-        def search(low: int, high: int) -> Column:
-            if low == high:
-                return F.lit(low)
-            middle = (low + high) // 2
-            return F.when(value <= F.lit(bounds[middle]), search(low, middle)).otherwise(search(middle + 1, high))
-
-        return df.withColumn(out, search(0, len(bounds)))
-    # The search runs on doubles, whose rounding keeps the order. Only the bound that rounds to the
-    # same double as the value can be counted wrongly, so one exact comparison puts that right.
-    splits = [float("-inf"), *map(float, bounds), float("inf")]
-    rough = df.withColumns({"_value": value, "_double": F.coalesce(value, F.lit(0)).cast("double")})
-    rough = Bucketizer(splits=splits, inputCol="_double", outputCol="_rough").transform(rough)
-    at = F.col("_rough").cast("int")
-    over = F.coalesce(F.get(F.lit(list(bounds)), at - 1) >= F.col("_value"), F.lit(False)).cast("int")
-    return rough.withColumn(out, at - over).drop("_value", "_double", "_rough")
-
-
-def slice_bounds(df: DataFrame, columns: Sequence[Column], slices: int) -> list[list[int]]:
-    """Quantiles of each column that cut the table into slices.
-
-    One pass over the columns; what comes to the driver is at most ``MAX_SLICES`` numbers each.
-    """
-    marks = [i / slices for i in range(1, slices)]
-    quantiles = df.select(
-        *[F.percentile_approx(c, marks, 10 * slices).alias(f"q{i}") for i, c in enumerate(columns)]
-    ).first()
-    return [distinct_as_doubles(q or []) for q in quantiles]
-
-
-def distinct_as_doubles(bounds: Sequence[int]) -> list[int]:
-    """Ascending bounds, one for each double they round to."""
-    return sorted({float(b): b for b in bounds}.values())
 
 
 def with_position(
@@ -82,57 +32,32 @@ def with_position(
 ) -> DataFrame:
     """Add each row's place (from 1) in its key's event-time order; ties keep arrival order.
 
-    ``arrival`` is an integer, unique inside a key. ``measure`` is a table with the same columns to
-    find hot keys and slice bounds in, where ``df`` itself is costly to run.
+    ``arrival`` is an integer, unique inside a key. ``measure`` is a table with as many rows to count,
+    where ``df`` itself is costly to run.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    t, a = micros(df, time), F.col(arrival).cast("bigint")
     measure = df if measure is None else measure
-    count = measure.count()
-    slices = min(-(-count // rows_per_slice), MAX_SLICES)
-    hot = _hot_keys(measure, keys, count // slices) if slices > 1 else None
-    if hot is None:
+    ranges = -(-measure.count() // rows_per_slice)
+    if ranges <= 1:
         place = F.row_number().over(W.partitionBy(*keys).orderBy(time, arrival))
         return df.withColumn(out, place.cast("bigint"))
-
-    times, arrivals = slice_bounds(measure, (t, a), slices)
-    # A bound is a slice of its own, since one event time may hold many rows; inside it, rows are
-    # cut further by arrival. Other slices hold fewer rows than lie between two quantiles.
-    cut = with_step(with_step(df, t, times, "_below"), a, arrivals, "_arrival_step")
-    on_bound = F.coalesce(F.get(F.lit(times), "_below") == t, F.lit(False)) if times else F.lit(False)
-    same = [F.col(k).eqNullSafe(F.col(f"_hot_{i}")) for i, k in enumerate(keys)]
-    cut = cut.join(hot, same, "left")
-    cold = F.col("_hot").isNull()
-    cut = cut.withColumns(
-        {
-            "_slice": F.when(cold | t.isNull(), -1).otherwise(F.col("_below") * 2 + on_bound.cast("int")),
-            # Any number that is the same for all rows of a cold key; this one spreads the join below.
-            "_part": F.when(cold, F.pmod(F.xxhash64(*keys), F.lit(MAX_SLICES)).cast("int"))
-            .when(t.isNull() | on_bound, F.col("_arrival_step"))
-            .otherwise(0),
-        }
-    )
-    place = ["_hot", "_slice", "_part"]
-    sizes = cut.filter(~cold).groupBy(*place).agg(F.count(F.lit(1)).alias("_size"))
-    earlier = W.partitionBy("_hot").orderBy("_slice", "_part").rowsBetween(W.unboundedPreceding, -1)
-    sizes = sizes.select(*place, F.sum("_size").over(earlier).alias("_earlier"))
-    inside = F.row_number().over(W.partitionBy(*keys, "_slice", "_part").orderBy(time, arrival))
-    ranked = cut.withColumn("_inside", inside).join(stored(sizes, "slices"), place, "left")
+    # Written, so that a row's range is settled and the rows are run once.
+    ranged = df.repartitionByRange(ranges, *keys, time, arrival).withColumn("_range", F.spark_partition_id())
+    rows = stored(ranged, "ranges")
+    # One row for each key in each range; only a key that goes on in the next range has more than one.
+    sizes = rows.groupBy("_range", *keys).agg(F.count(F.lit(1)).alias("_size"))
+    earlier = W.partitionBy(*keys).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    names = [f"_key_{i}" for i in range(len(keys))]
+    before = sizes.withColumn("_earlier", F.sum("_size").over(earlier)).filter(F.col("_earlier").isNotNull())
+    before = stored(before.select(F.col("_range").alias("_of"), *[F.col(k).alias(n) for k, n in zip(keys, names)],
+                                  "_earlier"), "sizes")
+    same = [F.col("_range") == F.col("_of"), *[F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names)]]
+    inside = F.row_number().over(W.partitionBy("_range", *keys).orderBy(time, arrival))
+    ranked = rows.withColumn("_inside", inside).join(before, same, "left")
     position = F.coalesce("_earlier", F.lit(0)) + F.col("_inside")
     return ranked.select(*df.columns, position.cast("bigint").alias(out))
 
 
-def _hot_keys(df: DataFrame, keys: Sequence[str], more_than: int) -> DataFrame | None:
-    """The keys with more rows than that, numbered, or None. They are few: fewer than ``MAX_SLICES``."""
-    heavy = df.groupBy(*keys).count().filter(F.col("count") > more_than).select(*keys).collect()
-    if not heavy:
-        return None
-    names = [f"_hot_{i}" for i in range(len(keys))]
-    kinds = [T.StructField(n, df.schema[k].dataType) for n, k in zip(names, keys)]
-    schema = T.StructType([*kinds, T.StructField("_hot", T.IntegerType())])
-    return F.broadcast(df.sparkSession.createDataFrame([(*row, i) for i, row in enumerate(heavy)], schema))
-
-
 def in_event_time_order(
     df: DataFrame, key: str | Sequence[str], time: str, arrival: str, partitions: int | None = None
 ) -> DataFrame:

@@ -12,15 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.events import decode_json
-from tidemark.functions.schematext import json_schema_text
+from tidemark.functions.events import avro_available, decode_avro, decode_json
+from tidemark.functions.schematext import avro_schema_text, json_schema_text
 from tidemark.operators.routing import key_column
 from tidemark.sources.files import Files
 from tidemark.sources.layout import StreamTable
 from tidemark.sources.names import StreamName, is_hidden, resolve
 from tidemark.sources.options import scan_options, sink_options
 from tidemark.sources.scan import read_streams
-from tidemark.streaming.reader import tail_streams
 from tidemark.streaming.sinks import StreamSink
 
 SCHEMA_TABLE = "namespace string, group_id string, version int, format string, json_schema string, row_type string"
@@ -141,13 +140,15 @@ class Catalog:
         return version
 
     def latest_schema(self, table: str | StreamName) -> T.StructType:
+        return T.StructType.fromJson(json.loads(self._latest_entry(table)["row_type"]))
+
+    def _latest_entry(self, table: str | StreamName) -> dict:
         name = resolve(table, self.default_scope)
         folder = f"{self.root}/_schemas/{name.scope}/{name.stream}"
         versions = self.files.names(folder)
         if not versions:
             raise ValueError(f"{name} has no registered schema")
-        entry = json.loads(self.files.read(f"{folder}/{versions[-1]}"))
-        return T.StructType.fromJson(json.loads(entry["row_type"]))
+        return json.loads(self.files.read(f"{folder}/{versions[-1]}"))
 
     def schemas(self) -> DataFrame:
         """All versions of all groups as a table."""
@@ -155,8 +156,16 @@ class Catalog:
         return reader.json(f"{self.root}/_schemas/")
 
     def decode(self, log: DataFrame, table: str | StreamName, **options) -> DataFrame:
-        """Decode JSON payloads by the group's latest schema, looked up once."""
-        return decode_json(log, self.latest_schema(table), **options)
+        """Decode payloads by the latest schema and the format of the group, looked up once."""
+        entry = self._latest_entry(table)
+        row = T.StructType.fromJson(json.loads(entry["row_type"]))
+        if entry["format"].lower() == "json":
+            return decode_json(log, row, **options)
+        if not avro_available(self.spark):
+            raise ValueError(f"{table} is a group of format {entry['format']}, which needs the spark-avro module")
+        payload, keep = options.get("payload", "payload"), options.get("keep", ())
+        decoded = log.select(*keep, decode_avro(F.col(payload), avro_schema_text(row)).alias("_row"))
+        return decoded.select(*keep, *[F.col("_row").getField(n).alias(n) for n in row.names])
 
     # -- declared tables -------------------------------------------------------------------
 
@@ -164,8 +173,17 @@ class Catalog:
         """A declared table by its ``scan.*`` options: a stream or a batch, between its cuts."""
         declared = scan_options({"scope": self.default_scope or "", **options})
         if declared.streaming:
-            return tail_streams(declared.ranges, self.stream, declared.max_files_per_trigger)
-        return read_streams(declared.ranges, lambda name: self.stream(name).read())
+            limit = declared.max_files_per_trigger
+            return read_streams(
+                declared.ranges, lambda name: self.stream(name).tail(limit, self.version_in_force(name))
+            )
+        return read_streams(declared.ranges, lambda name: self.stream(name).read(self.version_in_force(name)))
+
+    def version_in_force(self, table: str | StreamName) -> T.StructType | None:
+        """The latest registered row type; None for a stream without a schema group."""
+        name = resolve(table, self.default_scope)
+        known = self.files.names(f"{self.root}/_schemas/{name.scope}/{name.stream}")
+        return self.latest_schema(name) if known else None
 
     def sink(self, options: Mapping[str, str], query_id: str, event_time: str | None = None) -> StreamSink:
         """The sink a declared table stands for, by its ``sink.*`` options.

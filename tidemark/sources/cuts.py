@@ -95,13 +95,17 @@ def positions(log: DataFrame, where: Column, *by: str) -> DataFrame:
 def load_cuts(log: DataFrame, **where: Column) -> dict[str, Cut]:
     """Several cuts of a log in one pass; each comes to the driver as one row per segment."""
     rows = log.groupBy("segment").agg(*[c.alias(name) for name, c in where.items()]).collect()
-    return {name: Cut({row["segment"]: row[name] for row in rows}) for name in where}
+    return {
+        name: Cut({row["segment"]: row[name] for row in rows if row[name] is not None and row["segment"] is not None})
+        for name in where
+    }
 
 
 def load_cut(log: DataFrame, where: Column) -> Cut:
     """One cut of a log. Segments for which ``where`` is null are left out."""
     rows = log.groupBy("segment").agg(where.alias("offset")).collect()
-    return Cut({row["segment"]: row["offset"] for row in rows if row["offset"] is not None})
+    return Cut({row["segment"]: row["offset"] for row in rows
+                if row["offset"] is not None and row["segment"] is not None})
 
 
 def clamp(cut: Cut | None, head: Cut) -> Cut:
@@ -112,6 +116,11 @@ def clamp(cut: Cut | None, head: Cut) -> Cut:
     })
 
 
+def _unnamed(cut: Cut) -> Column:
+    """Segments a cut does not name; a null segment is one of them."""
+    return ~F.coalesce(F.col("segment").isin(*cut), F.lit(False)) if cut else F.lit(True)
+
+
 def after(log: DataFrame, cut: Cut | None, strict_segments: bool = False) -> DataFrame:
     """Events at or after ``cut``.
 
@@ -123,7 +132,7 @@ def after(log: DataFrame, cut: Cut | None, strict_segments: bool = False) -> Dat
     if len(cut) <= FILTER_SEGMENTS:
         parts = [(F.col("segment") == s) & (F.col("offset") >= o) for s, o in cut.items()]
         if not strict_segments:
-            parts.append(~F.col("segment").isin(*cut) if cut else F.lit(True))
+            parts.append(_unnamed(cut))
         return log.filter(reduce(or_, parts, F.lit(False)))
     lower = cut.table(log.sparkSession, "cut_lower")
     joined = log.join(lower, "segment", "inner" if strict_segments else "left")
@@ -139,7 +148,7 @@ def before(log: DataFrame, cut: Cut | None, open_segments: bool = False) -> Data
     if len(cut) <= FILTER_SEGMENTS:
         parts = [(F.col("segment") == s) & (F.col("offset") < o) for s, o in cut.items()]
         if open_segments:
-            parts.append(~F.col("segment").isin(*cut) if cut else F.lit(True))
+            parts.append(_unnamed(cut))
         return log.filter(reduce(or_, parts, F.lit(False)))
     upper = cut.table(log.sparkSession, "cut_upper")
     joined = log.join(upper, "segment", "left" if open_segments else "inner")

@@ -7,6 +7,7 @@ control files only.
 from __future__ import annotations
 
 import os
+import uuid
 from urllib.parse import urlparse
 
 from py4j.protocol import Py4JJavaError
@@ -33,7 +34,8 @@ class Files:
         """Names directly below a folder; none when it does not exist."""
         if not self.exists(path):
             return []
-        return sorted(s.getPath().getName() for s in self._fs.listStatus(self._path(path)))
+        found = (s.getPath().getName() for s in self._fs.listStatus(self._path(path)))
+        return sorted(n for n in found if not n.startswith("."))
 
     def read(self, path: str) -> str:
         stream = self._fs.open(self._path(path))
@@ -47,29 +49,42 @@ class Files:
     def create(self, path: str, text: str) -> bool:
         """Write a new file; False when the name is taken.
 
-        Of several writers exactly one succeeds where the file system creates files atomically.
-        Hadoop's wrapper of the local one does not, so there the file is opened exclusively.
+        The text is written beside the file and gets its name in one step that fails when the name is
+        taken: no reader sees half a file, and of several writers exactly one succeeds. Hadoop's
+        wrapper of the local file system would overwrite, so there it is a hard link.
         """
+        if self.exists(path):
+            return False
+        folder, _, base = path.rpartition("/")
+        # Names with a leading dot are hidden from Spark's readers and from ``names``.
+        beside = f"{folder}/.{base}.{uuid.uuid4().hex}"
         if self._local:
-            name = urlparse(path).path
+            name, draft = urlparse(path).path, urlparse(beside).path
             os.makedirs(os.path.dirname(name), exist_ok=True)
+            with open(draft, "x", encoding="utf-8") as file:
+                file.write(text)
             try:
-                with open(name, "x", encoding="utf-8") as file:
-                    file.write(text)
+                os.link(draft, name)
             except FileExistsError:
                 return False
+            finally:
+                os.unlink(draft)
             return True
-        try:
-            stream = self._fs.create(self._path(path), False)
-        except Py4JJavaError as error:
-            if self.exists(path):
-                return False
-            raise error
+        stream = self._fs.create(self._path(beside), False)
         try:
             stream.write(bytearray(text.encode()))
         finally:
             stream.close()
-        return True
+        try:
+            if self._fs.rename(self._path(beside), self._path(path)):
+                return True
+        except Py4JJavaError as error:
+            if not self.exists(path):
+                raise error
+        self._fs.delete(self._path(beside), False)
+        if self.exists(path):
+            return False
+        raise OSError(f"{path} could not be created")
 
     def move(self, source: str, target: str) -> bool:
         """Rename a folder; False when the target is there already."""

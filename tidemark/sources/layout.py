@@ -8,7 +8,9 @@
 * ``schema.json`` - the row type.
 
 Offsets grow inside a segment but are not dense: an epoch owns ``2**36`` of them, a write task of
-the epoch ``2**23``. An append of more than 8,192 tasks takes several epoch numbers at once.
+the epoch ``2**23``. An append of more than 8,192 tasks takes several epoch numbers at once. A batch is
+written to the shared folder first: its row count gives the number of tasks, and a task that runs
+again after a lost executor reads the same rows in the same order.
 """
 
 from __future__ import annotations
@@ -23,11 +25,14 @@ from pyspark.sql import types as T
 from tidemark.operators.routing import route
 from tidemark.sources.files import Files
 from tidemark.sources.names import StreamName, resolve
+from tidemark.settings import stored
 
 EPOCH_BITS = 36
 TASK_BITS = 23
 TASKS_PER_EPOCH = 1 << (EPOCH_BITS - TASK_BITS)
 ROWS_PER_TASK = 1 << TASK_BITS
+# Rows a write task is planned for. Ranges and hashes are uneven, so it is far below what its offsets allow.
+PLANNED_ROWS = 1 << 20
 
 COMMIT_SCHEMA = (
     "query_id string, batch_id bigint, ingest_epoch bigint, width int, n_rows bigint, watermark bigint"
@@ -46,7 +51,8 @@ def _offset(epoch: int) -> Column:
     place = F.monotonically_increasing_id()
     task = F.shiftright(place, 33)
     row = place.bitwiseAND(F.lit((1 << 33) - 1))
-    full = F.raise_error(F.lit(f"a write task has more than {ROWS_PER_TASK} rows: use more tasks"))
+    # An assertion: the number of tasks follows from the row count.
+    full = F.raise_error(F.lit(f"a write task has more than {ROWS_PER_TASK} rows"))
     row = F.when(row < ROWS_PER_TASK, row).otherwise(full.cast("bigint"))
     return F.lit(epoch << EPOCH_BITS).cast("bigint") + F.shiftleft(task, TASK_BITS) + row
 
@@ -61,6 +67,15 @@ class Claim:
     width: int
 
 
+@dataclass(frozen=True)
+class Batch:
+    """A batch as it lies in the shared folder, its rows numbered by arrival, and its write tasks."""
+
+    rows: DataFrame
+    n_rows: int
+    tasks: int | None
+
+
 class StreamTable:
     """One stream: append to it, read it as a batch, or tail it."""
 
@@ -110,18 +125,23 @@ class StreamTable:
 
     @property
     def stored_type(self) -> T.StructType:
-        places = _PLACES.fields
-        return T.StructType([*places[:2], *self.row_type.fields, *places[2:]])
+        return self.typed()
 
     # -- reading ---------------------------------------------------------------------------
 
-    def read(self) -> DataFrame:
+    def typed(self, row: T.StructType | None = None) -> T.StructType:
+        """The stored columns with another version of the row type; fields that a file lacks are null."""
+        places = _PLACES.fields
+        return T.StructType([*places[:2], *(row or self.row_type).fields, *places[2:]])
+
+    def read(self, row: T.StructType | None = None) -> DataFrame:
         """All published events; filters on segment and offset reach the file scan."""
-        return self.spark.read.schema(self.stored_type).parquet(self.data)
+        return self.spark.read.schema(self.typed(row)).parquet(self.data)
 
-    def tail(self, max_files_per_trigger: int | None = None, **options: str) -> DataFrame:
+    def tail(self, max_files_per_trigger: int | None = None, row: T.StructType | None = None,
+             **options: str) -> DataFrame:
         """The published events as a stream; files truncated away are skipped, not an error."""
-        reader = self.spark.readStream.schema(self.stored_type).option("ignoreMissingFiles", "true")
+        reader = self.spark.readStream.schema(self.typed(row)).option("ignoreMissingFiles", "true")
         if max_files_per_trigger:
             reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
         return reader.options(**options).parquet(self.data)
@@ -138,6 +158,24 @@ class StreamTable:
 
     # -- writing ---------------------------------------------------------------------------
 
+    def prepare(self, rows: DataFrame, tasks: int | None = None) -> Batch:
+        """Store a batch and plan its write: more tasks than asked for where its rows need them.
+
+        Without a number, and with no more rows than one task may hold, neighbouring tasks are merged
+        at run time.
+        """
+        kept = stored(rows.withColumn("_arrival", F.monotonically_increasing_id()), "batch")
+        n_rows = kept.count()
+        needed = -(-n_rows // PLANNED_ROWS)
+        if tasks or needed > 1:
+            tasks = max(tasks or self.most_tasks(), needed)
+        return Batch(kept, n_rows, tasks)
+
+    def claimed(self, query_id: str, batch_id: int) -> Claim | None:
+        """The epoch a batch has claimed before."""
+        own = f"{self.folder}/claims/{query_id}/{batch_id}.json"
+        return Claim(**json.loads(self.files.read(own))) if self.files.exists(own) else None
+
     def claim(self, query_id: str, batch_id: int, tasks: int) -> Claim:
         """The epoch of a batch: the one it claimed before, or the next free one.
 
@@ -145,9 +183,12 @@ class StreamTable:
         Creating a file fails when its name is taken, so two queries never share an epoch.
         """
         own = f"{self.folder}/claims/{query_id}/{batch_id}.json"
-        if self.files.exists(own):
-            return Claim(**json.loads(self.files.read(own)))
         width = -(-tasks // TASKS_PER_EPOCH)
+        claim = self.claimed(query_id, batch_id)
+        if claim is not None:
+            if claim.width < width:
+                raise ValueError(f"batch {batch_id} of {query_id} claimed {claim.width} epochs and now needs {width}")
+            return claim
         if self._next_epoch is None:
             taken = self.files.names(f"{self.folder}/claims/epochs")
             self._next_epoch = int(taken[-1]) + 1 if taken else 1
@@ -168,8 +209,8 @@ class StreamTable:
     def is_published(self, claim: Claim) -> bool:
         return self.files.exists(f"{self.data}/ingest_epoch={claim.epoch}")
 
-    def stage(self, rows: DataFrame, claim: Claim, *, key: str | Column | None = None,
-              order: list[str] | None = None, keep_arrival: bool = True, tasks: int | None = None,
+    def stage(self, batch: Batch, claim: Claim, *, key: str | Column | None = None,
+              order: list[str] | None = None, keep_arrival: bool = True,
               observe: tuple[Observation, list[Column]] | None = None) -> None:
         """Write a batch where no reader sees it, over whatever an earlier attempt left there.
 
@@ -179,7 +220,7 @@ class StreamTable:
         neither order matters, ``keep_arrival=False`` counts the rows per segment instead, which
         reads the routing key only, and spreads each segment over its share of the tasks.
         """
-        routed = route(rows, self.segments, key).withColumn("_arrival", F.monotonically_increasing_id())
+        routed, tasks = route(batch.rows, self.segments, key), batch.tasks
         ranges = ["segment", *(order or []), "_arrival"]
         # Without a given number of tasks, small neighbouring ones are merged at run time.
         number = [tasks] if tasks else []

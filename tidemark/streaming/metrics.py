@@ -22,11 +22,13 @@ class MetricsListener(StreamingQueryListener):
 
     def __init__(self):
         self.queries: dict[str, Progress] = {}
+        self._names: dict[str, str] = {}
 
     def _of(self, name) -> Progress:
         return self.queries.setdefault(name, Progress())
 
     def onQueryStarted(self, event):
+        self._names[str(event.runId)] = event.name
         self._of(event.name)
 
     def onQueryProgress(self, event):
@@ -43,6 +45,6 @@ class MetricsListener(StreamingQueryListener):
         pass
 
     def onQueryTerminated(self, event):
-        if event.exception:
-            for known in self.queries.values():
-                known.failed = known.failed or event.exception
+        name = self._names.pop(str(event.runId), None)
+        if event.exception and name is not None:
+            self._of(name).failed = event.exception

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.times import micros, watermarked
+from tidemark.settings import stored
 from tidemark.sources.files import Files
 from tidemark.streaming.sinks import EXACTLY_ONCE, StreamSink
 
@@ -30,14 +31,17 @@ def hold_until_watermark(stream: DataFrame, key: str, time: str, arrival: str, d
     ``arrival`` is an integer, unique inside a key. State is keyed by key, time and a stretch of
     arrival numbers, so an entry holds at most ``rows_per_entry`` rows however hot a key or a moment
     is. Rows released in one micro-batch are unordered: give the sink ``order=[time, arrival]``.
-    Micro-batches follow each other in event time.
+    Micro-batches follow each other in event time. Rows without a time have nothing to wait for and pass
+    at once.
     """
+    timeless = stream.filter(F.col(time).isNull())
     rows = watermarked(stream, time, delay)
     stretch = F.floor(F.col(arrival) / rows_per_entry).alias("_stretch")
     rest = [c for c in rows.columns if c not in (key, time)]
     held = rows.groupBy(key, time, stretch).agg(F.collect_list(F.struct(*rest)).alias("_rows"))
     released = held.select(key, time, F.explode("_rows").alias("_row"))
-    return released.select(*[c if c in (key, time) else F.col("_row").getField(c).alias(c) for c in rows.columns])
+    released = released.select(*[c if c in (key, time) else F.col("_row").getField(c).alias(c) for c in rows.columns])
+    return released.unionByName(timeless.select(*rows.columns))
 
 
 @dataclass
@@ -68,18 +72,29 @@ class EventTimeOrdering:
 
     def write(self, rows: DataFrame, batch_id: int) -> None:
         """One micro-batch: judge its rows, advance the watermark, emit what it has reached."""
-        kept = rows.persist()
-        try:
-            self._step(kept, batch_id, last=False)
-        finally:
-            kept.unpersist()
+        finished = self._finished()
+        if finished is not None and batch_id > finished:
+            raise ValueError(f"ordering was finished after batch {finished}: batch {batch_id} was not written")
+        before = self._latest()
+        if before is None or before < batch_id:
+            self._step(stored(rows, "micro-batch"), batch_id)
 
     def finish(self) -> None:
-        """Emit everything still held, as the end of a bounded input does."""
+        """Emit everything still held, as the end of a bounded input does.
+
+        That is final: a micro-batch that comes later is refused. The emission has a state of its own
+        beside the batches', and a name of its own in the sink.
+        """
         batch = self._latest()
-        if batch is not None:
+        if batch is not None and self._finished() is None:
             held = self._held(batch)
-            self._step(held.limit(0).drop("_t"), batch + 1, last=True)
+            self.sink.write(held.drop("_t"), -1 - batch)
+            self.files.create(f"{self.state}.finished.json", json.dumps({"batch": batch}))
+
+    def _finished(self) -> int | None:
+        """The last batch before ``finish``."""
+        name = f"{self.state}.finished.json"
+        return json.loads(self.files.read(name))["batch"] if self.files.exists(name) else None
 
     # -- state -----------------------------------------------------------------------------
 
@@ -121,10 +136,8 @@ class EventTimeOrdering:
 
     # -- one batch -------------------------------------------------------------------------
 
-    def _step(self, rows: DataFrame, batch_id: int, last: bool) -> None:
+    def _step(self, rows: DataFrame, batch_id: int) -> None:
         before = self._latest()
-        if before is not None and before >= batch_id:
-            return
         folder = self._folder(batch_id)
         note = None if before is None else self._note(before)
         in_force = None if note is None else note["watermark"]
@@ -132,8 +145,8 @@ class EventTimeOrdering:
         arrived = rows.withColumn("_t", micros(rows, self.time))
         newest = arrived.groupBy(self.segment).agg(F.max("_t").alias("_newest"))
         bound = newest.agg(F.min("_newest")).first()[0]
-        grew = last or (bound is not None and (in_force is None or bound > in_force))
-        watermark = bound if grew and not last else in_force
+        grew = bound is not None and (in_force is None or bound > in_force)
+        watermark = bound if grew else in_force
 
         if in_force is not None:
             # Nothing newer than the watermark has been emitted: only rows behind it can be late.
@@ -142,7 +155,7 @@ class EventTimeOrdering:
             arrived = arrived.filter(~is_behind).unionByName(timely)
         if before is not None:
             arrived = arrived.unionByName(self._held(before))
-        reached = F.lit(True) if last else (F.col("_t") <= F.lit(watermark) if grew else F.lit(False))
+        reached = F.col("_t") <= F.lit(watermark) if grew else F.lit(False)
         fires = F.col("_t").isNull() | reached
         judged = arrived.withColumn("_fires", F.coalesce(fires, F.lit(False)))
         judged.write.mode("overwrite").parquet(f"{folder}/rows")

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidemark.functions.times import micros
+from tidemark.operators.changelog import append_only
 from tidemark.sources.layout import Claim, StreamTable
 
 logger = logging.getLogger(__name__)
@@ -20,6 +21,8 @@ AT_LEAST_ONCE = "at-least-once"
 EXACTLY_ONCE = "exactly-once"
 BEST_EFFORT = "best-effort"
 GUARANTEES = (AT_LEAST_ONCE, EXACTLY_ONCE, BEST_EFFORT)
+# The column that makes rows a changelog; sinks take its inserts only.
+KIND = "row_kind"
 
 
 @dataclass
@@ -73,38 +76,42 @@ class StreamSink:
         # Only exactly-once remembers which batches it has seen; the others write a replay again.
         once = self.guarantee == EXACTLY_ONCE
         query = self.query_id if once else f"{self.query_id}-{uuid.uuid4().hex}"
-        claim = self.table.claim(query, batch_id, self.tasks or self.table.most_tasks())
-        if self.table.is_published(claim):
+        claim = self.table.claimed(query, batch_id)
+        if claim is not None and self.table.is_published(claim):
             if not self.table.is_committed(claim):
                 self._log_published(claim)
             self.metrics.replays_skipped += 1
             return
+        if KIND in rows.columns and KIND not in self.table.row_type.names:
+            rows = append_only(rows, KIND)
+        batch = self.table.prepare(rows, self.tasks)
+        claim = self.table.claim(query, batch_id, batch.tasks or self.table.most_tasks())
         seen = Observation()
         counted = [F.count(F.lit(1)).alias("n_rows")]
         if self.event_time:
             counted.append(F.max(micros(rows, self.event_time)).alias("newest"))
         self.table.stage(
-            rows,
-            claim,
-            key=self.key,
-            order=self.order,
-            keep_arrival=self.keep_arrival,
-            tasks=self.tasks,
-            observe=(seen, counted),
+            batch, claim, key=self.key, order=self.order, keep_arrival=self.keep_arrival, observe=(seen, counted)
         )
         # Observed while the batch was written, so there is no second pass.
         n_rows, newest = seen.get["n_rows"], seen.get.get("newest")
         if newest is not None:
-            if self.metrics.watermark is None:
-                self.metrics.watermark = self._last_watermark()
-            mark = newest - self.delay_micros
-            self.metrics.watermark = max(mark, self.metrics.watermark or mark)
+            self._advance(newest)
         self.table.publish(claim, n_rows, self.metrics.watermark)
         self.metrics.records_out += n_rows
 
+    def _advance(self, newest: int) -> None:
+        """The committed watermark never falls, nor does it after a restart."""
+        if self.metrics.watermark is None:
+            self.metrics.watermark = self._last_watermark()
+        mark = newest - self.delay_micros
+        known = self.metrics.watermark
+        self.metrics.watermark = mark if known is None else max(mark, known)
+
     def _last_watermark(self) -> int | None:
-        """The watermark an earlier run of this query committed last."""
-        own = self.table.commits().filter(F.col("query_id") == self.query_id)
+        """The newest watermark that an earlier run of this query committed, under any of its names."""
+        name = F.col("query_id")
+        own = self.table.commits().filter((name == self.query_id) | name.startswith(f"{self.query_id}-"))
         return own.agg(F.max("watermark")).first()[0]
 
     def _log_published(self, claim: Claim) -> None:
@@ -114,8 +121,9 @@ class StreamSink:
         if self.event_time:
             totals.append(F.max(micros(published, self.event_time)).alias("newest"))
         row = published.agg(*totals).first().asDict()
-        newest = row.get("newest")
-        self.table.log(claim, row["n_rows"], None if newest is None else newest - self.delay_micros)
+        if row.get("newest") is not None:
+            self._advance(row["newest"])
+        self.table.log(claim, row["n_rows"], self.metrics.watermark)
 
 
 def append(table: StreamTable, rows: DataFrame, *, key: str | Column | None = None,
@@ -157,12 +165,7 @@ def start(stream: DataFrame, sink: StreamSink, checkpoint: str, *, available_now
     """
 
     def each(rows: DataFrame, batch_id: int) -> None:
-        # The range split of the write samples its input first; keep it from being made twice.
-        kept = (prepare(rows) if prepare else rows).persist()
-        try:
-            sink.write(kept, batch_id)
-        finally:
-            kept.unpersist()
+        sink.write(prepare(rows) if prepare else rows, batch_id)
 
     writer = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     writer = writer.queryName(sink.query_id)
