@@ -7,10 +7,12 @@ still agree with the probability of the Jaccard similarity. ``BANDS`` bands of `
 two sets of similarity 0.8 share none with a probability of about 1e-9.
 
 Equal sets become one representative first. In a bucket, each member is a candidate of the smallest
-only: a star, as many pairs as members. Candidates are confirmed on their full sets. A pair of members that
-are both unlike the star's centre would be missed; so buckets of three or more in which more than one
-component is left get their remaining pairs compared in blocks, through their signatures, and those that
-may reach the threshold are confirmed as well. Components follow from the confirmed links.
+only: a star, as many pairs as members. Candidates are confirmed on their full sets, and each leaves its
+difference from the centre: what it lacks of the centre's set and what it has besides. Two members may be linked
+though neither is like their centre; so where the members of a centre are in more than one
+component, those outside the largest are compared with all others, in blocks. From the differences the
+intersection of two members' full sets follows exactly, and only links that join two components
+leave a block. Components follow from the confirmed links.
 
 Defined cases: with fewer words than k the whole sequence is one shingle; a null, empty or blank text has an
 empty set and is linked with nothing; rows with the same doc_id are one node; a row with a null doc_id is linked
@@ -28,6 +30,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import (
     MIX,
+    compact,
     free_name,
     hashes_of,
     in_batches,
@@ -45,10 +48,9 @@ from tidemark.settings import stored
 
 BINS, BANDS, ROWS = 256, 51, 5
 PERCENT = 80
-#: Signatures that agree in fewer bins than this share cannot come from sets at the threshold (six deviations).
-LEAST_AGREEMENT = 0.64
-#: Members of a bucket that are compared with so many others at a time.
+#: Members of a centre that are compared with so many others at a time.
 BLOCK = 1_000
+PAIR = "a long, b long, linked boolean, centre_size int, lacks binary, more binary"
 
 
 def _orders() -> np.ndarray:
@@ -88,93 +90,151 @@ def buckets(values: np.ndarray) -> np.ndarray:
 def _describe(k: int):
     def run(batches):
         for batch in slices(batches):
-            n, keys, bands, prints = [], [], [], []
+            n, keys, bands = [], [], []
             for text in texts(batch):
                 found = shingle_set(text, k)
                 n.append(len(found))
                 if not len(found):
-                    keys.append(None), bands.append(None), prints.append(None)
+                    keys.append(None), bands.append(None)
                     continue
-                values = signature(found)
                 keys.append(xxhash.xxh3_128_hexdigest(found.tobytes()))
-                bands.append(signed(buckets(values)))
-                prints.append((values & np.uint64(255)).astype(np.uint8).tobytes())
+                bands.append(signed(buckets(signature(found))))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(keys, pa.string()),
-                 pa.array(bands, pa.list_(pa.int64())), pa.array(prints, pa.binary())],
-                ["doc_id", "n_shingles", "set_key", "bands", "prints"],
+                 pa.array(bands, pa.list_(pa.int64()))],
+                ["doc_id", "n_shingles", "set_key", "bands"],
             )
 
     return run
 
 
 def _confirm(k: int, percent: int):
+    """Rows of PAIR: whether the full sets are similar enough, and how b's differs from a's."""
+
     def run(batches):
         recent: dict[int, np.ndarray] = {}
         for batch in slices(batches):
-            keep = []
-            for row, (a, x, y) in enumerate(
-                zip(batch.column("a").to_pylist(), texts(batch, "text_a"), texts(batch), strict=True)
-            ):
+            out: list[list] = [[] for _ in range(4)]
+            for a, x, y in zip(batch.column("a").to_pylist(), texts(batch, "text_a"), texts(batch), strict=True):
                 one = recent.get(a)
                 if one is None:
                     if len(recent) >= 16:
                         recent.clear()
                     one = recent[a] = shingle_set(x, k)
                 two = shingle_set(y, k)
-                common = len(np.intersect1d(one, two, assume_unique=True))
-                if 100 * common >= percent * (len(one) + len(two) - common) and common:
-                    keep.append(row)
-            at = pa.array(keep, pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("a").take(at), batch.column("b").take(at)], ["a", "b"])
+                lacks = np.flatnonzero(~np.isin(one, two, assume_unique=True))
+                more = two[~np.isin(two, one, assume_unique=True)]
+                common = len(one) - len(lacks)
+                linked = common > 0 and 100 * common >= percent * (len(one) + len(more))
+                for column, value in zip(
+                    out, (linked, len(one), lacks.astype("<u4").tobytes(), more.tobytes()), strict=True
+                ):
+                    column.append(value)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("a"), batch.column("b"), pa.array(out[0], pa.bool_()), pa.array(out[1], pa.int32()),
+                 pa.array(out[2], pa.binary()), pa.array(out[3], pa.binary())],
+                ["a", "b", "linked", "centre_size", "lacks", "more"],
+            )
 
     return run
 
 
 def confirmed(pairs: DataFrame, documents: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of doc_ids whose full sets are similar enough, their texts shingled anew."""
+    """Rows of PAIR for the pairs (a, b) of doc_ids, from their texts shingled anew."""
     pairs = stored(pairs, "pairs")
     total = pairs.count()
     side = documents.select(F.col("doc_id").alias("b"), "text")
-    with_b = stored(pairs.join(side, "b"), "texts")
+    with_b = compact(pairs.join(side, "b"), "texts")
     centre = documents.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     whole = salted_join(with_b, centre, "a", total).select("a", "text_a", "b", "text")
-    return stored(in_batches(whole, _confirm(k, percent), "a long, b long").distinct(), "links")
+    return compact(in_batches(whole, _confirm(k, percent), PAIR), "links")
 
 
-def _left_over(members: DataFrame, percent: int) -> DataFrame:
-    """Pairs of members of one bucket in different components that their signatures do not rule out.
+def linked_members(
+    size: int, lacks: list[np.ndarray], more: list[np.ndarray], label: np.ndarray, turn: np.ndarray, percent: int
+) -> list[tuple[int, int]]:
+    """Pairs (i, j) of members that are linked and join two components; i only where ``turn`` says so.
 
-    ``members``: bucket, node, label, size, prints, n (members of the bucket). Large buckets are cut into
-    blocks that meet two by two; small ones share a task.
+    With L and M for what a member lacks of the centre's ``size`` shingles and has besides, two members have
+    size - |L1| - |L2| + |L1 and L2| + |M1 and M2| shingles in common.
     """
-    members = stored(members, "members")
-    groups = max(1, members.count() // (20 * BLOCK))
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("node"), blocks).cast("int")
-    met = members.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    met = met.withColumn("low", F.least("own", "other")).withColumn("high", F.greatest("own", "other"))
-    place = F.when(blocks > 1, F.xxhash64("bucket", "low", "high")).otherwise(F.pmod("bucket", F.lit(groups)))
+    n = len(lacks)
+    owner = np.repeat(np.arange(n), [len(x) + len(y) for x, y in zip(lacks, more, strict=True)])
+    parts = [z for x, y in zip(lacks, more, strict=True) for z in (x.astype(np.uint64), y)]
+    _, item = np.unique(np.concatenate(parts), return_inverse=True)
+    begin = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=n))])
+    order = np.argsort(item, kind="stable")
+    holders, ends = owner[order], np.concatenate([[0], np.cumsum(np.bincount(item))])
+    short = np.array([len(x) for x in lacks])
+    sizes = size - short + np.array([len(x) for x in more])
+    root = {int(x): int(x) for x in np.unique(label)}
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    out = []
+    for i in np.flatnonzero(turn):
+        own = item[begin[i] : begin[i + 1]]
+        shared = np.zeros(n, np.int64)
+        if len(own):
+            shared += np.bincount(np.concatenate([holders[ends[x] : ends[x + 1]] for x in own]), minlength=n)
+        common = size - short[i] - short + shared
+        hit = (common > 0) & (100 * common >= percent * (sizes[i] + sizes - common)) & (label != label[i])
+        for j in np.flatnonzero(hit):
+            x, y = find(int(label[i])), find(int(label[j]))
+            if x != y:
+                root[max(x, y)] = min(x, y)
+                out.append((int(i), int(j)))
+    return out
+
+
+def _links_of_members(pairs: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between members of one centre that join two components."""
+    named = pairs.drop("linked").join(labels.select(F.col("node").alias("b"), "label"), "b", "left")
+    named = named.withColumn("label", F.coalesce("label", "b"))
+    by_label = named.groupBy("a", "label").count()
+    largest = by_label.groupBy("a").agg(
+        F.max(F.struct("count", "label")).alias("top"), F.sum("count").alias("n"), F.count("*").alias("labels")
+    )
+    open_ = stored(
+        largest.where("labels > 1").select("a", "n", (F.col("n") - F.col("top.count")).alias("others"), "top.label")
+        .withColumnRenamed("label", "top"),
+        "open",
+    )
+    if open_.isEmpty():
+        return open_.select("a", F.col("a").alias("b")).where("false")
+    members = compact(named.join(open_, "a"), "members")
+    groups = max(1, members.count() // (4 * BLOCK))
+    number = lambda c: F.ceil(F.col(c) / BLOCK).cast("int")
+    place = lambda c: F.pmod(F.xxhash64("b"), number(c)).cast("int")
+    every = lambda c: F.explode(F.sequence(F.lit(0), number(c) - 1))
+    outside = members.where("label <> top").withColumn("asks", F.lit(True))
+    outside = outside.withColumn("x", place("others")).withColumn("y", every("n"))
+    whole = members.withColumn("asks", F.lit(False)).withColumn("y", place("n")).withColumn("x", every("others"))
+    met = outside.unionByName(whole)
+    alone = (number("n") == 1) & (number("others") == 1)
+    where = F.when(alone, F.pmod(F.xxhash64("a"), F.lit(groups))).otherwise(F.xxhash64("a", "x", "y"))
 
     def compare(frame: pd.DataFrame) -> pd.DataFrame:
-        a_out, b_out = [], []
-        for _, part in frame.groupby(["bucket", "low", "high"]):
-            prints = np.frombuffer(b"".join(part["prints"]), np.uint8).reshape(-1, BINS)
-            node, label, size = part["node"].to_numpy(), part["label"].to_numpy(), part["size"].to_numpy()
-            block, low, high = part["own"].to_numpy(), part["low"].iloc[0], part["high"].iloc[0]
-            for i in np.flatnonzero(block == low):
-                right = np.arange(i + 1, len(node)) if low == high else np.flatnonzero(block == high)
-                right = right[label[right] != label[i]]
-                small, large = np.minimum(size[right], size[i]), np.maximum(size[right], size[i])
-                right = right[100 * small >= percent * large]
-                right = right[(prints[right] == prints[i]).mean(axis=1) >= LEAST_AGREEMENT]
-                a_out.append(np.minimum(node[i], node[right]))
-                b_out.append(np.maximum(node[i], node[right]))
-        both = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a_out, b_out)]
-        return pd.DataFrame({"a": both[0], "b": both[1]}).drop_duplicates()
-
-    rows_at_once(members, 10_000)
-    return met.withColumn("place", place).groupBy("place").applyInPandas(compare, "a long, b long").distinct()
+        found = []
+        for _, part in frame.groupby(["a", "x", "y"]):
+            part = part.sort_values(["asks", "b"], ascending=[False, True]).drop_duplicates("b")
+            node = part["b"].to_numpy()
+            pairs_ = linked_members(
+                int(part["centre_size"].iloc[0]),
+                [np.frombuffer(x, "<u4") for x in part["lacks"]],
+                [np.frombuffer(x, np.uint64) for x in part["more"]],
+                part["label"].to_numpy(), part["asks"].to_numpy(), percent,
+            )
+            found += [(min(node[i], node[j]), max(node[i], node[j])) for i, j in pairs_]
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+    rows_at_once(members, 2_000)
+    met = met.select("a", "b", "label", "centre_size", "lacks", "more", "asks", "x", "y", where.alias("place"))
+    return met.groupBy("place").applyInPandas(compare, "a long, b long")
 
 
 def near_duplicates(documents: DataFrame, k: int = 5, percent: int = PERCENT) -> DataFrame:
@@ -182,41 +242,27 @@ def near_duplicates(documents: DataFrame, k: int = 5, percent: int = PERCENT) ->
     documents = documents.select("doc_id", "text")
     described = in_batches(
         documents, _describe(k),
-        "doc_id long, n_shingles long, set_key string, bands array<long>, prints binary",
+        "doc_id long, n_shingles long, set_key string, bands array<long>",
     )
     described = stored(described, "signatures")
     rows = described.select("doc_id", "n_shingles", "set_key")
     sets = described.where(F.col("set_key").isNotNull() & F.col("doc_id").isNotNull())
     reps = stored(sets.groupBy("set_key").agg(F.min("doc_id").alias("node")), "representatives")
     by_node = sets.select(
-        F.col("doc_id").alias("node"), F.col("n_shingles").alias("size"), "bands", "prints", "set_key"
+        F.col("doc_id").alias("node"), "bands", "set_key"
     ).dropDuplicates(["node", "set_key"])
     nodes = stored(by_node.join(reps, ["node", "set_key"]).drop("set_key"), "nodes")
 
     banded = nodes.select("node", F.explode("bands").alias("bucket"))
-    stars = banded.groupBy("bucket").agg(F.min("node").alias("a"), F.count("*").alias("n")).where("n > 1")
-    stars = stored(stars, "stars")
+    stars = banded.groupBy("bucket").agg(F.min("node").alias("a"), F.count("*").alias("n"))
+    stars = stored(stars.where("n > 1").select("bucket", "a"), "stars")
     candidates = banded.join(stars, "bucket").where("node <> a").select("a", F.col("node").alias("b")).distinct()
-    links = confirmed(candidates, documents, k, percent)
+    pairs = confirmed(candidates, documents, k, percent)
+    links = pairs.where("linked").select("a", "b").distinct()
     labels = components(links)
-
-    # Buckets in which a pair that no star has tried could still join two components.
-    named = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    wide = named.select("node", "label", F.explode("bands").alias("bucket")).join(
-        stars.where("n > 2").select("bucket", "a", "n"), "bucket"
-    )
-    # Whoever is the centre, its pairs are known: two members besides it must differ.
-    others = wide.where("node <> a").groupBy("bucket", "n").agg(F.min("label").alias("x"), F.max("label").alias("y"))
-    open_ = stored(others.where("x <> y").select("bucket", "n"), "open")
-    if not open_.isEmpty():
-        members = (
-            named.select("node", "label", "size", "prints", F.explode("bands").alias("bucket"))
-            .join(open_, "bucket")
-        )
-        more = confirmed(_left_over(members, percent).join(links, ["a", "b"], "left_anti"), documents, k, percent)
-        if not more.isEmpty():
-            links = stored(links.union(more), "links")
-            labels = components(links)
+    more = stored(_links_of_members(pairs, labels, percent), "more")
+    if not more.isEmpty():
+        labels = components(links.union(more))
 
     final = stored(reps.join(labels, "node", "left").select(
         "set_key", F.coalesce("label", "node").alias("component")
