@@ -173,6 +173,15 @@ def test_hot_strings_take_the_window_path(spark, monkeypatch):
     assert {r["doc_id"]: r["n_removed"] for r in suffixes.removed(rows).collect()} == brute_removed(texts)
 
 
+def test_rows_with_one_doc_id_are_judged_in_order(spark):
+    random = np.random.default_rng(18)
+    some = ["".join(chr(97 + c) for c in random.integers(0, 26, 300)) for _ in range(40)]
+    rows = [(i // 2, some[i % 40] if i < 40 else some[79 - i]) for i in range(80)]
+    found = suffixes.removed(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()
+    assert len(found) == 80
+    assert all((r["n_removed"] == 0) == (r["doc_id"] < 20) for r in found)
+
+
 def test_levels_find_every_repeat():
     random, family, seen = np.random.default_rng(1), suffixes.Levels(), set()
     for _ in range(30):

@@ -389,14 +389,11 @@ def repeated(documents: DataFrame) -> DataFrame:
 def removed(documents: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row."""
     rows = documents.select("doc_id", "text")
-    shared = rows.groupBy("doc_id").count().where("count > 1 OR doc_id IS NULL").isEmpty()
-    if shared:
+    if rows.groupBy("doc_id").count().where("count > 1 OR doc_id IS NULL").isEmpty():
         rows = rows.select("doc_id", "text", F.col("doc_id").cast("long").alias("row"))
-    else:  # number the rows in order, so that rows with one doc_id stay apart; written, so that numbers stay
-        ordered = stored(rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id"), "numbered")
-        rows = stored(
-            ordered.withColumn("row", F.monotonically_increasing_id()), "numbered"
-        )
+    else:  # number the rows in order of doc_id, so that rows with one doc_id stay apart; written, so numbers stay
+        ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+        rows = stored(ordered.withColumn("row", F.monotonically_increasing_id()), "numbered")
     spans = repeated(rows.select("row", "text"))
     spans = spans.groupBy("row").agg(F.collect_list("span").alias("spans"))
     kind = documents.select("doc_id").schema[0].dataType.simpleString()
