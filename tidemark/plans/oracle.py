@@ -247,6 +247,8 @@ ORACLE = {
         FROM jittered""",
     "sink_at_least_once": "SELECT event_id, CAST(2 AS BIGINT) AS copies FROM events",
     "sink_exactly_once": "SELECT event_id, event_type, props AS payload FROM events",
+    "sink_watermark": """SELECT count(*) AS n_rows, epoch_us(max(ts)) AS watermark, CAST(0 AS BIGINT) AS falls
+        FROM events""",
     "commit_replay": f"""SELECT 'daily' AS query_id,
         CAST(date_diff('day', DATE '1970-01-01', CAST(ts AS DATE)) AS BIGINT) AS batch_id, count(*) AS n_rows
         FROM events WHERE ts >= TIMESTAMP '{START_AT}' GROUP BY 2""",

@@ -460,6 +460,16 @@ def sink_exactly_once(spark: SparkSession, folder: str) -> DataFrame:
     return stream.read().select("event_id", "event_type", "payload")
 
 
+def sink_watermark(spark: SparkSession, folder: str) -> DataFrame:
+    """What the commits of a streaming copy say: rows written, the newest watermark, and how often it fell."""
+    commits = _replayed(spark, folder, sinks.EXACTLY_ONCE).commits()
+    last = F.lag("watermark").over(W.orderBy("ingest_epoch"))  # one row per micro-batch
+    noted = commits.withColumn("fell", F.coalesce(F.col("watermark") < last, F.lit(False)))
+    return noted.agg(
+        F.sum("n_rows").alias("n_rows"), F.max("watermark").alias("watermark"), F.count_if("fell").alias("falls")
+    )
+
+
 def commit_replay(spark: SparkSession, folder: str) -> DataFrame:
     """A job that stopped half-way offers every day again; only the days not yet committed are due."""
     days = events_log(spark, folder).groupBy(F.col("event_time").cast("date").alias("day")).agg(
@@ -629,6 +639,7 @@ QUERIES = {
         ordered_write,
         sink_at_least_once,
         sink_exactly_once,
+        sink_watermark,
         commit_replay,
         delivery_audit,
         streaming_parity,
