@@ -143,9 +143,11 @@ def confirmed(pairs: DataFrame, documents: DataFrame, k: int, percent: int) -> D
     """Rows of PAIR for the pairs (a, b) of doc_ids, from their texts shingled anew."""
     pairs = stored(pairs, "pairs")
     total = pairs.count()
-    side = documents.select(F.col("doc_id").alias("b"), "text")
-    with_b = compact(pairs.join(side, "b"), "texts")
-    centre = documents.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
+    # All documents are shuffled once, for the texts that take part; both sides are joined with those.
+    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+    wanted = compact(documents.join(wanted, "doc_id"), "texts")
+    with_b = compact(pairs.join(wanted.toDF("b", "text"), "b"), "texts")
+    centre = wanted.toDF("a", "text_a")
     whole = salted_join(with_b, centre, "a", total).select("a", "text_a", "b", "text")
     return compact(in_batches(whole, _confirm(k, percent), PAIR), "links")
 
