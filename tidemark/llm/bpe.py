@@ -36,6 +36,8 @@ PRETOKEN = regex.compile(PATTERN)
 CLASSES = (regex.compile(r"\p{L}+"), regex.compile(r"\p{N}+"), regex.compile(rf"[^{WHITE}\p{{L}}\p{{N}}]+"))
 
 PIECE = 1 << 16
+#: Lengths to try where no longer token starts.
+SHORT = (3, 2, 1)
 #: A chunk between white space that may enter the cache, and the entries it may hold.
 CACHED_CHARS = 40
 CACHE_ENTRIES = 600_000
@@ -63,10 +65,13 @@ class ByteBPE:
         self.tokens: dict[int, bytes] = {i: raw(t) for t, i in vocab.items()}
         self.byte_id = [vocab[byte_symbols()[b]] for b in range(256)]
         self.pairs: dict[tuple[int, int], tuple[int, int]] = {}
+        #: The merge that makes each token: its rank and parts.
+        self.made: dict[int, tuple[int, int, int]] = {}
         self.merged: dict[bytes, int] = {self.tokens[i]: i for i in self.byte_id}
         for rank, merge in enumerate(data["model"]["merges"]):
             a, b = merge.split(" ") if isinstance(merge, str) else merge
             self.pairs[vocab[a], vocab[b]] = (rank, vocab[a + b])
+            self.made.setdefault(vocab[a + b], (rank, vocab[a], vocab[b]))
             self.merged[raw(a + b)] = vocab[a + b]
         #: Sufficient lookahead: an encoding has a token end among any so many positions in a row.
         self.lookahead = max(map(len, self.merged))
@@ -78,12 +83,14 @@ class ByteBPE:
         self.own: dict[int, bool] = {}
         self.words: dict[str, bytes] = {}
         self.cache: dict[str, bytes] = {}
-        #: Of the merged tokens: the longest by their first two bytes, the lengths by their last two.
-        self.longest: dict[bytes, int] = {}
+        #: The lengths of merged tokens by their first four bytes, falling to 1, and by their last two.
+        starts: dict[bytes, set[int]] = {}
         ends: dict[bytes, set[int]] = {}
         for token in self.merged:
-            self.longest[token[:2]] = max(len(token), self.longest.get(token[:2], 1))
+            if len(token) > 3:
+                starts.setdefault(token[:4], {3, 2, 1}).add(len(token))
             ends.setdefault(token[-2:], set()).add(len(token))
+        self.starts = {start: sorted(sizes, reverse=True) for start, sizes in starts.items()}
         self.ends = {end: sorted(sizes, reverse=True) for end, sizes in ends.items()}
 
     # -- pre-tokens that fit the lookahead ---------------------------------------------------------
@@ -111,12 +118,33 @@ class ByteBPE:
         """Whether the encoding of both tokens' bytes is the two tokens."""
         known = self.stable.get((a, b))
         if known is None:
-            known = self.merge(self.tokens[a] + self.tokens[b]) == [a, b]
+            known = self.alone(a) and self.alone(b) and not self.crossed(a, b)
             if len(self.stable) >= CACHE_ENTRIES:
                 self.stable.clear()
             self.stable[a, b] = known
         return known
 
+    def crossed(self, a: int, b: int) -> bool:
+        """Whether a merge joins the end of ``a`` with the start of ``b`` while both are being made.
+
+        Goes back in time: the two parts that face each other, each until the merge that took it in. A merge of the
+        two is carried out if it comes before that of the left part, and before or at that of the right one
+        (of equal merges the leftmost goes first).
+        """
+        made, pairs = self.made, self.pairs
+        left_until = right_until = 1 << 60
+        while True:
+            found = pairs.get((a, b))
+            if found and found[0] < left_until and found[0] <= right_until:
+                return True
+            at_left, at_right = made.get(a), made.get(b)
+            if at_left is None and at_right is None:
+                return False
+            if at_right is None or (at_left is not None and at_left[0] > at_right[0]):
+                left_until, a = at_left[0], at_left[2]
+            else:
+                right_until, b = at_right[0], at_right[1]
+
     def alone(self, a: int) -> bool:
         known = self.own.get(a)
         if known is None:
@@ -126,26 +154,32 @@ class ByteBPE:
     def word(self, raw: bytes) -> list[int]:
         """The only way through the bytes whose neighbours are all joint: longest tokens first, steps back where
         none fits. The encoding of each prefix is unique, so an end without a way on is dead for good."""
-        n, at, ids, dead = len(raw), 0, [], set()
-        merged, joint, longest = self.merged, self.joint, self.longest
-        size = min(n, longest.get(raw[:2], 1))
+        n, at, ids, dead, most = len(raw), 0, [], None, 1 << 30
+        merged, starts, stable = self.merged.get, self.starts.get, self.stable.get
         while at < n:
-            for size in range(size, 0, -1):
-                token = merged.get(raw[at : at + size])
-                if (
-                    token is not None
-                    and at + size not in dead
-                    and (joint(ids[-1], token) if ids else self.alone(token))
-                ):
+            for size in starts(raw[at : at + 4], SHORT):
+                end = at + size
+                if size > most or end > n:
+                    continue
+                token = merged(raw[at:end])
+                if token is None or (dead and end in dead):
+                    continue
+                if ids:
+                    fits = stable((ids[-1], token))
+                    if fits is None:
+                        fits = self.joint(ids[-1], token)
+                else:
+                    fits = self.alone(token)
+                if fits:
                     ids.append(token)
-                    at += size
-                    size = min(n - at, longest.get(raw[at : at + 2], 1))
+                    at, most = end, 1 << 30
                     break
             else:
+                dead = dead or set()
                 dead.add(at)
-                size = len(self.tokens[ids.pop()])
-                at -= size
-                size -= 1
+                most = len(self.tokens[ids.pop()])
+                at -= most
+                most -= 1
         return ids
 
     def pretoken(self, word: str) -> bytes:
@@ -222,16 +256,18 @@ class ByteBPE:
                 out.extend(self.plain(part[i : i + PIECE] for i in range(0, len(part), PIECE)))
         return b"".join(out)
 
-    def decode(self, ids: Iterable[int]) -> Iterator[str]:
+    def decode(self, ids: list[int]) -> Iterator[str]:
         """Text as soon as its bytes are whole; a machine holds at most three bytes back."""
         machine = codecs.getincrementaldecoder("utf-8")("replace")
-        table, block = self.tokens, []
-        for i in ids:
-            block.append(table.get(i, b""))
-            if len(block) == 4096:
-                yield machine.decode(b"".join(block))
-                block.clear()
-        yield machine.decode(b"".join(block), final=True)
+        table = self.tokens
+        for i in range(0, len(ids), 4096):
+            block = ids[i : i + 4096]
+            try:
+                raw = b"".join([table[i] for i in block])
+            except KeyError:
+                raw = b"".join([table.get(i, b"") for i in block])
+            yield machine.decode(raw)
+        yield machine.decode(b"", final=True)
 
 
 def _packed(ids) -> bytes:
@@ -339,7 +375,11 @@ def decode(rows: DataFrame, path: str, ids: str = "ids", to: str = "decoded") ->
     def run(batches):
         bpe = load(path)
         for batch in batches:
-            out = ["".join(bpe.decode(x.as_py() or ())) for x in batch.column(ids)]
+            lists = batch.column(ids)
+            values, offsets = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
+            out = [
+                "".join(bpe.decode(values[b:e].tolist())) for b, e in zip(offsets[:-1], offsets[1:], strict=True)
+            ]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.string())], [*names, to])
 
     return in_batches(rows, run, f"{_schema(rows)}, `{to}` string")
