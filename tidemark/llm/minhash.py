@@ -143,9 +143,10 @@ def confirmed(pairs: DataFrame, documents: DataFrame, k: int, percent: int) -> D
     """Rows of PAIR for the pairs (a, b) of doc_ids, from their texts shingled anew."""
     pairs = stored(pairs, "pairs")
     total = pairs.count()
-    # All documents are shuffled once, for the texts that take part; both sides are joined with those.
+    # All documents are shuffled once, for the texts that take part; both sides are joined with those. The list
+    # of ids has no bound, so it is never broadcast, and the plan is the same at every size.
     wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    wanted = compact(documents.join(wanted, "doc_id"), "texts")
+    wanted = compact(documents.join(wanted.hint("merge"), "doc_id"), "texts")
     with_b = compact(pairs.join(wanted.toDF("b", "text"), "b"), "texts")
     centre = wanted.toDF("a", "text_a")
     whole = salted_join(with_b, centre, "a", total).select("a", "text_a", "b", "text")
@@ -280,4 +281,4 @@ def kept_documents(documents: DataFrame, k: int = 5, percent: int = PERCENT) ->
     """The rows of ``documents`` of which one per group of near-duplicates stays, with all their columns."""
     gone_id = free_name(documents.columns, "gone_id")
     gone = near_duplicates(documents, k, percent).where(~F.col("kept")).select(F.col("doc_id").alias(gone_id))
-    return documents.join(gone.distinct(), F.col("doc_id") == F.col(gone_id), "left_anti")
+    return documents.join(gone.distinct().hint("merge"), F.col("doc_id") == F.col(gone_id), "left_anti")
