@@ -226,4 +226,4 @@ def kept_documents(documents: DataFrame) -> DataFrame:
     gone = duplicates(documents).where(~F.col("kept"))
     gone = gone.select(F.col("doc_id").alias(gone_id), F.col("text_sha256").alias(gone_digest)).distinct()
     same = F.col("doc_id").eqNullSafe(F.col(gone_id)) & (digest(F.col("text")) == F.col(gone_digest))
-    return documents.join(gone, same, "left_anti")
+    return documents.join(gone.hint("merge"), same, "left_anti")
