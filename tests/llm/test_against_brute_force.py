@@ -280,6 +280,43 @@ def test_fuzzy_passage_with_insertions(spark):
     assert kept[1] == texts[0][1] and kept[3] == texts[2][1] and 80 <= len(kept[2].split()) <= 110
 
 
+@pytest.mark.parametrize("kept", [0.8, 0.82, 0.85, 0.88, 0.9, 0.95])
+def test_stretches_against_all_stretches(kept):
+    """Every stretch that is long and similar enough is covered, but for its badly matched ends."""
+    random = np.random.default_rng(int(1000 * kept))
+    for n in (50, 55, 60, 80, 100):
+        for _ in range(4):
+            hit = np.concatenate([np.zeros(30, bool), random.random(n) < kept, np.zeros(30, bool)])
+            to = np.cumsum(random.integers(0, 20, len(hit)) != 0) + np.cumsum(random.integers(0, 40, len(hit)) == 0)
+            hit &= np.diff(to, prepend=-1) > 0
+            rows = list(chaining.similar_stretches(hit, to))
+            total, covered = np.concatenate([[0], np.cumsum(hit)]), np.zeros(len(hit), bool)
+            for b, e, similarity in rows:
+                assert e - b >= 50 and similarity >= 0.8
+                assert similarity == (total[e] - total[b]) / max(e - b, to[e - 1] - to[b] + 1)
+                covered[b:e] = True
+            fine = [(b, e) for b in range(len(hit)) for e in range(b + 50, len(hit) + 1)
+                    if 10 * (total[e] - total[b]) >= 8 * max(e - b, to[e - 1] - to[b] + 1)]
+            assert bool(fine) == bool(rows)
+            for b, e in fine:
+                if any(x <= b and e <= y and (x, y) != (b, e) for x, y in fine):
+                    continue
+                poor = np.zeros(len(hit), bool)  # in an end of which at most half is matched
+                for x in range(b + 1, e + 1):
+                    if 2 * (total[x] - total[b]) <= x - b:
+                        poor[b:x] = True
+                    if 2 * (total[e] - total[x - 1]) <= e - x + 1:
+                        poor[x - 1 : e] = True
+                assert (covered | poor)[b:e].all()
+
+
+def test_a_clean_run_does_not_hide_its_passage():
+    hit = np.concatenate([np.ones(30, bool), np.arange(30) % 6 != 0])
+    assert [r[:2] for r in chaining.similar_stretches(hit, np.arange(60))] == [(0, 60)]
+    hit = np.concatenate([np.arange(35) % 5 != 0, np.ones(12, bool), np.arange(1, 36) % 5 != 0])
+    assert sum(r[1] - r[0] for r in chaining.similar_stretches(hit, np.arange(82))) >= 80
+
+
 def test_chains_are_the_best():
     random = np.random.default_rng(13)
     for _ in range(40):
