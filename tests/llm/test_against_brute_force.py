@@ -317,6 +317,23 @@ def test_a_clean_run_does_not_hide_its_passage():
     assert sum(r[1] - r[0] for r in chaining.similar_stretches(hit, np.arange(82))) >= 80
 
 
+def test_passages_with_replaced_words_are_found(spark):
+    """50 to 60 words of which 0.8 to 0.95 are kept, at random places between unrelated words."""
+    random = np.random.default_rng(21)
+    word = lambda: "".join(chr(97 + c) for c in random.integers(0, 26, 7))
+    texts, cases = [], [(n, kept) for n in (50, 60) for kept in (0.8, 0.85, 0.9, 0.95) for _ in range(10)]
+    for i, (n, kept) in enumerate(cases):
+        shared = [word() for _ in range(n)]
+        changed = list(shared)
+        for at in random.choice(n, int(n * (1 - kept) + 1e-9), replace=False):
+            changed[at] = word()
+        for doc, part in ((i, shared), (1000 + i, changed)):
+            texts.append((doc, " ".join([*(word() for _ in range(70)), *part, *(word() for _ in range(70))])))
+    rows = chaining.passages(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    assert all(r["doc_id"] == 1000 + r["source_id"] for r in rows)
+    assert len({r["doc_id"] for r in rows}) >= len(cases) - 1
+
+
 def test_chains_are_the_best():
     random = np.random.default_rng(13)
     for _ in range(40):
