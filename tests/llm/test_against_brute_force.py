@@ -334,6 +334,31 @@ def test_passages_with_replaced_words_are_found(spark):
     assert len({r["doc_id"] for r in rows}) >= len(cases) - 1
 
 
+@pytest.mark.parametrize(("n", "held"), [(51, 40), (55, 40), (60, 40), (65, 48), (70, 48)])
+def test_exact_passage_whose_begin_is_held_earlier(spark, n, held):
+    """Documents that hold the begin, then two with all of it; the last has only an earlier holder of all to go by."""
+    random = np.random.default_rng(n)
+    word = lambda: "".join(chr(97 + c) for c in random.integers(0, 26, 7))
+    other = lambda: [word() for _ in range(70)]
+    texts, at = [], {}
+    for i in range(0, 40, 4):
+        shared = [word() for _ in range(n)]
+        for doc, part in ((i, shared[:held]), (i + 1, shared), (i + 2, shared)):
+            texts.append((doc, " ".join([*other(), *part, *other()])))
+        at[i + 2] = set(range(70, 70 + n))
+    rows = chaining.passages(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    for doc, wanted in at.items():
+        assert wanted == wanted & {w for r in rows if r["doc_id"] == doc for w in range(r["start_word"], r["end_word"])}
+
+
+def test_seeds_point_to_their_first_and_previous_holder(spark):
+    random = np.random.default_rng(31)
+    shared = " ".join("".join(chr(97 + c) for c in random.integers(0, 26, 7)) for _ in range(60))
+    rows = chaining.matches(spark.createDataFrame([(d, shared) for d in (3, 5, 8, 9)], "doc_id long, text string"))
+    pairs = {(r["doc_id"], r["source_id"]) for r in rows.collect() if r["place"] == r["source_place"]}
+    assert pairs == {(5, 3), (8, 3), (8, 5), (9, 3), (9, 8)}
+
+
 def test_chains_are_the_best():
     random = np.random.default_rng(13)
     for _ in range(40):
