@@ -47,6 +47,15 @@ def test_languages_of_held_out_documents(spark):
     assert held and sum(truth[r["doc_id"]] == r["lang_pred"] for r in held) >= 0.98 * len(held)
 
 
+def test_a_language_with_one_or_two_documents_is_told(spark):
+    random = np.random.default_rng(6)
+    letters = {"aa": "abcdefgh", "bb": "ijklmnop", "cc": "qrstuvwx"}
+    text = lambda c: " ".join("".join(random.choice(list(letters[c]), 2)) for _ in range(300))
+    rows = [(i, text(lang), lang) for i, lang in enumerate(["aa"] * 20 + ["bb"] * 2 + ["cc"])]
+    model = language.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert [model.decide(text(c))[0] for c in letters] == list(letters)
+
+
 def test_many_languages_need_several_planes():
     names = [f"l{i:03d}" for i in range(70)]
     random = np.random.default_rng(5)

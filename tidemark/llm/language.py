@@ -6,7 +6,8 @@ languages whose n-grams contain it (and false positives). A text's n-grams are l
 language's hits are counted, what its filter would hit by chance is taken off, and the largest count decides.
 
 Learning counts n-grams where the documents lie and keeps, per language, the ``GRAMS`` n-grams found in most
-of its sample documents among those at least ``SHARE`` as frequent as in any other language. The
+of its sample documents among those at least ``SHARE`` as frequent as in any other language. An n-gram must be
+in ``FLOOR`` sample documents of the language, or in all its learning documents if they are fewer. The
 sample takes all documents of a language up to about ``SAMPLE_DOCS``, by a hash of the id.
 
 Defined cases: a null, empty or letterless text is ``und`` with score 0; a text without any known n-gram
@@ -35,6 +36,8 @@ PROBES = 3
 GRAMS = 20_000
 SHARE = 0.5
 SAMPLE_DOCS = 4_000
+#: Sample documents that an n-gram must be in.
+FLOOR = 3
 
 
 @lru_cache(1)
@@ -173,12 +176,14 @@ def learn(rows: DataFrame) -> LanguageFilters:
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) / 1e6
     sample = rows.where(draw < share)
     counted = in_batches(sample.select("lang", "text"), _documents_grams, "lang string, gram long, n long")
-    counted = counted.groupBy("lang", "gram").agg(F.sum("n").alias("n")).where("n >= 3")
+    counted = counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     docs = F.lit(1.0)
     for lang, n in sizes.items():
         docs = F.when(F.col("lang") == lang, float(min(n, SAMPLE_DOCS))).otherwise(docs)
+    counted = counted.where(F.col("n") >= F.least(F.lit(float(FLOOR)), docs))
     counted = stored(counted.withColumn("rate", F.col("n") / docs), "grams")
-    top = counted.groupBy("gram").agg(F.max("rate").alias("top"))
+    # One or two documents of a rare language never push an n-gram out of another's filter.
+    top = counted.groupBy("gram").agg(F.coalesce(F.max(F.when(F.col("n") >= FLOOR, F.col("rate"))), F.lit(0.0)).alias("top"))
     # The sample is bounded, and so is what one language's window holds.
     best = Window.partitionBy("lang").orderBy(F.desc("rate"), "gram")
     kept = (
