@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, chaining, cuckoo, inner_products, language, minhash, packing, sharding, suffixes, toxicity
+from tidemark.llm import (
+    bpe, chaining, cuckoo, hilbert, inner_products, language, minhash, packing, sharding, suffixes, toxicity,
+)
 from tidemark.llm.common import table
 
 
@@ -63,6 +65,10 @@ def op10_oph_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), k=2)
 
 
+def op11_hilbert_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hilbert.nearest_neighbours(table(spark, sf_dir, "embeddings"), F.pmod("vec_id", F.lit(100)) == 0)
+
+
 QUERIES = {
     "op1_histogram_sort": op1_histogram_sort,
     "op2_language_filters": op2_language_filters,
@@ -74,6 +80,7 @@ QUERIES = {
     "op8_streaming_bpe": op8_streaming_bpe,
     "op9_suffix_levels": op9_suffix_levels,
     "op10_oph_minhash": op10_oph_minhash,
+    "op11_hilbert_windows": op11_hilbert_windows,
 }
 
 ORACLE = {
