@@ -277,10 +277,11 @@ def _nearest_sample(asked: list[tuple[int, list[float]]], width: int, k: int):
                 for i in range(len(ids)):
                     with np.errstate(all="ignore"):
                         d = np.sqrt(((x - q[i]) ** 2).sum(1))
-                    d[own == ids[i]] = np.nan
-                    near = np.flatnonzero(d <= np.partition(d, min(k, len(d)) - 1)[min(k, len(d)) - 1])
-                    if np.isnan(d).all():
+                    other = own != ids[i]
+                    if not other.any():
                         continue
+                    limit = np.partition(d[other], min(k, other.sum()) - 1)[min(k, other.sum()) - 1]
+                    near = np.flatnonzero(other & (d <= limit))
                     found.append(pd.DataFrame({"query_id": ids[i], "vec_id": own[near], "score": d[near]}))
                 held = pd.concat(found).sort_values(["query_id", "score", "vec_id"])
                 held = held[~held.duplicated(["query_id", "vec_id"])].groupby("query_id").head(k)

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
-    bpe, chaining, cuckoo, hilbert, inner_products, language, minhash, packing, sharding, suffixes, toxicity,
+    bpe, chaining, cuckoo, hilbert, inner_products, language, minhash, packing, phrases, rtree,
+    sharding, suffixes, toxicity,
 )
 from tidemark.llm.common import table
 
@@ -69,6 +70,16 @@ def op11_hilbert_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert.nearest_neighbours(table(spark, sf_dir, "embeddings"), F.pmod("vec_id", F.lit(100)) == 0)
 
 
+def op12_dynamic_itemsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_rtree_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return rtree.hard_negatives(vectors, F.pmod("vec_id", F.lit(50)) == 0)
+
+
 QUERIES = {
     "op1_histogram_sort": op1_histogram_sort,
     "op2_language_filters": op2_language_filters,
@@ -81,6 +92,8 @@ QUERIES = {
     "op9_suffix_levels": op9_suffix_levels,
     "op10_oph_minhash": op10_oph_minhash,
     "op11_hilbert_windows": op11_hilbert_windows,
+    "op12_dynamic_itemsets": op12_dynamic_itemsets,
+    "op13_rtree_negatives": op13_rtree_negatives,
 }
 
 ORACLE = {
@@ -101,4 +114,56 @@ ORACLE = {
         SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = min(doc_id) OVER same AS kept, text_sha256
         FROM normalised WINDOW same AS (PARTITION BY text_sha256)""",
+    "op12_dynamic_itemsets": r"""
+        WITH pieces AS (
+            SELECT row_number() OVER () AS piece, lang, words FROM (
+                SELECT coalesce(lang, 'und') AS lang, list_filter(string_split_regex(p, '[\x20\x09]+'), lambda w: w <> '') AS words
+                FROM (SELECT lang, unnest(string_split_regex(
+                          translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                          '[.,;:!?\x0A-\x0D]')) AS p FROM documents))
+            WHERE len(words) > 0),
+        counts AS (
+            SELECT lang, array_to_string(words[i:i + m - 1], ' ') AS phrase, m, count(*) AS c
+            FROM (SELECT lang, words, m, unnest(range(1, len(words) - m + 2)) AS i
+                  FROM pieces, (SELECT unnest([1, 2, 3, 4]) AS m) WHERE len(words) >= m)
+            GROUP BY ALL),
+        candidates AS (SELECT lang, phrase, m, c, string_split(phrase, ' ') AS w FROM counts WHERE m > 1 AND c >= 30),
+        hidden AS (
+            SELECT DISTINCT s.lang, s.phrase FROM candidates s JOIN (
+                SELECT lang, c, array_to_string(w[i:i + k - 1], ' ') AS phrase
+                FROM candidates, (SELECT unnest([1, 2, 3]) AS i), (SELECT unnest([2, 3]) AS k)
+                WHERE k < m AND i + k - 1 <= m) l
+            ON s.lang = l.lang AND s.phrase = l.phrase AND 100 * l.c >= 80 * s.c),
+        cuts AS (
+            SELECT lang, phrase, c AS a, k, array_to_string(w[1:k], ' ') AS head, array_to_string(w[k + 1:], ' ') AS tail
+            FROM (SELECT *, unnest(range(1, m)) AS k FROM candidates ANTI JOIN hidden USING (lang, phrase))),
+        scored AS (
+            SELECT x.lang, x.phrase, x.a, k, h.c AS l, t.c AS r,
+                   CAST((2000000::HUGEINT * x.a) // (h.c::HUGEINT + t.c) AS BIGINT) AS score
+            FROM cuts x JOIN counts h ON h.lang = x.lang AND h.phrase = x.head
+            JOIN counts t ON t.lang = x.lang AND t.phrase = x.tail
+            QUALIFY row_number() OVER (PARTITION BY x.lang, x.phrase ORDER BY score, k) = 1),
+        totals AS (SELECT lang, CAST(sum(len(words)) AS BIGINT) AS n FROM pieces GROUP BY lang)
+        SELECT lang, row_number() OVER best AS rank, phrase, a, l, r, n, score
+        FROM scored JOIN totals USING (lang)
+        WINDOW best AS (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) QUALIFY rank <= 2000""",
+    "op13_rtree_negatives": """
+        WITH usable AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+            FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL
+                  AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        scored AS (
+            SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+                   CAST(list_inner_product(a.v, c.v) AS BIGINT) AS score
+            FROM usable a JOIN usable c ON a.vec_id <> c.vec_id WHERE a.vec_id % 50 = 0),
+        positives AS (
+            SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+        SELECT anchor_id, positive_id, CAST(row_number() OVER best AS INTEGER) AS rank, vec_id AS negative_id,
+               positive_score, score AS negative_score
+        FROM positives JOIN scored USING (anchor_id)
+        WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+        WINDOW best AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) QUALIFY rank <= 3""",
 }
