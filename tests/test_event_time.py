@@ -156,10 +156,9 @@ def arrivals(seed, count=1_500, epochs=40):
 
 
 def replayed(rows):
-    """Dropped offsets and emitted order, with the watermark taken from each epoch's rows."""
-    o, bound, marks = Orderer(), None, []
+    """Dropped offsets and emitted order; a segment that is silent in an epoch keeps its newest time."""
+    o, bound, marks, newest = Orderer(), None, [], {}
     for epoch in sorted({r[3] for r in rows}):
-        newest = {}
         for segment, offset, key, _, time in (r for r in rows if r[3] == epoch):
             o.event(key, time, offset)
             if time is not None:
@@ -199,6 +198,41 @@ def test_late_rule_matches_brute_force(spark, seed):
     }
 
 
+def test_a_silent_segment_holds_the_bound(spark):
+    """Segment 1 pauses in the second epoch: its newest time, 5, still counts, and nothing is late."""
+    rows = [(0, 0, "a", 0, 10), (1, 1, "a", 0, 5), (0, 2, "a", 1, 100), (0, 3, "b", 1, 7),
+            (1, 4, "a", 2, 6), (1, 5, "b", 2, 8), (0, 6, "a", 2, 101), (1, 7, "c", 3, 200)]
+    log = log_of(spark, rows)
+    bounds = watermarks.lower_bounds(log, "epoch", "t").orderBy("epoch").collect()
+    assert [(r.epoch, r.bound, r.in_force) for r in bounds] == [(0, 5, None), (1, 5, 5), (2, 8, 5), (3, 101, 8)]
+    assert watermarks.drop_late(log, "key", "epoch", "t").count() == 8
+    # With segments named that have not delivered yet, there is no bound at all.
+    waiting = watermarks.lower_bounds(log, "epoch", "t", [0, 1, 2]).collect()
+    assert {r.bound for r in waiting} == {None}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_bounds_with_pauses_match_brute_force(spark, seed):
+    rng = random.Random(seed)
+    rows, quiet = [], {}
+    for n in range(600):
+        epoch = n // 15
+        quiet.setdefault(epoch, set(rng.sample(range(5), rng.randrange(4))))
+        segment = rng.choice([s for s in range(5) if s not in quiet[epoch]])
+        rows.append((segment, n, "k", epoch, None if rng.random() < 0.05 else epoch * 10 + rng.randrange(40)))
+    expected, newest, bound = [], {}, None
+    for epoch in range(40):
+        before = bound
+        for s, _, _, e, t in rows:
+            if e == epoch and t is not None:
+                newest[s] = max(t, newest.get(s, t))
+        if newest:
+            bound = min(newest.values()) if bound is None else max(bound, min(newest.values()))
+        expected.append((epoch, bound, before))
+    got = watermarks.lower_bounds(log_of(spark, rows), "epoch", "t")
+    assert sorted(map(tuple, got.collect())) == expected
+
+
 def test_late_rule_keeps_rows_below_the_watermark(spark):
     """At watermark 1 a row of time 1 is kept when its key has emitted nothing yet."""
     rows = [(0, 0, "other", 0, 1), (0, 1, "k", 1, 1), (0, 2, "k", 1, 3), (0, 3, "k", 1, 2), (0, 4, "k", 1, 1),

@@ -15,22 +15,39 @@ from tidemark.operators.running import running
 from tidemark.settings import stored
 
 
-def lower_bounds(log: DataFrame, epoch: str, time: str) -> DataFrame:
+def lower_bounds(log: DataFrame, epoch: str, time: str, segments: list | None = None) -> DataFrame:
     """Rows ``epoch, bound, in_force``: per epoch the lower bound after it, and the one during it.
 
-    The bound is the least over segments of the newest event time each delivered in the epoch, and
-    never falls; ``in_force`` is the bound of the epochs before, null in the first. The log is
-    folded to one row per epoch in one pass and stored; the rest works on that table.
+    The bound is the least over segments of the newest event time each has delivered so far, and never falls: a
+    segment that is silent in an epoch keeps the time it had. A segment counts from its first event with a time on; with
+    ``segments`` given, there is no bound until all of them have delivered. ``in_force`` is the bound of the epochs before,
+    null in the first. The log is folded to one row per epoch and segment in one pass and stored; the rest works on
+    that table, which has epochs times segments rows.
     """
-    return _lower_bounds(log, epoch, time)[0]
+    return _lower_bounds(log, epoch, time, segments)[0]
 
 
-def _lower_bounds(log: DataFrame, epoch: str, time: str) -> tuple[DataFrame, int]:
+def _lower_bounds(log: DataFrame, epoch: str, time: str, segments: list | None = None) -> tuple[DataFrame, int]:
     """As :func:`lower_bounds`, with the number of epochs."""
     times = log.select(epoch, "segment", F.col(time).alias("_time")).filter(F.col("_time").isNotNull())
     newest = times.groupBy(epoch, "segment").agg(F.max("_time").alias("_newest"))
-    per_epoch = stored(newest.groupBy(epoch).agg(F.min("_newest").alias("_bound")), "epochs")
-    count = per_epoch.count()
+    newest = stored(newest, "newest")
+    # One row for each segment of a stream, null among them if there is one.
+    known = segments or [r[0] for r in newest.select("segment").distinct().collect()]
+    kind = newest.schema["segment"].dataType
+    epochs = newest.select(epoch).distinct()
+    dense = epochs.withColumn("segment", F.explode(F.lit(None).cast("array<string>") if not known else F.array(
+        *[F.lit(s).cast(kind) for s in known])))
+    same = (F.col(epoch) == F.col("_epoch")) & F.col("segment").eqNullSafe(F.col("_segment"))
+    told = newest.withColumnsRenamed({epoch: "_epoch", "segment": "_segment"})
+    dense = stored(dense.join(told, same, "left").select(epoch, "segment", "_newest"), "segments")
+    count = dense.count()
+    carried = running(dense, epoch, F.col("_newest"), "_known", how="max", partition=["segment"], rows_known=count)
+    least = F.min("_known")
+    if segments:
+        least = F.when(F.count("_known") == len(segments), least)
+    per_epoch = stored(carried.groupBy(epoch).agg(least.alias("_bound")), "epochs")
+    count = count // max(1, len(known))
     grown = running(per_epoch, epoch, F.col("_bound"), "in_force", how="max", inclusive=False, rows_known=count)
     return grown.select(epoch, F.greatest("_bound", "in_force").alias("bound"), "in_force"), count
 
@@ -142,8 +159,9 @@ def mark_late(
     already emitted for its key, which is laxer than comparing with the watermark.
 
     Rows without a time are never late, nor are rows ahead of the watermark in force, since nothing
-    newer than it has been emitted: only rows behind it are shuffled and judged. Per key one row per
-    turn is kept for the running maximum, so a hot key costs no more than the number of turns.
+    newer than it has been emitted: only rows behind it are judged. All timed rows tell when they fire; they are
+    folded to the newest time per (key, turn) before they are shuffled, so a hot key costs no more than
+    the number of turns.
     """
     epochs = replay(log, epoch, time) if epochs is None else epochs
     grew = F.col("in_force").isNull() | (F.col("bound") > F.col("in_force"))

@@ -20,10 +20,14 @@ jittered AS (
          CAST(epoch(date_trunc('hour', event_time)) AS BIGINT) // 3600 AS epoch
   FROM log)"""
 
-# The lower bound after each epoch and the one in force during it.
+# The lower bound after each epoch and the one in force during it; a silent segment keeps its newest time.
 _BOUNDS = """,
 newest AS (SELECT epoch, segment, max(event_time) AS newest FROM jittered GROUP BY ALL),
-per_epoch AS (SELECT epoch, min(newest) AS least FROM newest GROUP BY epoch),
+carried AS (
+  SELECT epoch, max(newest) OVER (PARTITION BY segment ORDER BY epoch) AS newest
+  FROM (SELECT DISTINCT epoch FROM jittered) CROSS JOIN (SELECT DISTINCT segment FROM jittered)
+  LEFT JOIN newest USING (epoch, segment)),
+per_epoch AS (SELECT epoch, min(newest) AS least FROM carried GROUP BY epoch),
 bounds AS (
   SELECT epoch, max(least) OVER (ORDER BY epoch) AS bound,
          max(least) OVER (ORDER BY epoch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS in_force

@@ -7,12 +7,13 @@ import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.times import micros
 from tidemark.operators.changelog import append_only
-from tidemark.sources.layout import Claim, StreamTable
+from tidemark.sources.commits import Claim
+from tidemark.sources.layout import Batch, StreamTable
 
 logger = logging.getLogger(__name__)
 
@@ -21,6 +22,8 @@ AT_LEAST_ONCE = "at-least-once"
 EXACTLY_ONCE = "exactly-once"
 BEST_EFFORT = "best-effort"
 GUARANTEES = (AT_LEAST_ONCE, EXACTLY_ONCE, BEST_EFFORT)
+# Under this name the times of a commit hold the watermark in force after it.
+IN_FORCE = "in force"
 # The column that makes rows a changelog; sinks take its inserts only.
 KIND = "row_kind"
 
@@ -36,13 +39,54 @@ class SinkMetrics:
     replays_skipped: int = 0
 
 
+@dataclass
+class WatermarkNotes:
+    """Notes, with a commit, the watermark that was in force while its batch was written.
+
+    In force during a batch is the least over source segments of the newest event time that each has delivered in
+    earlier batches; it never falls, and a segment that is silent keeps its last time. It is noted when it has
+    grown since the last note and the batch has an event at or past it. ``segment`` names the column with
+    the source segment; without one all rows are of one segment. What the segments have delivered is kept in the
+    commit log, so a restarted sink goes on where it stopped.
+    """
+
+    segment: str | None = None
+    delay_micros: int = 0
+    times: dict[str, int] | None = None
+    noted: int | None = None
+
+    def load(self, own: DataFrame) -> None:
+        """Take up the state of the last commit among the commits of this query."""
+        last = own.agg(F.max_by("times", "batch_id").alias("times"), F.max("watermark").alias("noted")).first()
+        self.times, self.noted = dict(last["times"] or {}), last["noted"]
+
+    def step(self, rows: DataFrame, time: str, newest: int | None) -> tuple[int | None, dict[str, int]]:
+        """The watermark to note with a batch, or None, and the times after it."""
+        in_force = self.times.get(IN_FORCE)
+        grew = in_force is not None and (self.noted is None or in_force > self.noted)
+        mark = in_force if grew and newest is not None and newest >= in_force else None
+        after = dict(self.times)
+        if newest is not None:
+            if self.segment is None:
+                seen = {"all": newest}
+            else:
+                newest_of = rows.groupBy(F.col(self.segment).cast("string").alias("s")).agg(F.max(micros(rows, time)).alias("t"))
+                seen = {f"segment {r['s']}": r["t"] for r in newest_of.collect() if r["t"] is not None}  # one row a segment
+            for name, value in seen.items():
+                after[name] = max(value, after.get(name, value))
+            bound = min(v for k, v in after.items() if k != IN_FORCE) - self.delay_micros
+            after[IN_FORCE] = bound if in_force is None else max(bound, in_force)
+        return mark, after
+
+
 @dataclass
 class StreamSink:
     """Writes batches to a stream table; use :meth:`write` with ``foreachBatch``.
 
     ``key`` routes events (a string column, an expression, or None for random routing). ``order``
     gives the columns whose order offsets follow inside a segment. ``event_time`` names the column
-    from which a watermark is noted with each commit: the newest time written, less ``delay_micros``.
+    from which a watermark is noted with each commit: the newest time written, less ``delay_micros``, or, with
+    ``marks``, the watermark in force.
     ``keep_arrival`` keeps the order in which each input task delivers its rows. ``tasks`` is the
     number of write tasks.
     """
@@ -56,11 +100,15 @@ class StreamSink:
     delay_micros: int = 0
     keep_arrival: bool = True
     tasks: int | None = None
+    marks: WatermarkNotes | None = None
     metrics: SinkMetrics = field(init=False)
+    _recovered: bool = field(init=False, default=False)
 
     def __post_init__(self):
         if self.guarantee not in GUARANTEES:
             raise ValueError(f"guarantee is one of {list(GUARANTEES)}, not {self.guarantee!r}")
+        if self.marks is not None and not self.event_time:
+            raise ValueError("watermarks are noted from an event-time column")
         self.metrics = SinkMetrics(str(self.table.name))
 
     def write(self, rows: DataFrame, batch_id: int) -> None:
@@ -76,29 +124,53 @@ class StreamSink:
         # Only exactly-once remembers which batches it has seen; the others write a replay again.
         once = self.guarantee == EXACTLY_ONCE
         query = self.query_id if once else f"{self.query_id}-{uuid.uuid4().hex}"
+        if not self._recovered:
+            self.table.recover(self.query_id, self._log_published)
+            self._recovered = True
         claim = self.table.claimed(query, batch_id)
         if claim is not None and self.table.is_published(claim):
             if not self.table.is_committed(claim):
                 self._log_published(claim)
             self.metrics.replays_skipped += 1
             return
+        if once and self.table.transactions.is_done(query, batch_id):
+            self.metrics.replays_skipped += 1
+            return
         if KIND in rows.columns and KIND not in self.table.row_type.names:
             rows = append_only(rows, KIND)
         batch = self.table.prepare(rows, self.tasks)
-        claim = self.table.claim(query, batch_id, batch.tasks or self.table.most_tasks())
-        seen = Observation()
-        counted = [F.count(F.lit(1)).alias("n_rows")]
-        if self.event_time:
-            counted.append(F.max(micros(rows, self.event_time)).alias("newest"))
-        self.table.stage(
-            batch, claim, key=self.key, order=self.order, keep_arrival=self.keep_arrival, observe=(seen, counted)
+        try:
+            claim = self.table.claim(query, batch_id, batch.tasks or self.table.most_tasks())
+            try:
+                self._commit(batch, claim)
+            except Exception:
+                # What was staged goes; a batch that was published already stays and is logged by its replay.
+                self.table.abort(claim)
+                raise
+            if not once:
+                self.table.transactions.forget(claim)
+        finally:
+            self.table.discard(batch)
+
+    def _commit(self, batch: Batch, claim: Claim) -> None:
+        observed = [F.max(micros(batch.rows, self.event_time)).alias("newest")] if self.event_time else []
+        facts = self.table.stage(
+            batch, claim, key=self.key, order=self.order, keep_arrival=self.keep_arrival, observed=observed
         )
         # Observed while the batch was written, so there is no second pass.
-        n_rows, newest = seen.get["n_rows"], seen.get.get("newest")
-        if newest is not None:
-            self._advance(newest)
-        self.table.publish(claim, n_rows, self.metrics.watermark)
-        self.metrics.records_out += n_rows
+        newest = facts.get("newest")
+        if self.marks is not None:
+            if self.marks.times is None:
+                self.marks.load(self._own_commits())
+            mark, times = self.marks.step(batch.rows, self.event_time, newest)
+            self.table.publish(claim, facts, mark, times=times)
+            self.marks.times, self.marks.noted = times, mark if mark is not None else self.marks.noted
+            self.metrics.watermark = self.marks.noted
+        else:
+            if newest is not None:
+                self._advance(newest)
+            self.table.publish(claim, facts, self.metrics.watermark)
+        self.metrics.records_out += facts["n_rows"]
 
     def _advance(self, newest: int) -> None:
         """The committed watermark never falls, nor does it after a restart."""
@@ -110,20 +182,32 @@ class StreamSink:
 
     def _last_watermark(self) -> int | None:
         """The newest watermark that an earlier run of this query committed, under any of its names."""
+        return self._own_commits().agg(F.max("watermark")).first()[0]
+
+    def _log_marked(self, claim: Claim, published: DataFrame, row: dict) -> None:
+        if self.marks.times is None:
+            self.marks.load(self._own_commits())
+        mark, times = self.marks.step(published, self.event_time, row["newest"])
+        self.table.log(claim, {"n_rows": row["n_rows"]}, mark, times=times)
+        self.marks.times, self.marks.noted = times, mark if mark is not None else self.marks.noted
+
+    def _own_commits(self) -> DataFrame:
         name = F.col("query_id")
-        own = self.table.commits().filter((name == self.query_id) | name.startswith(f"{self.query_id}-"))
-        return own.agg(F.max("watermark")).first()[0]
+        return self.table.commits().filter((name == self.query_id) | name.startswith(f"{self.query_id}-"))
 
     def _log_published(self, claim: Claim) -> None:
         """An earlier attempt published the batch and stopped before logging it."""
-        published = self.table.read().filter(F.col("ingest_epoch") == claim.epoch)
+        published = self.table.read_epochs([claim.epoch])
         totals = [F.count(F.lit(1)).alias("n_rows")]
         if self.event_time:
             totals.append(F.max(micros(published, self.event_time)).alias("newest"))
         row = published.agg(*totals).first().asDict()
+        if self.marks is not None:
+            self._log_marked(claim, published, row)
+            return
         if row.get("newest") is not None:
             self._advance(row["newest"])
-        self.table.log(claim, row["n_rows"], self.metrics.watermark)
+        self.table.log(claim, {"n_rows": row["n_rows"]}, self.metrics.watermark)
 
 
 def append(table: StreamTable, rows: DataFrame, *, key: str | Column | None = None,
