@@ -6,27 +6,37 @@ counts are per ``lang`` (null: ``und``).
 Documents are dealt by hash into ``SHARDS`` shards, which are scanned in turn, over and over. Words are counted from
 the first scan on. A longer phrase becomes active before the first scan at which both its subphrases (without its
 last, without its first word) have been counted ``LEAST`` times; it is counted in that scan and the next
-``SHARDS`` - 1, so in every shard once, and then rests. So lengths interleave, and the scans end when no phrase is within its cycle.
+``SHARDS`` - 1, so in every shard once, and then rests. So lengths interleave, and the scans end when no phrase is
+within its cycle.
 
 Tasks know what is active from a Bloom filter of ``FILTER_BITS`` bits with the phrases that have reached the threshold,
 which only grows: a phrase is within its cycle if both subphrases pass the filter of this scan, and not both passed
-the one of ``SHARDS`` scans ago. A false hit therefore only activates a phrase early: its cycle is still one whole cycle and its
-count exact. The filter's size is fixed; a corpus whose phrases fill it is counted more, not wrongly.
+the one of ``SHARDS`` scans ago. A false hit therefore only activates a phrase early: its cycle is still one whole
+cycle and its count exact. The filter's size is fixed; a corpus whose phrases fill it is counted more, not wrongly.
 
-Phrases travel as two 64-bit hashes (with the language in both), counted in the task before they are shuffled. Once the counts are final, one
-more scan gives the texts of the phrases that reached the threshold, and scores, cuts and coverage are
-joins on them.
+Most pairs of frequent words are rare pairs. Before the scans one pass adds up all pairs in a table of saturating bytes
+by hash; a pair whose byte stays below the threshold cannot reach it, and is left out. The table grows with the
+corpus (``LOAD`` words a byte, up to ``MOST_BYTES``); beyond ``FULL`` words a byte nearly every byte would be full, so the
+pass is left out and all active pairs are counted.
 
-Defined cases: null texts are empty; a null language is ``und``; a repeated row counts each time; a word may be of any length;
-equal scores are ordered by count, then by the phrase's UTF-8 bytes; an empty table gives no rows; extra columns, whatever their
-names, play no part. A score is floor(2000000 a / (l + r)) in whole numbers of 38 digits.
+Phrases travel as two 64-bit hashes (with the language in both), counted in the task before they are shuffled. Once
+the counts are final, one more scan gives the texts of the phrases that reached the threshold, and scores, cuts and
+coverage are joins on them.
+
+Defined cases: null texts are empty; a null language is ``und``; a repeated row counts each time; a word may be of
+any length; equal scores are ordered by count, then by the phrase's UTF-8 bytes; an empty table gives no rows; extra
+columns, whatever their names, play no part. A score is floor(2000000 a / (l + r)) in whole numbers of 38 digits.
 """
 
 from __future__ import annotations
 
+import zlib
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -41,9 +51,17 @@ FIRST = 2_000
 COVERED = 80
 FILTER_BITS = 1 << 25
 PROBES = 2
-#: Distinct phrases a task holds before it hands them on, and words whose hashes it remembers.
-HELD = 1 << 21
-REMEMBERED = 1 << 20
+#: The table of pairs: words for each of its bytes, its bounds, and the bytes that travel together.
+LOAD, FULL = 8, 20
+LEAST_BYTES, MOST_BYTES, CHUNK = 1 << 16, 1 << 27, 1 << 16
+#: Tables of so many tasks are added up at a time.
+FAN = 64
+#: Distinct phrases a task holds before it hands them on, those it remembers to have named, bytes of text at a time.
+HELD = 1 << 19
+REMEMBERED = 1 << 19
+TEXT_BYTES = 2 << 20
+#: Longer words, in bytes, are hashed one by one.
+SHORT = 64
 UNKNOWN = "und"
 
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
@@ -51,39 +69,92 @@ LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 ENDS, GAPS = b".,;:!?\n\x0b\x0c\r", b" \t"
 #: Every byte lower-cased, with ends as line feeds and gaps as spaces.
 PLAIN = bytes(10 if b in ENDS else 32 if b in GAPS else LOWER[b] for b in range(256))
-OTHER = np.uint64(0xC2B2AE3D27D4EB4F)
 COUNTS = "h1 long, h2 long, n int, c long"
 
 
-class Words(dict):
-    """Hashes of words, remembered up to a bound."""
+class _Powers:
+    """Powers of an odd number modulo 2**64, as far as they were asked for."""
+
+    def __init__(self, base: int):
+        self.base, self.known = np.uint64(base), np.ones(1, np.uint64)
+
+    def upto(self, n: int) -> np.ndarray:
+        if len(self.known) < n:
+            self.known = np.cumprod(np.r_[np.uint64(1), np.full(n - 1, self.base)], dtype=np.uint64)
+        return self.known[:n]
+
+
+class _Lane:
+    """Hashes of all words of a buffer at once: sums of a random number a byte times powers of an odd base."""
+
+    def __init__(self, seed: int):
+        random = np.random.default_rng(seed)
+        self.seed = seed
+        self.bytes = random.integers(0, 1 << 64, 256, np.uint64)
+        base = int(random.integers(0, 1 << 64, dtype=np.uint64)) | 1
+        self.up, self.down = _Powers(base), _Powers(pow(base, -1, 1 << 64))
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        self[word] = found = xxhash.xxh3_64_intdigest(word)
-        return found
+    def hashes(self, plain: bytes, buffer: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        n = len(buffer)
+        sums = np.zeros(n + 1, np.uint64)
+        np.cumsum(self.bytes[buffer] * self.up.upto(n), out=sums[1:])
+        out = (sums[ends] - sums[starts]) * self.down.upto(n + 1)[starts] + (ends - starts).astype(np.uint64)
+        for i in np.flatnonzero(ends - starts > SHORT):
+            out[i] = xxhash.xxh3_64_intdigest(plain[starts[i] : ends[i]], seed=self.seed)
+        return out
 
 
-def language_seed(lang: str | None) -> int:
-    return xxhash.xxh3_64_intdigest((UNKNOWN if lang is None else lang).encode("utf-8", "surrogatepass"), seed=1)
+def language_seed(lang: str) -> int:
+    return xxhash.xxh3_64_intdigest(lang.encode("utf-8", "surrogatepass"), seed=1)
 
 
-def split(text: str) -> tuple[list[bytes], np.ndarray]:
-    """The words of a text, and for each the number of its piece."""
-    words, pieces = [], []
-    for number, piece in enumerate(text.encode("utf-8", "surrogatepass").translate(PLAIN).split(b"\n")):
-        found = [w for w in piece.split(b" ") if w]
-        if found:
-            words += found
-            pieces.append((number, len(found)))
-    numbers = np.repeat(np.array([p[0] for p in pieces], np.int64), np.array([p[1] for p in pieces], np.int64))
-    return words, numbers
+@dataclass
+class Words:
+    """The words of some texts: where they lie, their hashes, and how many follow in their piece (itself included)."""
 
+    plain: bytes
+    starts: np.ndarray
+    ends: np.ndarray
+    lanes: tuple[np.ndarray, np.ndarray]
+    room: np.ndarray
+    langs: list[str]
+    document: np.ndarray
 
-def word_lanes(hashes: np.ndarray, seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Two independent hashes of each word in its language."""
-    return mix(hashes + seeds), mix((hashes ^ OTHER) * MIX + seeds)
+    def text(self, at: int, n: int) -> bytes:
+        return b" ".join(self.plain[self.starts[i] : self.ends[i]] for i in range(at, at + n))
+
+
+class Splitter:
+    """Words of batches, a bounded number of bytes at a time; longer texts are cut between pieces."""
+
+    def __init__(self):
+        self.lanes = _Lane(2), _Lane(3)
+
+    def __call__(self, batches):
+        for batch in slices(batches, TEXT_BYTES):
+            texts = [(x or "").encode("utf-8", "surrogatepass") for x in batch.column("text").to_pylist()]
+            langs = [UNKNOWN if x is None else x for x in batch.column("lang").to_pylist()]
+            begins = np.cumsum([0] + [len(t) + 1 for t in texts[:-1]])
+            whole = b"\n".join(texts).translate(PLAIN)
+            begin = 0
+            while begin < len(whole):
+                end = whole.find(b"\n", begin + TEXT_BYTES)
+                end = len(whole) if end < 0 else end
+                yield self._words(whole[begin:end], begins - begin, langs)
+                begin = end
+
+    def _words(self, plain: bytes, begins: np.ndarray, langs: list[str]) -> Words:
+        buffer = np.frombuffer(plain, np.uint8)
+        ends_piece = buffer == 10
+        inside = ~(ends_piece | (buffer == 32))
+        edges = np.flatnonzero(np.diff(np.r_[False, inside, False]))
+        starts, ends = edges[::2], edges[1::2]
+        piece = np.cumsum(ends_piece)[starts]
+        room = np.searchsorted(piece, piece, "right") - np.arange(len(piece))
+        document = np.searchsorted(begins, starts, "right") - 1
+        seeds = np.array([language_seed(lang) for lang in langs], np.uint64)[document]
+        lanes = tuple(mix(lane.hashes(plain, buffer, starts, ends) + seeds) for lane in self.lanes)
+        return Words(plain, starts, ends, lanes, room, langs, document)
 
 
 def longer(lanes: tuple, words: tuple, at: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -115,26 +186,71 @@ def _sums(h1, h2, n, c) -> tuple[np.ndarray, ...]:
     return h1[begin], h2[begin], n[begin], np.add.reduceat(c, begin) if len(begin) else c
 
 
-def phrases_of(batch: pa.RecordBatch, words: Words):
-    """(word bytes, two lanes of hashes, places left in the piece, language of each word) of the batch's texts."""
-    found, hashes, room, seeds, langs = [], [], [], [], []
-    for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist()):
-        own, pieces = split(text or "")
-        if not own:
-            continue
-        found += own
-        hashes.append(np.fromiter((words[w] for w in own), np.uint64, len(own)))
-        last = np.searchsorted(pieces, pieces, "right")
-        room.append(last - np.arange(len(own)))
-        seeds.append(np.full(len(own), language_seed(lang), np.uint64))
-        langs.append((UNKNOWN if lang is None else lang, len(own)))
-    if not found:
-        empty = np.zeros(0, np.uint64)
-        return [], (empty, empty), np.zeros(0, np.int64), []
-    return found, word_lanes(np.concatenate(hashes), np.concatenate(seeds)), np.concatenate(room), langs
-
-
-def active(lanes, room, now, before, longest: int):
+def pair_place(h1: np.ndarray, size: int) -> np.ndarray:
+    """The byte of a pair in a table of ``size`` bytes, a power of two."""
+    return ((h1 * MIX) >> np.uint64(65 - size.bit_length())).astype(np.int64)
+
+
+def _pairs(size: int, least: int):
+    """A task's table of pairs: how often each byte was hit, up to ``least``, in compressed chunks."""
+
+    def run(batches):
+        table = np.zeros(size, np.uint8)
+        for words in Splitter()(batches):
+            lane, at = words.lanes[:1], np.flatnonzero(words.room >= 2)
+            place, hits = np.unique(pair_place(longer(lane, lane, at, 2)[0], size), return_counts=True)
+            table[place] = np.minimum(table[place] + hits, least)
+        chunks, task = table.reshape(-1, CHUNK), TaskContext.get().partitionId()
+        for number in np.flatnonzero(chunks.any(axis=1)):
+            packed = zlib.compress(chunks[number].tobytes(), 1)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([number], pa.int32()), pa.array([task], pa.int32()), pa.array([packed], pa.binary())],
+                ["chunk", "task", "bytes"],
+            )
+
+    return run
+
+
+def _added(least: int):
+    def run(key, rows):
+        total = np.zeros(CHUNK, np.int64)
+        for raw in rows.column("bytes").to_pylist():
+            total = np.minimum(total + np.frombuffer(zlib.decompress(raw), np.uint8), least)
+        packed = zlib.compress(total.astype(np.uint8).tobytes(), 1)
+        chunk, task = (pa.array([k.as_py()], pa.int32()) for k in key)
+        return pa.table({"chunk": chunk, "task": task, "bytes": pa.array([packed], pa.binary())})
+
+    return run
+
+
+def heavy_pairs(docs: DataFrame, least: int = LEAST) -> np.ndarray | None:
+    """Which bytes of the table of pairs were hit ``least`` times or more, as bits; None where it would be full."""
+    words = (docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // 6
+    size = max(LEAST_BYTES, min(MOST_BYTES, 1 << max(0, (words // LOAD).bit_length())))
+    if words > FULL * size:
+        return None
+    schema = "chunk int, task int, bytes binary"
+    tables = stored(docs.select("text", "lang").mapInArrow(_pairs(size, least), schema), "pairs")
+    most = (tables.agg(F.max("task")).first()[0] or 0) + 1
+    while most > 1:
+        # Of many tasks' tables a fixed number meet in one group at a time.
+        most = -(-most // FAN)
+        dealt = tables.withColumn("task", F.pmod("task", F.lit(most)))
+        tables = stored(dealt.groupBy("chunk", "task").applyInArrow(_added(least), schema), "pairs")
+    bits = np.zeros(size, bool)
+    for chunk, _, raw in tables.collect():  # the table itself, of a bounded size
+        bits[chunk * CHUNK : (chunk + 1) * CHUNK] = np.frombuffer(zlib.decompress(raw), np.uint8) >= least
+    return np.packbits(bits)
+
+
+def is_heavy(heavy: np.ndarray | None, h1: np.ndarray) -> np.ndarray:
+    if heavy is None:
+        return np.ones(len(h1), bool)
+    place = pair_place(h1, len(heavy) * 8)
+    return (heavy[place >> 3] >> (7 - (place & 7)).astype(np.uint8)) & 1 == 1
+
+
+def active(lanes, room, now, before, heavy, longest: int):
     """(n, places, lanes) of the phrases of two words and more that are within their cycle."""
     passed = [passes(f, *lanes) for f in (now, before)]
     at, current = np.arange(len(room)), lanes
@@ -144,10 +260,13 @@ def active(lanes, room, now, before, longest: int):
         if not len(at):
             return
         # ``current`` and ``passed`` are by place; phrases that do not fit are never looked at.
-        both = [p[at] & p[at + 1] for p in passed]
-        yield n, at[both[0] & ~both[1]], longer(current, lanes, at[both[0] & ~both[1]], n)
-        on, was_on = at[both[0]], both[1][both[0]]
+        on = at[passed[0][at] & passed[0][at + 1]]
         grown = longer(current, lanes, on, n)
+        if n == 2:
+            able = is_heavy(heavy, grown[0])
+            on, grown = on[able], tuple(g[able] for g in grown)
+        was_on = passed[1][on] & passed[1][on + 1]
+        yield n, on[~was_on], tuple(g[~was_on] for g in grown)
         current = tuple(np.zeros(len(room), np.uint64) for _ in range(2))
         for whole, part in zip(current, grown):
             whole[on] = part
@@ -159,23 +278,23 @@ def active(lanes, room, now, before, longest: int):
         at = on
 
 
-def _scan(filters, first_cycle: bool, longest: int):
+def _scan(filters, heavy, first_cycle: bool, longest: int):
     """Counts of what is within its cycle, words included in the first one."""
 
     def run(batches):
         now, before = (None if f is None else np.frombuffer(f, np.uint64) for f in filters.value)
-        words, held, size = Words(), [], 0
+        able = None if heavy.value is None else np.frombuffer(heavy.value, np.uint8)
+        held, size = [], 0
 
         def out(rows):
             h1, h2, n, c = rows
             columns = [pa.array(signed(h1)), pa.array(signed(h2)), pa.array(n.astype(np.int32)), pa.array(c)]
             return pa.RecordBatch.from_arrays(columns, ["h1", "h2", "n", "c"])
 
-        for batch in slices(batches):
-            _, lanes, room, _ = phrases_of(batch, words)
-            parts = [(1, np.arange(len(room)), lanes)] if first_cycle else []
+        for words in Splitter()(batches):
+            parts = [(1, None, words.lanes)] if first_cycle else []
             if now is not None:
-                parts += active(lanes, room, now, before, longest)
+                parts += active(words.lanes, words.room, now, before, able, longest)
             for n, at, (h1, h2) in parts:
                 if len(h1):
                     held.append(_sums(h1, h2, np.full(len(h1), n, np.int8), np.ones(len(h1), np.int64)))
@@ -218,6 +337,8 @@ def count_phrases(spark: SparkSession, docs: DataFrame, least: int = LEAST, long
     """(h1, h2, n, c) of all phrases that occur ``least`` times or more, by dynamic itemset counting."""
     shard = F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards))
     texts = docs.select("text", "lang", shard.alias("shard"))
+    heavy = heavy_pairs(texts, least)
+    heavy = spark.sparkContext.broadcast(None if heavy is None else heavy.tobytes())
     state, done = None, []
     filters: list[np.ndarray | None] = [None]
     scan, last_start = 0, 0
@@ -225,7 +346,7 @@ def count_phrases(spark: SparkSession, docs: DataFrame, least: int = LEAST, long
         now, before = filters[scan], filters[scan - shards] if scan >= shards else None
         raw = tuple(None if f is None else f.tobytes() for f in (now, before))
         share = texts.where(F.col("shard") == scan % shards).drop("shard")
-        counted = share.mapInArrow(_scan(spark.sparkContext.broadcast(raw), scan < shards, longest), COUNTS)
+        counted = share.mapInArrow(_scan(spark.sparkContext.broadcast(raw), heavy, scan < shards, longest), COUNTS)
         counted = counted.withColumn("since", F.lit(scan))
         if state is not None:
             counted = counted.withColumn("was", F.lit(0).cast("long")).unionByName(state)
@@ -255,16 +376,15 @@ def _named(filter_, longest: int):
     """Texts of the phrases in the filter, most of them once a task, and the number of words of each language."""
 
     def run(batches):
-        wanted, words, told = np.frombuffer(filter_.value, np.uint64), Words(), set()
+        wanted, told = np.frombuffer(filter_.value, np.uint64), set()
         names = ["h1", "h2", "n", "lang", "phrase", "many"]
         types = [pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.binary(), pa.int64()]
-        for batch in slices(batches):
-            found, lanes, room, langs = phrases_of(batch, words)
+        for words in Splitter()(batches):
+            lanes, room, document = words.lanes, words.room, words.document
             totals: dict[str, int] = {}
-            for lang, many in langs:
-                totals[lang] = totals.get(lang, 0) + many
+            for at, many in zip(*np.unique(document, return_counts=True)):
+                totals[words.langs[at]] = totals.get(words.langs[at], 0) + int(many)
             rows = [(None, None, 0, lang, b"", many) for lang, many in totals.items()]
-            own = np.repeat(np.arange(len(langs)), np.array([m for _, m in langs], np.int64)) if langs else []
             current = lanes
             for n in range(1, longest + 1):
                 at = np.flatnonzero(room >= n)
@@ -282,7 +402,7 @@ def _named(filter_, longest: int):
                 for i, key in zip(first, zip(signed(h1[first]).tolist(), signed(h2[first]).tolist())):
                     if key not in told:
                         a = at[i]
-                        rows.append((*key, n, langs[own[a]][0], b" ".join(found[a : a + n]), 0))
+                        rows.append((*key, n, words.langs[document[a]], words.text(a, n), 0))
                         told.add(key)
             if len(told) > REMEMBERED:
                 told.clear()
