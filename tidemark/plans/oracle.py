@@ -253,9 +253,39 @@ ORACLE = {
     "sink_exactly_once": "SELECT event_id, event_type, props AS payload FROM events",
     "sink_watermark": """SELECT count(*) AS n_rows, epoch_us(max(ts)) AS watermark, CAST(0 AS BIGINT) AS falls
         FROM events""",
-    "commit_replay": f"""SELECT 'daily' AS query_id,
-        CAST(date_diff('day', DATE '1970-01-01', CAST(ts AS DATE)) AS BIGINT) AS batch_id, count(*) AS n_rows
-        FROM events WHERE ts >= TIMESTAMP '{START_AT}' GROUP BY 2""",
+    "commit_replay": """SELECT 'daily' AS query_id,
+        CAST(date_diff('day', DATE '1970-01-01', CAST(ts AS DATE)) // 10 AS BIGINT) AS batch_id, count(*) AS n_rows
+        FROM events GROUP BY 2""",
+    "watermark_in_force": f"""WITH {TEN_DAYS},
+        totals AS (SELECT epoch, max(event_time) AS newest, count(*) AS n_rows FROM jittered GROUP BY epoch),
+        eligible AS (SELECT epoch, in_force, n_rows FROM totals JOIN bounds USING (epoch) WHERE newest >= in_force)
+        SELECT epoch_us(in_force) AS watermark, n_rows FROM (
+          SELECT *, max(in_force) OVER (ORDER BY epoch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+                 AS noted FROM eligible)
+        WHERE noted IS NULL OR in_force > noted""",
+    "bounded_stream_read": f"""{COPIED} WHERE date_diff('day', DATE '1970-01-01', CAST(ts AS DATE)) // 10
+        < (SELECT max(date_diff('day', DATE '1970-01-01', CAST(ts AS DATE)) // 10) FROM events)""",
+    "stored_tail_cut": f"""WITH parts AS (
+          SELECT CAST(CASE WHEN ts < TIMESTAMP '{START_AT}' THEN 1 WHEN ts < TIMESTAMP '{END_AT}' THEN 2 ELSE 3 END
+                      AS BIGINT) AS epoch, strlen(event_type) + strlen(props) AS n FROM events),
+        held AS (SELECT epoch, count(*) AS n_events, CAST(sum(n) AS BIGINT) AS n_bytes FROM parts GROUP BY epoch)
+        SELECT epoch, n_events, n_bytes,
+               CAST(coalesce(sum(n_events) OVER later, 0) AS BIGINT) AS unread_events,
+               CAST(coalesce(sum(n_bytes) OVER later, 0) AS BIGINT) AS unread_bytes
+        FROM held WINDOW later AS (ORDER BY epoch ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)""",
+    "stored_backlog": f"""SELECT count(*) AS unread_events,
+        CAST(sum(strlen(event_type) + strlen(props)) AS BIGINT) AS unread_bytes
+        FROM events WHERE ts >= TIMESTAMP '{TRUNCATED_AT}'""",
+    "truncated_stream": f"""SELECT event_id, event_type, props AS payload FROM events
+        WHERE ts >= TIMESTAMP '{TRUNCATED_AT}'""",
+    "schema_evolved_read": f"""SELECT event_id, event_type AS kind,
+        CASE WHEN ts < TIMESTAMP '{START_AT}' THEN CAST(user_id AS VARCHAR) ELSE 'u' || user_id END AS user,
+        CASE WHEN ts >= TIMESTAMP '{START_AT}' THEN CAST(ts AS DATE) END AS day FROM events""",
+    "declared_table": """SELECT ts + INTERVAL 1 SECOND - INTERVAL 5 SECOND AS bound,
+        CAST(CAST(value AS DECIMAL(10,2)) + 1.0 AS DECIMAL(12,2)) AS "computed-price",
+        CAST(value AS DECIMAL(10,2)) AS price, CAST(user_id AS VARCHAR) AS owner, event_type AS currency,
+        'prices' AS stream_name, CAST(ts AS DATE) AS log_date, ts AS log_ts, ts + INTERVAL 1 SECOND AS ts, event_id
+        FROM events""",
     "delivery_audit": """SELECT 'missing' AS issue, count(*) AS n_values, CAST(0 AS BIGINT) AS n_copies FROM events
         WHERE event_type = 'purchase'
         UNION ALL SELECT 'duplicate', count(*), 2 * count(*) FROM events WHERE event_type = 'error'

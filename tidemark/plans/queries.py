@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions import cdc, events
 from tidemark.functions.schematext import json_schema_text
@@ -27,9 +28,11 @@ from tidemark.plans.logs import (
 from tidemark.settings import shared_folder
 from tidemark.sources import cuts, scan
 from tidemark.sources.catalog import Catalog, latest_versions, visible_tables
-from tidemark.sources.layout import StreamTable
+from tidemark.sources.declared import Computed, Declaration, Metadata, Physical
+from tidemark.sources.layout import EPOCH_BITS, StreamTable
 from tidemark.sources.names import StreamName
 from tidemark.streaming import sinks
+from tidemark.streaming.follow import follow, run_until_end
 from tidemark.streaming.ordering import EventTimeOrdering
 
 # The moments at which cuts are taken.
@@ -471,15 +474,48 @@ def sink_watermark(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def commit_replay(spark: SparkSession, folder: str) -> DataFrame:
-    """A job that stopped half-way offers every day again; only the days not yet committed are due."""
-    days = events_log(spark, folder).groupBy(F.col("event_time").cast("date").alias("day")).agg(
-        F.count(F.lit(1)).alias("n_rows")
-    )
-    batches = days.select(
-        F.lit("daily").alias("query_id"), F.unix_date("day").cast("bigint").alias("batch_id"), "n_rows"
-    )
-    done = batches.filter(F.col("batch_id") < F.unix_date(F.lit(START_AT).cast("date")))
-    return audit.uncommitted(batches, done.select("query_id", "batch_id"))
+    """A job that stopped after staging one batch and after publishing another offers everything again.
+
+    A batch holds the events of ten days. The rows are those of the commit log after recovery.
+    """
+    stream = _new_stream(spark, "replayed")
+    rows = _stored_events(spark, folder).withColumn("batch", _ten_days_of("event_time"))
+    batches = [r["batch"] for r in rows.select("batch").distinct().orderBy("batch").collect()]
+
+    def part(batch: int) -> DataFrame:
+        return rows.filter(F.col("batch") == batch).drop("batch")
+
+    first = sinks.StreamSink(stream, "daily", sinks.EXACTLY_ONCE, key="routing_key")
+    first.write(part(batches[0]), batches[0])
+    for batch, published in zip(batches[1:3], (True, False)):
+        # What a driver leaves behind that is lost in the middle of a transaction.
+        copy = stream.prepare(part(batch))
+        claim = stream.claim("daily", batch, 1)
+        stream.stage(copy, claim, key="routing_key")
+        stream.discard(copy)
+        if published:
+            stream.reveal(claim)
+    again = sinks.StreamSink(stream, "daily", sinks.EXACTLY_ONCE, key="routing_key")
+    for batch in batches:
+        again.write(part(batch), batch)
+    return stream.commits().select("query_id", "batch_id", "n_rows")
+
+
+def watermark_in_force(spark: SparkSession, folder: str) -> DataFrame:
+    """The watermarks that a live sink notes over many micro-batches, each of ten days of late arrivals."""
+    row = "event_id bigint, event_time timestamp_ntz, shard int"
+    source, target = _new_stream(spark, "late", row), _new_stream(spark, "noted", row)
+    log = _arrivals(spark, folder)
+    for epoch in [r["epoch"] for r in log.select("epoch").distinct().orderBy("epoch").collect()]:
+        sinks.append(source, log.filter(F.col("epoch") == epoch), key="routing_key")
+    notes = sinks.WatermarkNotes(segment="shard")
+    sink = sinks.StreamSink(target, "noting", sinks.EXACTLY_ONCE, event_time="event_time", marks=notes)
+    end = cuts.Cut(source.tail_cut())
+    live = follow(source, end=end, rows_per_trigger=1).select("event_id", "event_time", "shard")
+    query = sinks.start(live, sink, shared_folder(spark, "query"), interval="0 seconds")
+    run_until_end(query, source, end)
+    noted = target.commits().filter(F.col("watermark").isNotNull())
+    return noted.select("watermark", "n_rows")
 
 
 def delivery_audit(spark: SparkSession, folder: str) -> DataFrame:
@@ -521,6 +557,29 @@ def streaming_resume(spark: SparkSession, folder: str) -> DataFrame:
     return target.read().select("event_id", "event_time", "event_type", "payload")
 
 
+def bounded_stream_read(spark: SparkSession, folder: str) -> DataFrame:
+    """A stream read up to a cut that lay beyond its tail when the read began; events were appended meanwhile.
+
+    Each append holds ten days; the last one lies beyond the cut.
+    """
+    source, target = _new_stream(spark, "growing"), _new_stream(spark, "read")
+    rows = _stored_events(spark, folder).withColumn("batch", _ten_days_of("event_time"))
+    batches = [r["batch"] for r in rows.select("batch").distinct().orderBy("batch").collect()]
+
+    def add(batch: int) -> None:
+        sinks.append(source, rows.filter(F.col("batch") == batch).drop("batch"), key="routing_key")
+
+    add(batches[0])
+    end = cuts.Cut({segment: len(batches) << EPOCH_BITS for segment in range(source.segments)})
+    sink = sinks.StreamSink(target, "bounded", sinks.EXACTLY_ONCE, key="routing_key")
+    live = follow(source, end=end, uid="bounded").drop("offset", "segment", "ingest_epoch")
+    query = sinks.start(live, sink, shared_folder(spark, "query"))
+    for batch in batches[1:]:
+        add(batch)
+    run_until_end(query, source, end, uid="bounded")
+    return target.read().select("event_id", "event_time", "event_type", "payload")
+
+
 def event_time_order_stream(spark: SparkSession, folder: str) -> DataFrame:
     """Event-time ordering of a live stream to which ten days are appended at a time.
 
@@ -528,10 +587,7 @@ def event_time_order_stream(spark: SparkSession, folder: str) -> DataFrame:
     """
     row = "event_id bigint, event_time timestamp_ntz, shard int"
     source, target = _new_stream(spark, "arrivals", row), _new_stream(spark, "in_order", row)
-    log = jittered_log(spark, folder).select(
-        F.col("offset").alias("event_id"), "event_time", F.col("segment").alias("shard"), "routing_key",
-        ten_days(F.col("epoch")).alias("epoch"),
-    )
+    log = _arrivals(spark, folder)
     sink = sinks.StreamSink(
         target, "ordering", sinks.EXACTLY_ONCE, key="routing_key", order=["event_time", "event_id"]
     )
@@ -549,6 +605,71 @@ def event_time_order_stream(spark: SparkSession, folder: str) -> DataFrame:
     return ranked.select("routing_key", "event_id", "event_time", "position")
 
 
+def _ten_days_of(time: str):
+    """Ten-day batches of a time, counted from 1970."""
+    return F.floor(F.unix_date(F.col(time).cast("date")) / 10)
+
+
+def _arrivals(spark: SparkSession, folder: str) -> DataFrame:
+    """Late events in epochs of ten days of arrival; ``shard`` is the segment they come from."""
+    return jittered_log(spark, folder).select(
+        F.col("offset").alias("event_id"), "event_time", F.col("segment").alias("shard"), "routing_key",
+        ten_days(F.col("epoch")).alias("epoch"),
+    )
+
+
+# -- stored positions -----------------------------------------------------------------------
+
+
+def _in_three_parts(spark: SparkSession, folder: str, name: str) -> StreamTable:
+    """The events appended in three parts, cut at the fixed moments."""
+    stream, rows = _new_stream(spark, name), _stored_events(spark, folder)
+    early, late = F.col("event_time") < _moment(START_AT), F.col("event_time") >= _moment(END_AT)
+    for part in (rows.filter(early), rows.filter(~early & ~late), rows.filter(late)):
+        sinks.append(stream, part, key="routing_key", order=["event_id"])
+    return stream
+
+
+def stored_tail_cut(spark: SparkSession, folder: str) -> DataFrame:
+    """What the commit log alone says: events and bytes of each append, and what lies beyond its tail."""
+    stream = _in_three_parts(spark, folder, "indexed")
+    spans = stream.positions()
+    # The tail of each append and all that lies beyond it; no event file is read.
+    tails = spans.select("segment", F.col("ingest_epoch").alias("epoch"), (F.col("last") + 1).alias("tail"))
+    beyond = spans.join(tails, "segment").filter(F.col("first") >= F.col("tail"))
+    beyond = beyond.groupBy("epoch").agg(F.sum("n_rows").alias("unread_events"), F.sum("n_bytes").alias("unread_bytes"))
+    held = spans.groupBy(F.col("ingest_epoch").alias("epoch")).agg(
+        F.sum("n_rows").alias("n_events"), F.sum("n_bytes").alias("n_bytes")
+    )
+    nothing = F.lit(0).cast("bigint")
+    return held.join(beyond, "epoch", "left").select(
+        "epoch", "n_events", "n_bytes",
+        F.coalesce("unread_events", nothing).alias("unread_events"),
+        F.coalesce("unread_bytes", nothing).alias("unread_bytes"),
+    )
+
+
+def stored_backlog(spark: SparkSession, folder: str) -> DataFrame:
+    """Events and bytes beyond a position that cuts through an append; only that append is read."""
+    stream = _in_three_parts(spark, folder, "waiting")
+    read_to = cuts.load_cut(stream.read(), F.min(F.when(F.col("event_time") >= _moment(TRUNCATED_AT), F.col("offset"))))
+    unread = stream.backlog(read_to)
+    return unread.agg(F.sum("unread_events").alias("unread_events"), F.sum("unread_bytes").alias("unread_bytes"))
+
+
+def truncated_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """A stream truncated in the middle of an append, read as a batch and as a stream: what both find."""
+    stream, target = _in_three_parts(spark, folder, "short"), _new_stream(spark, "copied")
+    stream.truncate(
+        cuts.load_cut(stream.read(), F.min(F.when(F.col("event_time") >= _moment(TRUNCATED_AT), F.col("offset"))))
+    )
+    end = stream.tail_cut()
+    live = follow(stream, end=end).drop("offset", "segment", "ingest_epoch")
+    sink = sinks.StreamSink(target, "copy", sinks.EXACTLY_ONCE, key="routing_key")
+    run_until_end(sinks.start(live, sink, shared_folder(spark, "query")), stream, end)
+    return target.read().select("event_id", "event_type").join(stream.read().select("event_id", "payload"), "event_id")
+
+
 # -- catalog --------------------------------------------------------------------------------
 
 
@@ -568,6 +689,51 @@ def catalog_tables(spark: SparkSession, folder: str) -> DataFrame:
     return visible_tables(streams, groups, ["database_name", "table_name"], "table_name")
 
 
+def schema_evolved_read(spark: SparkSession, folder: str) -> DataFrame:
+    """Events written under two row types, read with the later one: a changed type, one field gone, one new."""
+    catalog = Catalog(spark, shared_folder(spark, "catalog"), "s")
+    stream = catalog.create_table("events", "event_id bigint, user bigint, kind string, note string")
+    rows = table(spark, folder, "events").select(
+        "event_id", F.col("user_id").alias("user"), F.col("event_type").alias("kind"), F.col("props").alias("note"),
+        F.col("ts").cast("date").alias("day"),
+    )
+    early = F.col("day") < F.lit(START_AT).cast("date")
+    sinks.append(stream, rows.filter(early))
+    later = T.StructType.fromDDL("event_id bigint, user string, kind string, day date")
+    catalog.register_schema("events", later)
+    sinks.append(catalog.stream("events"), rows.filter(~early).withColumn("user", F.concat(F.lit("u"), "user")))
+    read = catalog.open({"scan.streams": "events", "scan.execution.type": "batch"})
+    return read.select("event_id", "user", "kind", "day")
+
+
+def declared_table(spark: SparkSession, folder: str) -> DataFrame:
+    """A table with computed, metadata and physical columns, declared in an order of its own."""
+    catalog = Catalog(spark, shared_folder(spark, "catalog"), "shop")
+    stream = catalog.create_table("prices", "event_id bigint, price decimal(10,2), currency string, log_ts timestamp_ntz")
+    rows = events_log(spark, folder).select(
+        F.col("offset").alias("event_id"), F.col("value").cast("decimal(10,2)").alias("price"),
+        F.col("event_type").alias("currency"), F.col("event_time").alias("log_ts"), "routing_key",
+    )
+    sinks.append(stream, rows, key="routing_key")
+    declaration = Declaration(
+        [
+            # Refers to a computed column that is declared after it.
+            Computed("bound", "ts - INTERVAL 5 SECONDS"),
+            Computed("computed-price", "CAST(price + CAST(1 AS DECIMAL(3,1)) AS DECIMAL(12,2))"),
+            Physical("price", "decimal(10,2)"),
+            Metadata("owner", "routing_key"),
+            Physical("currency", "string"),
+            Metadata("stream_name", "stream"),
+            Computed("log_date", "CAST(log_ts AS DATE)"),
+            Physical("log_ts", "timestamp_ntz"),
+            Computed("ts", "log_ts + INTERVAL 1 SECOND"),
+            Physical("event_id", "bigint"),
+        ],
+        watermark="ts",
+    )
+    return catalog.open({"scan.streams": "prices", "scan.execution.type": "batch"}, declaration)
+
+
 def schema_latest(spark: SparkSession, folder: str) -> DataFrame:
     """Each event type registers a schema per day, titled with the largest event id of the day."""
     log = events_log(spark, folder)
@@ -642,10 +808,17 @@ QUERIES = {
         sink_watermark,
         commit_replay,
         delivery_audit,
+        watermark_in_force,
         streaming_parity,
         streaming_resume,
+        bounded_stream_read,
         event_time_order_stream,
+        stored_tail_cut,
+        stored_backlog,
+        truncated_stream,
         catalog_tables,
+        schema_evolved_read,
+        declared_table,
         schema_latest,
         schema_to_json,
     )

@@ -15,11 +15,13 @@ from pyspark.sql import types as T
 from tidemark.functions.events import avro_available, decode_avro, decode_json
 from tidemark.functions.schematext import avro_schema_text, json_schema_text
 from tidemark.operators.routing import key_column
+from tidemark.sources.declared import Declaration
 from tidemark.sources.files import Files
 from tidemark.sources.layout import StreamTable
 from tidemark.sources.names import StreamName, is_hidden, resolve
 from tidemark.sources.options import scan_options, sink_options
-from tidemark.sources.scan import read_streams
+from tidemark.sources.scan import named, read_streams
+from tidemark.streaming.follow import follow
 from tidemark.streaming.sinks import StreamSink
 
 SCHEMA_TABLE = "namespace string, group_id string, version int, format string, json_schema string, row_type string"
@@ -124,7 +126,7 @@ class Catalog:
     # -- schemas ---------------------------------------------------------------------------
 
     def register_schema(self, table: str | StreamName, row: T.StructType) -> int:
-        """Add a version; any change of the row type is allowed."""
+        """Add a version; any change of the row type is allowed. The stream of the group writes with it from now on."""
         name = resolve(table, self.default_scope)
         folder = f"{self.root}/_schemas/{name.scope}/{name.stream}"
         version = len(self.files.names(folder))
@@ -137,6 +139,8 @@ class Catalog:
         }
         while not self.files.create(f"{folder}/{version:06d}.json", json.dumps(entry | {"version": version})):
             version += 1
+        if self.table_exists(name):
+            self.stream(name).evolve(row)
         return version
 
     def latest_schema(self, table: str | StreamName) -> T.StructType:
@@ -169,15 +173,30 @@ class Catalog:
 
     # -- declared tables -------------------------------------------------------------------
 
-    def open(self, options: Mapping[str, str]) -> DataFrame:
-        """A declared table by its ``scan.*`` options: a stream or a batch, between its cuts."""
+    def open(self, options: Mapping[str, str], declaration: Declaration | None = None) -> DataFrame:
+        """A declared table by its ``scan.*`` options: a stream or a batch, between its cuts, with the
+        columns of a declaration, if one is given."""
         declared = scan_options({"scope": self.default_scope or "", **options})
         if declared.streaming:
             limit = declared.max_files_per_trigger
-            return read_streams(
+            rows = read_streams(
                 declared.ranges, lambda name: self.stream(name).tail(limit, self.version_in_force(name))
             )
-        return read_streams(declared.ranges, lambda name: self.stream(name).read(self.version_in_force(name)))
+        else:
+            rows = read_streams(declared.ranges, lambda name: self.stream(name).read(self.version_in_force(name)))
+        return rows if declaration is None else declaration.read(rows)
+
+    def follow(self, options: Mapping[str, str], declaration: Declaration | None = None) -> DataFrame:
+        """As :meth:`open` for one stream, read by position: ``scan.uid`` says where it goes on, and an end may
+        lie beyond today's tail (``tidemark.streaming.follow``)."""
+        declared = scan_options({"scope": self.default_scope or "", **options})
+        if len(declared.ranges) != 1:
+            raise ValueError("one stream is followed at a time")
+        of = declared.ranges[0]
+        limit = options.get("scan.max-rows-per-trigger")
+        rows = follow(self.stream(of.name), of.start, of.end, uid=declared.uid.replace("/", "."),
+                      rows_per_trigger=int(limit) if limit else None)
+        return named(rows, of.name) if declaration is None else declaration.read(named(rows, of.name))
 
     def version_in_force(self, table: str | StreamName) -> T.StructType | None:
         """The latest registered row type; None for a stream without a schema group."""

@@ -431,12 +431,16 @@ class StreamTable:
 
     def publish(self, claim: Claim, facts: dict, watermark: int | None = None, **notes) -> None:
         """Make a staged batch visible by one rename, then log it."""
+        self.reveal(claim)
+        self.log(claim, facts, watermark, **notes)
+
+    def reveal(self, claim: Claim) -> None:
+        """The rename: from here on readers see the batch, and it can only be logged."""
         if self.transactions.state(claim) == ABORTED:
             raise RuntimeError(f"{self.name}: epoch {claim.epoch} was aborted")
         target = f"{self._data(len(self.row_types) - 1)}/ingest_epoch={claim.epoch}"
         if not self.is_published(claim) and not self.files.move(self._staged(claim), target):
             raise RuntimeError(f"{self.name}: epoch {claim.epoch} could not be published")
-        self.log(claim, facts, watermark, **notes)
 
     def log(self, claim: Claim, facts: dict, watermark: int | None = None, **notes) -> None:
         spans = facts["segments"] if "segments" in facts else self._published_spans(claim)

@@ -19,6 +19,7 @@ SCAN_KEYS = {
     "scan.end-streamcuts",
     "scan.uid",
     "scan.max-files-per-trigger",
+    "scan.max-rows-per-trigger",
 }
 SINK_KEYS = {
     "scope",

@@ -264,29 +264,32 @@ def position(stream: StreamTable, uid: str) -> Cut:
     return Cut({s: done["offset"] for s in range(stream.segments)})
 
 
-def run_until_end(query: StreamingQuery, stream: StreamTable, end: Cut, timeout: float | None = None) -> bool:
+def run_until_end(query: StreamingQuery, stream: StreamTable, end: Cut, *, uid: str | None = None,
+                  timeout: float | None = None) -> bool:
     """Wait until a query has read up to ``end``, then stop it; False when the time ran out first.
 
-    Raises what the query failed with. The position counts once the query's sink has the batch.
+    Raises what the query failed with. Progress is reported when the sink has the batch, so the position of ``uid``
+    is noted here and does not wait for a next batch.
     """
     wanted = max(((o - 1) >> EPOCH_BITS) + 1 for o in end.values()) if end else 1
     began = time.monotonic()
     try:
         while True:
-            if query.awaitTermination(0.05):
-                return _reached(query, wanted)
-            if _reached(query, wanted):
+            stopped = query.awaitTermination(0.05)
+            reached = _reached(query)
+            if reached is not None and reached["epoch"] >= wanted:
+                if uid:
+                    _Folder(stream.folder).write(f"positions/{uid}/done.json", json.dumps(reached))
                 return True
-            if timeout is not None and time.monotonic() - began > timeout:
+            if stopped or (timeout is not None and time.monotonic() - began > timeout):
                 return False
     finally:
         query.stop()
 
 
-def _reached(query: StreamingQuery, wanted: int) -> bool:
+def _reached(query: StreamingQuery) -> dict | None:
+    """The position up to which the sink has the events."""
     progress = query.lastProgress
     if not progress:
-        return False
-    ends = [s["endOffset"] if isinstance(s, dict) else s.endOffset for s in progress["sources"]]
-    ends = [json.loads(e) if isinstance(e, str) else e for e in ends]
-    return all(e and e["epoch"] >= wanted for e in ends)
+        return None
+    return json.loads(progress.json)["sources"][0]["endOffset"]
