@@ -20,8 +20,8 @@ corpus (``LOAD`` words a byte, up to ``MOST_BYTES``); beyond ``FULL`` words a by
 pass is left out and all active pairs are counted.
 
 Phrases travel as two 64-bit hashes (with the language in both), counted in the task before they are shuffled. Once
-the counts are final, one more scan gives the texts of the phrases that reached the threshold, and scores, cuts and
-coverage are joins on them.
+the counts are final, the phrases that reached the threshold get their texts from as much of the corpus as that
+takes, and scores, cuts and coverage are joins on them.
 
 Defined cases: null texts are empty; a null language is ``und``; a repeated row counts each time; a word may be of
 any length; equal scores are ordered by count, then by the phrase's UTF-8 bytes; an empty table gives no rows; extra
@@ -35,14 +35,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.llm.common import MIX, mix, salted_join, signed, slices
-from tidemark.settings import stored
+from tidemark.llm.common import MIX, mix, salted_join, signed
+from tidemark.settings import shared_folder, stored
 
 SHARDS = 4
 LEAST = 30
@@ -57,9 +58,9 @@ LEAST_BYTES, MOST_BYTES, CHUNK = 1 << 16, 1 << 27, 1 << 16
 #: Tables of so many tasks are added up at a time.
 FAN = 64
 #: Distinct phrases a task holds before it hands them on, those it remembers to have named, bytes of text at a time.
-HELD = 1 << 19
+HELD = 1 << 18
 REMEMBERED = 1 << 19
-TEXT_BYTES = 2 << 20
+TEXT_BYTES = 1 << 20
 #: Longer words, in bytes, are hashed one by one.
 SHORT = 64
 UNKNOWN = "und"
@@ -124,6 +125,18 @@ class Words:
         return b" ".join(self.plain[self.starts[i] : self.ends[i]] for i in range(at, at + n))
 
 
+def _bounded(batches):
+    """Batches cut where their texts take more than ``TEXT_BYTES``; a row stays whole."""
+    for batch in batches:
+        sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy())
+        begin = 0
+        while begin < batch.num_rows:
+            base = sizes[begin - 1] if begin else 0
+            end = max(begin + 1, int(np.searchsorted(sizes, base + TEXT_BYTES, "right")))
+            yield batch.slice(begin, end - begin)
+            begin = end
+
+
 class Splitter:
     """Words of batches, a bounded number of bytes at a time; longer texts are cut between pieces."""
 
@@ -131,7 +144,7 @@ class Splitter:
         self.lanes = _Lane(2), _Lane(3)
 
     def __call__(self, batches):
-        for batch in slices(batches, TEXT_BYTES):
+        for batch in _bounded(batches):
             texts = [(x or "").encode("utf-8", "surrogatepass") for x in batch.column("text").to_pylist()]
             langs = [UNKNOWN if x is None else x for x in batch.column("lang").to_pylist()]
             begins = np.cumsum([0] + [len(t) + 1 for t in texts[:-1]])
@@ -284,7 +297,7 @@ def _scan(filters, heavy, first_cycle: bool, longest: int):
     def run(batches):
         now, before = (None if f is None else np.frombuffer(f, np.uint64) for f in filters.value)
         able = None if heavy.value is None else np.frombuffer(heavy.value, np.uint8)
-        held, size = [], 0
+        held, size, totals = [], 0, {}
 
         def out(rows):
             h1, h2, n, c = rows
@@ -293,6 +306,9 @@ def _scan(filters, heavy, first_cycle: bool, longest: int):
 
         for words in Splitter()(batches):
             parts = [(1, None, words.lanes)] if first_cycle else []
+            if first_cycle:
+                for at, many in zip(*np.unique(words.document, return_counts=True)):
+                    totals[words.langs[at]] = totals.get(words.langs[at], 0) + int(many)
             if now is not None:
                 parts += active(words.lanes, words.room, now, before, able, longest)
             for n, at, (h1, h2) in parts:
@@ -307,6 +323,10 @@ def _scan(filters, heavy, first_cycle: bool, longest: int):
                     held, size = [], 0
         if held:
             yield out(_sums(*(np.concatenate(x) for x in zip(*held))))
+        if totals:
+            # The words of a language, under its name's hash and the length 0.
+            seeds = np.array([language_seed(lang) for lang in totals], np.uint64)
+            yield out((seeds, seeds, np.zeros(len(seeds)), np.array(list(totals.values()), np.int64)))
 
     return run
 
@@ -332,12 +352,22 @@ def _filter_with(known: np.ndarray | None, reached: DataFrame) -> np.ndarray:
     return filter_
 
 
-def count_phrases(spark: SparkSession, docs: DataFrame, least: int = LEAST, longest: int = LONGEST,
-                  shards: int = SHARDS) -> DataFrame:
-    """(h1, h2, n, c) of all phrases that occur ``least`` times or more, by dynamic itemset counting."""
-    shard = F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards))
+def dealt(docs: DataFrame, shards: int) -> list[DataFrame]:
+    """The texts in shards, by hash, each in files of its own."""
+    folder = shared_folder(docs.sparkSession, "shards")
+    shard = F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards)).cast("int")
     texts = docs.select("text", "lang", shard.alias("shard"))
-    heavy = heavy_pairs(texts, least)
+    texts.write.option("compression", "zstd").partitionBy("shard").parquet(folder)
+    whole = docs.sparkSession.read.schema(texts.schema).parquet(folder)
+    return [whole.where(F.col("shard") == i).drop("shard") for i in range(shards)]
+
+
+def count_phrases(spark: SparkSession, docs: DataFrame, texts: list[DataFrame], least: int = LEAST, longest: int = LONGEST) -> DataFrame:
+    """(h1, h2, n, c) of all phrases that occur ``least`` times or more, by dynamic itemset counting.
+
+    Rows of length 0 hold the number of words of a language, under the hash of its name.
+    """
+    heavy, shards = heavy_pairs(docs, least), len(texts)
     heavy = spark.sparkContext.broadcast(None if heavy is None else heavy.tobytes())
     state, done = None, []
     filters: list[np.ndarray | None] = [None]
@@ -345,8 +375,7 @@ def count_phrases(spark: SparkSession, docs: DataFrame, least: int = LEAST, long
     while scan <= last_start + shards - 1:
         now, before = filters[scan], filters[scan - shards] if scan >= shards else None
         raw = tuple(None if f is None else f.tobytes() for f in (now, before))
-        share = texts.where(F.col("shard") == scan % shards).drop("shard")
-        counted = share.mapInArrow(_scan(spark.sparkContext.broadcast(raw), heavy, scan < shards, longest), COUNTS)
+        counted = texts[scan % shards].mapInArrow(_scan(spark.sparkContext.broadcast(raw), heavy, scan < shards, longest), COUNTS)
         counted = counted.withColumn("since", F.lit(scan))
         if state is not None:
             counted = counted.withColumn("was", F.lit(0).cast("long")).unionByName(state)
@@ -357,8 +386,8 @@ def count_phrases(spark: SparkSession, docs: DataFrame, least: int = LEAST, long
         )
         # Whoever was first seen a cycle ago has been counted in every shard by now.
         over = F.col("since") <= scan - shards + 1
-        total = stored(total.where(~over | (F.col("c") >= least)), "counts")
-        fresh = total.where((F.col("c") >= least) & (F.col("was") < least) & (F.col("n") < longest))
+        total = stored(total.where(~over | (F.col("c") >= least) | (F.col("n") == 0)), "counts")
+        fresh = total.where((F.col("c") >= least) & (F.col("was") < least) & F.col("n").between(1, longest - 1))
         done.append(total.where(over).select("h1", "h2", "n", "c"))
         state = total.where(~over).select("h1", "h2", "n", "c", "since", F.col("c").alias("was"))
         filters.append(_filter_with(now, fresh))
@@ -366,65 +395,83 @@ def count_phrases(spark: SparkSession, docs: DataFrame, least: int = LEAST, long
             last_start = scan + 1
         scan += 1
     # Every cycle has ended. A phrase leaves the state once, so it is in one of these tables.
-    out = state.where(F.col("c") >= least).select("h1", "h2", "n", "c")
+    out = state.where((F.col("c") >= least) | (F.col("n") == 0)).select("h1", "h2", "n", "c")
     for part in done:
         out = out.unionByName(part)
     return stored(out, "frequent")
 
 
 def _named(filter_, longest: int):
-    """Texts of the phrases in the filter, most of them once a task, and the number of words of each language."""
+    """Texts of the phrases in the filter, most of them once a task."""
 
     def run(batches):
-        wanted, told = np.frombuffer(filter_.value, np.uint64), set()
-        names = ["h1", "h2", "n", "lang", "phrase", "many"]
-        types = [pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.binary(), pa.int64()]
+        wanted = np.frombuffer(filter_.value, np.uint64)
+        # What was told last under a slot; what is overwritten is told again.
+        told = np.zeros((2, REMEMBERED), np.uint64)
+        names = ["h1", "h2", "n", "lang", "phrase"]
+        types = [pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.binary()]
         for words in Splitter()(batches):
-            lanes, room, document = words.lanes, words.room, words.document
-            totals: dict[str, int] = {}
-            for at, many in zip(*np.unique(document, return_counts=True)):
-                totals[words.langs[at]] = totals.get(words.langs[at], 0) + int(many)
-            rows = [(None, None, 0, lang, b"", many) for lang, many in totals.items()]
-            current = lanes
+            room, current, rows = words.room, words.lanes, []
             for n in range(1, longest + 1):
                 at = np.flatnonzero(room >= n)
                 if n > 1:
-                    grown = longer(current, lanes, at, n)
+                    grown = longer(current, words.lanes, at, n)
                     current = tuple(np.zeros(len(room), np.uint64) for _ in range(2))
                     for whole, part in zip(current, grown):
                         whole[at] = part
                 h1, h2 = (lane[at] for lane in current)
                 good = passes(wanted, h1, h2)
                 h1, h2, at = h1[good], h2[good], at[good]
-                order = np.lexsort((h2, h1))
-                new = np.r_[True, (np.diff(h1[order]) != 0) | (np.diff(h2[order]) != 0)] if len(order) else order
-                first = order[new] if len(order) else order
-                for i, key in zip(first, zip(signed(h1[first]).tolist(), signed(h2[first]).tolist())):
-                    if key not in told:
-                        a = at[i]
-                        rows.append((*key, n, words.langs[document[a]], words.text(a, n), 0))
-                        told.add(key)
-            if len(told) > REMEMBERED:
-                told.clear()
-            for begin in range(0, len(rows), 10_000):
-                part = rows[begin : begin + 10_000]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*part), types)], names)
+                slot = (h1 % np.uint64(REMEMBERED)).astype(np.int64)
+                new = (told[0, slot] != h1) | (told[1, slot] != h2)
+                h1, h2, at, slot = h1[new], h2[new], at[new], slot[new]
+                told[0, slot], told[1, slot] = h1, h2
+                _, first = np.unique(h1, return_index=True)
+                first = np.union1d(first, np.flatnonzero(told[0, slot] != h1))
+                for i, one, two in zip(first, signed(h1[first]).tolist(), signed(h2[first]).tolist()):
+                    rows.append((one, two, n, words.langs[words.document[at[i]]], words.text(at[i], n)))
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
 
     return run
 
 
-def named_phrases(spark: SparkSession, docs: DataFrame, frequent: DataFrame, longest: int = LONGEST):
-    """(lang, phrase binary, n, c) of the frequent phrases, and (lang, words) of each language."""
-    wanted = spark.sparkContext.broadcast(_filter_with(None, frequent).tobytes())
-    found = docs.select("text", "lang").mapInArrow(
-        _named(wanted, longest), "h1 long, h2 long, n int, lang string, phrase binary, many long"
-    )
-    # A language's rows of counts have no hashes; a phrase has one language and one text.
-    found = found.groupBy("h1", "h2", "n", "lang").agg(F.min("phrase").alias("phrase"), F.sum("many").alias("many"))
-    found = stored(found, "names")
-    totals = found.where("n = 0").select("lang", F.col("many").alias("words"))
-    texts = found.where("n > 0").select("h1", "h2", "n", "lang", "phrase")
-    return stored(frequent.join(texts, ["h1", "h2", "n"]).select("lang", "phrase", "n", "c"), "named"), totals
+def _languages(batches):
+    for batch in batches:
+        seeds = [language_seed(x) for x in batch.column("lang").to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("lang"), pa.array(signed(np.array(seeds, np.uint64)))], ["lang", "h1"]
+        )
+
+
+def named_phrases(spark: SparkSession, docs: DataFrame, texts: list[DataFrame], frequent: DataFrame,
+                  longest: int = LONGEST):
+    """(lang, phrase binary, n, c) of the frequent phrases, and (lang, words) of each language.
+
+    Any occurrence tells a phrase's text, so a part of the first shard is read for all of them, the shard for
+    those without a text yet, and all shards for what is left then.
+    """
+    phrases, found = frequent.where("n > 0"), None
+    few = texts[0].where(F.pmod(F.xxhash64("text"), F.lit(4)) == 0)
+    every = texts[0]
+    for part in texts[1:]:
+        every = every.unionByName(part)
+    for part in (few, texts[0], every):
+        left = phrases if found is None else stored(phrases.join(found, ["h1", "h2", "n"], "left_anti"), "nameless")
+        if left.isEmpty():
+            break
+        wanted = spark.sparkContext.broadcast(_filter_with(None, left).tobytes())
+        told = part.mapInArrow(_named(wanted, longest), "h1 long, h2 long, n int, lang string, phrase binary")
+        # A phrase has one language and one text; those that only the filter took for wanted are dropped.
+        told = told.dropDuplicates(["h1", "h2", "n"]).join(left.select("h1", "h2", "n"), ["h1", "h2", "n"], "left_semi")
+        found = told if found is None else found.unionByName(told)
+        found = stored(found, "names")
+    if found is None:
+        found = spark.createDataFrame([], "h1 long, h2 long, n int, lang string, phrase binary")
+    named = stored(phrases.join(found, ["h1", "h2", "n"]).select("lang", "phrase", "n", "c"), "named")
+    langs = docs.select(F.coalesce("lang", F.lit(UNKNOWN)).alias("lang")).distinct()
+    totals = frequent.where("n = 0").select("h1", F.col("c").alias("words"))
+    return named, langs.mapInArrow(_languages, "lang string, h1 long").join(totals, "h1").select("lang", "words")
 
 
 def _parts(phrase: bytes) -> list[bytes]:
@@ -463,8 +510,9 @@ def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, fi
     """lang, rank, phrase, a, l, r, n, score: the best phrases of two to ``longest`` words of each language."""
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text", "lang")
-    frequent = count_phrases(spark, docs, least, longest, shards)
-    named, totals = named_phrases(spark, docs, frequent, longest)
+    texts = dealt(docs, shards)
+    frequent = count_phrases(spark, docs, texts, least, longest)
+    named, totals = named_phrases(spark, docs, texts, frequent, longest)
     candidates = named.where("n > 1")
 
     inside = candidates.where("n > 2").mapInArrow(_inner, "lang string, phrase binary, longer long")
