@@ -112,6 +112,14 @@ def compact(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of tables that are no longer referred to.
+
+    Spark does so when the driver collects garbage, which a driver with little to do may put off for long.
+    """
+    spark.sparkContext._jvm.System.gc()
+
+
 def salted_join(many: DataFrame, one: DataFrame, key: str, total: int | None = None, how: str = "inner") -> DataFrame:
     """Joins ``many`` with ``one``, whose keys are unique, on ``key``; no task gets an unbounded group.
 
