@@ -288,3 +288,59 @@ def test_schema_text():
     }
     with pytest.raises(TypeError):
         json_schema_text(T.StructType().add("v", T.VariantType()))
+
+
+def test_times_of_day_at_any_depth(spark):
+    """JSON text has no type for them: they are written and read as texts."""
+    spark.conf.set("spark.sql.timeType.enabled", "true")
+    try:
+        df = spark.sql(
+            "SELECT time'12:12:43.5' AS t, array(time'01:02:03', NULL) AS a, named_struct('x', time'10:00:00', 'y', 1) AS s, "
+            "map('k', time'10:00:01') AS m UNION ALL SELECT NULL, NULL, NULL, NULL"
+        )
+        text = df.select(events.encode_json(df, df.columns).alias("payload"))
+        assert text.first()[0] == (
+            '{"t":"12:12:43.5","a":["01:02:03",null],"s":{"x":"10:00:00","y":1},"m":{"k":"10:00:01"}}'
+        )
+        again = events.decode_json(text, df.schema)
+        assert again.schema["t"].dataType == df.schema["t"].dataType
+        assert again.selectExpr("CAST(t AS string)", "CAST(a[0] AS string)", "CAST(s.x AS string)", "s.y").first() == (
+            "12:12:43.5", "01:02:03", "10:00:00", 1)
+        broken = spark.createDataFrame([('{"t": "25:00:00", "n": 1}',)], "payload string")
+        with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+            events.decode_json(broken, "t time, n int").collect()
+        lax = events.decode_json(broken, "t time, n int", ignore_parse_errors=True)
+        assert lax.selectExpr("t IS NULL", "n").first() == (True, 1)
+    finally:
+        spark.conf.unset("spark.sql.timeType.enabled")
+
+
+def test_encoding_by_the_registered_schema(spark, root):
+    from tidemark.sources.catalog import Catalog
+    from pyspark.sql import types as T
+
+    catalog = Catalog(spark, root, "s")
+    catalog.create_table("t", "old int")
+    row = T.StructType.fromDDL("name string, amount decimal(20,12), tags array<string>, place struct<x:int,y:double>, at date")
+    catalog.register_schema("t", row)
+    df = spark.createDataFrame(
+        [(1, "a", "0.000000000001", ["p", None], (1, 2.5), None), (2, None, "12", None, None, "2024-01-02")],
+        "id int, name string, amount string, tags array<string>, place struct<x:int,y:double>, at string",
+    )
+    encoded = catalog.encode(df, "t", keep=["id"])
+    assert encoded.columns == ["id", "payload"]
+    assert '"amount":0.000000000001' in encoded.filter("id = 1").first().payload
+    again = catalog.decode(encoded, "t", keep=["id"]).orderBy("id").collect()
+    assert [(r.id, r.name, r.amount, r.tags) for r in again] == [
+        (1, "a", decimal.Decimal("0.000000000001"), ["p", None]), (2, None, decimal.Decimal(12), None)]
+    assert tuple(again[0].place) == (1, 2.5) and again[1].place is None and str(again[1].at) == "2024-01-02"
+    with pytest.raises(ValueError, match="missing"):
+        catalog.encode(df.drop("tags"), "t")
+    with pytest.raises(ValueError, match="no registered schema"):
+        catalog.encode(df, "ghost")
+    avro = Catalog(spark, f"{root}/avro", "s", format="avro")
+    avro.create_table("t", "name string")
+    from tidemark.functions.events import avro_available
+    if not avro_available(spark):
+        with pytest.raises(ValueError, match="spark-avro"):
+            avro.encode(df, "t")

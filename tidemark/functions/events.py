@@ -89,7 +89,8 @@ def decode_json(
     """
     if ignore_parse_errors and fail_on_missing_field:
         raise ValueError("fail_on_missing_field and ignore_parse_errors exclude each other")
-    fields = _as_schema(schema)
+    wanted = _as_schema(schema)
+    fields = times_as_text(wanted)  # JSON readers know no TIME
     options = _time_options(timestamp_format, READING_FORMATS)
     rows = df.filter(F.col(payload).isNotNull())
     if fail_on_missing_field:
@@ -116,7 +117,35 @@ def decode_json(
     else:
         blank = F.raise_error(F.lit("a JSON event is blank"))
         parsed = parsed.select(*keep, row.otherwise(F.coalesce(loose, blank)).alias("_row"))
-    return parsed.select(*keep, *[F.col("_row").getField(n).alias(n) for n in fields.names])
+
+    def typed_field(had: T.StructField, field: T.StructField) -> Column:
+        column = F.col("_row").getField(field.name)
+        if had.dataType != field.dataType:
+            column = column.try_cast(field.dataType) if ignore_parse_errors else column.cast(field.dataType)
+        return column.alias(field.name)
+
+    # The names of both are the same; only times differ.
+    return parsed.select(*keep, *[typed_field(h, f) for h, f in zip(fields.fields, as_nullable(wanted).fields)])
+
+
+def times_as_text(kind: T.DataType) -> T.DataType:
+    """The same type with times of day as strings, at any depth; everything may be null."""
+    return _rebuilt(kind, lambda k: T.StringType() if isinstance(k, T.TimeType) else k)
+
+
+def as_nullable(kind: T.DataType) -> T.DataType:
+    """The same type, everything of which may be null."""
+    return _rebuilt(kind, lambda k: k)
+
+
+def _rebuilt(kind: T.DataType, leaf) -> T.DataType:
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, _rebuilt(f.dataType, leaf)) for f in kind.fields])
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(_rebuilt(kind.elementType, leaf))
+    if isinstance(kind, T.MapType):
+        return T.MapType(_rebuilt(kind.keyType, leaf), _rebuilt(kind.valueType, leaf))
+    return leaf(kind)
 
 
 def _as_text(kind: T.DataType) -> T.DataType:
@@ -180,11 +209,17 @@ def encode_json(
 ) -> Column:
     """A JSON object of ``columns``. ``plain_decimals`` writes top-level decimals without an exponent."""
     options = _time_options(timestamp_format) | {"ignoreNullFields": str(ignore_null_fields).lower()}
+
+    def written(name: str) -> Column:
+        kind = df.schema[name].dataType
+        text = times_as_text(kind)  # JSON writers know no TIME
+        return F.col(f"`{name}`").cast(text).alias(name) if text != as_nullable(kind) else F.col(f"`{name}`")
+
     if not plain_decimals:
-        return F.to_json(F.struct(*columns), options)
+        return F.to_json(F.struct(*[written(n) for n in columns]), options)
     parts = []
     for name in columns:
-        alone = F.to_json(F.struct(name), options)
+        alone = F.to_json(F.struct(written(name)), options)
         text = _plain_decimals(F.col(name), df.schema[name].dataType)
         if text is not None:
             label = F.to_json(F.array(F.lit(name)))

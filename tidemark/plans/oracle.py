@@ -281,6 +281,8 @@ ORACLE = {
     "schema_evolved_read": f"""SELECT event_id, event_type AS kind,
         CASE WHEN ts < TIMESTAMP '{START_AT}' THEN CAST(user_id AS VARCHAR) ELSE 'u' || user_id END AS user,
         CASE WHEN ts >= TIMESTAMP '{START_AT}' THEN CAST(ts AS DATE) END AS day FROM events""",
+    "encode_registered": """SELECT event_id, '{"user":"' || user_id || '","amount":' || CAST(value AS DECIMAL(10,2))
+        || ',"kind":"' || event_type || '"}' AS payload FROM events""",
     "declared_table": """SELECT ts + INTERVAL 1 SECOND - INTERVAL 5 SECOND AS bound,
         CAST(CAST(value AS DECIMAL(10,2)) + 1.0 AS DECIMAL(12,2)) AS "computed-price",
         CAST(value AS DECIMAL(10,2)) AS price, CAST(user_id AS VARCHAR) AS owner, event_type AS currency,

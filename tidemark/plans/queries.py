@@ -706,6 +706,17 @@ def schema_evolved_read(spark: SparkSession, folder: str) -> DataFrame:
     return read.select("event_id", "user", "kind", "day")
 
 
+def encode_registered(spark: SparkSession, folder: str) -> DataFrame:
+    """Events encoded by the latest schema of their group, which another version has replaced."""
+    catalog = Catalog(spark, shared_folder(spark, "catalog"), "s")
+    catalog.create_table("readings", "user_id bigint, note string")
+    catalog.register_schema("readings", T.StructType.fromDDL("user string, amount decimal(10,2), kind string"))
+    rows = table(spark, folder, "events").select(
+        "event_id", F.col("user_id").alias("user"), F.col("value").alias("amount"), F.col("event_type").alias("kind")
+    )
+    return catalog.encode(rows, "readings", keep=["event_id"])
+
+
 def declared_table(spark: SparkSession, folder: str) -> DataFrame:
     """A table with computed, metadata and physical columns, declared in an order of its own."""
     catalog = Catalog(spark, shared_folder(spark, "catalog"), "shop")
@@ -818,6 +829,7 @@ QUERIES = {
         truncated_stream,
         catalog_tables,
         schema_evolved_read,
+        encode_registered,
         declared_table,
         schema_latest,
         schema_to_json,

@@ -6,13 +6,21 @@ Schemas are kept per (scope, group) in versions; a table reads with its latest v
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.events import avro_available, decode_avro, decode_json
+from tidemark.functions.casts import as_type
+from tidemark.functions.events import (
+    as_nullable,
+    avro_available,
+    decode_avro,
+    decode_json,
+    encode_avro,
+    encode_json,
+)
 from tidemark.functions.schematext import avro_schema_text, json_schema_text
 from tidemark.operators.routing import key_column
 from tidemark.sources.declared import Declaration
@@ -171,6 +179,29 @@ class Catalog:
         decoded = log.select(*keep, decode_avro(F.col(payload), avro_schema_text(row)).alias("_row"))
         return decoded.select(*keep, *[F.col("_row").getField(n).alias(n) for n in row.names])
 
+    def encode(self, rows: DataFrame, table: str, *, payload: str = "payload", keep: Sequence[str] = (), **options) -> DataFrame:
+        """The ``keep`` columns and one payload per row, by the latest schema and the format of the group.
+
+        Rows need the columns of the schema, which are cast to its types; :meth:`decode` gives them back. ``options``
+        are those of ``encode_json``.
+        """
+        entry = self._latest_entry(table)
+        row = T.StructType.fromJson(json.loads(entry["row_type"]))
+        missing = sorted(set(row.names) - set(rows.columns))
+        if missing:
+            raise ValueError(f"columns {missing} of the schema of {table} are missing")
+        typed = rows.select(
+            F.struct(*keep).alias("_keep") if keep else F.lit(None).alias("_keep"),
+            *[as_type(rows.schema, f) for f in as_nullable(row).fields],
+        )
+        if entry["format"].lower() == "json":
+            body = encode_json(typed, row.names, **{"plain_decimals": True, **options})
+        elif avro_available(self.spark):
+            body = encode_avro(F.struct(*row.names), avro_schema_text(row))
+        else:
+            raise ValueError(f"{table} is a group of format {entry['format']}, which needs the spark-avro module")
+        return typed.select(*[F.col("_keep").getField(k).alias(k) for k in keep], body.alias(payload))
+
     # -- declared tables -------------------------------------------------------------------
 
     def open(self, options: Mapping[str, str], declaration: Declaration | None = None) -> DataFrame:
