@@ -144,7 +144,8 @@ def _schema_rows() -> str:
 
 
 def _per_key(key: str) -> str:
-    return f"SELECT {key} AS routing_key, CAST(1 AS BIGINT) AS n_segments, count(*) AS n_events FROM events GROUP BY 1"
+    return (f"SELECT {key} AS routing_key, CAST(1 AS BIGINT) AS n_segments, count(*) AS n_events, true AS spread "
+            "FROM events GROUP BY 1")
 
 
 ORACLE = {
@@ -230,6 +231,9 @@ ORACLE = {
         FROM changes GROUP BY ALL""",
     "route_by_key": _per_key("CAST(user_id AS VARCHAR)"),
     "route_by_expr": _per_key("event_type || '-' || json_extract_string(props, '$.k')"),
+    "route_without_key": "SELECT count(*) AS n_events, CAST(16 AS BIGINT) AS n_segments, true AS even FROM events",
+    "stream_names": """SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'main' ELSE lang END AS scope,
+        CASE WHEN doc_id % 3 = 2 THEN source || '/part' ELSE source END AS stream FROM documents""",
     "event_time_order": f"""WITH {JITTERED} SELECT routing_key, "offset", event_time,
         row_number() OVER (PARTITION BY routing_key ORDER BY event_time, "offset") AS "position"
         FROM jittered""",
@@ -251,6 +255,10 @@ ORACLE = {
         FROM jittered""",
     "sink_at_least_once": "SELECT event_id, CAST(2 AS BIGINT) AS copies FROM events",
     "sink_exactly_once": "SELECT event_id, event_type, props AS payload FROM events",
+    "sink_best_effort": """WITH batches AS (
+          SELECT event_id, event_type, date_diff('day', DATE '1970-01-01', CAST(ts AS DATE)) // 10 AS batch FROM events)
+        SELECT event_id, event_type, CAST(1 AS BIGINT) AS lost_batches FROM batches
+        WHERE batch <> (SELECT DISTINCT batch FROM batches ORDER BY batch LIMIT 1 OFFSET 1)""",
     "sink_watermark": """SELECT count(*) AS n_rows, epoch_us(max(ts)) AS watermark, CAST(0 AS BIGINT) AS falls
         FROM events""",
     "commit_replay": """SELECT 'daily' AS query_id,

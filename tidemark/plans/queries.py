@@ -30,7 +30,7 @@ from tidemark.sources import cuts, scan
 from tidemark.sources.catalog import Catalog, latest_versions, visible_tables
 from tidemark.sources.declared import Computed, Declaration, Metadata, Physical
 from tidemark.sources.layout import EPOCH_BITS, StreamTable
-from tidemark.sources.names import StreamName
+from tidemark.sources.names import StreamName, split_name
 from tidemark.streaming import sinks
 from tidemark.streaming.follow import follow, run_until_end
 from tidemark.streaming.ordering import EventTimeOrdering
@@ -340,11 +340,12 @@ def append_only_split(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _segments_per_key(routed: DataFrame) -> DataFrame:
-    """Events and segments per routing key, counted per (key, segment) first."""
+    """Events and segments per routing key, counted per (key, segment) first, and whether the keys spread."""
     parts = routed.groupBy("routing_key", "segment").agg(F.count(F.lit(1)).alias("n"))
+    spread = routed.select("segment").distinct().limit(2).count() > 1
     return parts.groupBy("routing_key").agg(
         F.count(F.lit(1)).alias("n_segments"), F.sum("n").alias("n_events")
-    )
+    ).withColumn("spread", F.lit(spread))
 
 
 def route_by_key(spark: SparkSession, folder: str) -> DataFrame:
@@ -358,6 +359,25 @@ def route_by_expr(spark: SparkSession, folder: str) -> DataFrame:
     return _segments_per_key(routing.route(log, 16, key))
 
 
+def route_without_key(spark: SparkSession, folder: str) -> DataFrame:
+    """Events without a routing key: every segment gets its share."""
+    parts = routing.route(events_log(spark, folder).drop("segment"), 16).groupBy("segment").count()
+    return parts.agg(
+        F.sum("count").alias("n_events"), F.count(F.lit(1)).alias("n_segments"),
+        (F.max("count") <= 2 * F.min("count")).alias("even"),
+    )
+
+
+def stream_names(spark: SparkSession, folder: str) -> DataFrame:
+    """Sources as names: those with a slash are qualified, split on the first one only; the others get the default scope."""
+    documents = table(spark, folder, "documents")
+    wordy = F.col("doc_id") % 3
+    qualified = F.concat_ws("/", "lang", "source")
+    spec = F.when(wordy == 0, F.col("source")).when(wordy == 1, qualified).otherwise(F.concat(qualified, F.lit("/part")))
+    named = documents.select("doc_id", split_name(spec, "main").alias("name"))
+    return named.select("doc_id", "name.scope", "name.stream")
+
+
 # -- event time -----------------------------------------------------------------------------
 
 
@@ -473,6 +493,21 @@ def sink_watermark(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def sink_best_effort(spark: SparkSession, folder: str) -> DataFrame:
+    """Batches of ten days, one of which has a row that cannot be written: it is lost and counted, the others stay."""
+    stream = _new_stream(spark, "lossy")
+    rows = _stored_events(spark, folder).withColumn("batch", _ten_days_of("event_time"))
+    batches = [r["batch"] for r in rows.select("batch").distinct().orderBy("batch").collect()]
+    sink = sinks.StreamSink(stream, "lossy", sinks.BEST_EFFORT, key="routing_key")
+    for batch in batches:
+        part = rows.filter(F.col("batch") == batch).drop("batch")
+        if batch == batches[1]:
+            part = part.withColumn("event_type", F.raise_error(F.lit("a row that cannot be written")))
+        sink.write(part, batch)
+    kept = stream.read().select("event_id", "event_type")
+    return kept.withColumn("lost_batches", F.lit(sink.metrics.batches_failed).cast("bigint"))
+
+
 def commit_replay(spark: SparkSession, folder: str) -> DataFrame:
     """A job that stopped after staging one batch and after publishing another offers everything again.
 
@@ -808,6 +843,8 @@ QUERIES = {
         append_only_split,
         route_by_key,
         route_by_expr,
+        route_without_key,
+        stream_names,
         event_time_order,
         lower_bound_watermark,
         watermark_marks,
@@ -816,6 +853,7 @@ QUERIES = {
         ordered_write,
         sink_at_least_once,
         sink_exactly_once,
+        sink_best_effort,
         sink_watermark,
         commit_replay,
         delivery_audit,
