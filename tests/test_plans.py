@@ -5,6 +5,7 @@ import re
 import pytest
 
 import __spark_entry__ as entry_point
+from tidemark.operators import audit
 from tidemark.plans.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
@@ -23,8 +24,8 @@ def test_no_pairwise_joins_and_no_python(spark, name):
     plan = plan_of(entry_point.queries()[name](spark, FOLDER))
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "InPandas", "InArrow"):
         assert bad not in plan, bad
-    # Only tables of one row per epoch, counted beforehand, and plain row counts meet in one task.
-    if name not in ("lower_bound_watermark", "watermark_marks", "schema_to_json"):
+    # Only tables of one row per epoch, counted beforehand, of one row per segment, and plain row counts meet in one task.
+    if name not in ("lower_bound_watermark", "watermark_marks", "schema_to_json", "stored_backlog"):
         assert "SinglePartition" not in plan
 
 
@@ -42,8 +43,14 @@ def test_column_pruning(spark):
 def test_filters_reach_the_scan(spark):
     plan = plan_of(entry_point.queries()["multi_stream_union"](spark, FOLDER))
     assert "PushedFilters: [In(event_type, [click,view])" in plan
-    plan = plan_of(entry_point.queries()["commit_replay"](spark, FOLDER))
-    assert "LeftAnti" in plan
+    batches = spark.createDataFrame([("q", 1), ("q", 2)], "query_id string, batch_id bigint")
+    due = audit.uncommitted(batches, batches.filter("batch_id < 2"))
+    assert "LeftAnti" in plan_of(due) and [r.batch_id for r in due.collect()] == [2]
+
+
+def test_positions_read_no_events(spark):
+    plan = plan_of(entry_point.queries()["stored_tail_cut"](spark, FOLDER))
+    assert "event_id" not in plan and "ingest_epoch=" not in plan
 
 
 def test_scans_do_not_shuffle(spark):

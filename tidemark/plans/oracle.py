@@ -231,7 +231,8 @@ ORACLE = {
         FROM changes GROUP BY ALL""",
     "route_by_key": _per_key("CAST(user_id AS VARCHAR)"),
     "route_by_expr": _per_key("event_type || '-' || json_extract_string(props, '$.k')"),
-    "route_without_key": "SELECT count(*) AS n_events, CAST(16 AS BIGINT) AS n_segments, true AS even FROM events",
+    "route_without_key": """SELECT CAST(i AS INTEGER) AS segment, true AS fair FROM range(16) AS r(i)
+        WHERE EXISTS (SELECT * FROM events)""",
     "stream_names": """SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'main' ELSE lang END AS scope,
         CASE WHEN doc_id % 3 = 2 THEN source || '/part' ELSE source END AS stream FROM documents""",
     "event_time_order": f"""WITH {JITTERED} SELECT routing_key, "offset", event_time,
