@@ -211,7 +211,7 @@ def _rows(raw: bytes, kind, width: int) -> np.ndarray:
     return np.frombuffer(raw, kind).reshape(-1, width)
 
 
-def _packs(width: int, k: int):
+def _packs(width: int, k: int, size: int):
     """Packs a partition in order into blocks; a run of equal vectors keeps its first k + 1 ids."""
 
     def run(batches):
@@ -219,7 +219,7 @@ def _packs(width: int, k: int):
         for batch in batches:
             done = []
             for curve, key, same, vec_id, scale, loss, code, q, part in zip(*[c.to_pylist() for c in batch.columns]):
-                if block is None or block.curve != curve or len(block.ids) >= BLOCK:
+                if block is None or block.curve != curve or len(block.ids) >= size:
                     if block is not None:
                         done.append(block.row(width, k))
                     number = block.number + 1 if block is not None and block.curve == curve else 0
@@ -238,7 +238,7 @@ def _packs(width: int, k: int):
                     block.q_at.append(max(0, len(block.ids) - 1))
                     block.q.append(q)
                 last_id = vec_id
-                if len(block.q_ids) >= BLOCK:  # a run of copies that all ask
+                if len(block.q_ids) >= size:  # a run of copies that all ask
                     done.append(block.row(width, k))
                     block = _Block(curve, part, block.number + 1)
             if done:
@@ -355,7 +355,7 @@ class Index:
             .withColumn("part", F.spark_partition_id())
         )
         types = ", ".join(f"{f.name} {'int' if f.type == pa.int32() else 'binary'}" for f in BLOCKS)
-        packed = stored(entries.mapInArrow(_packs(self.width, k), types), "curves")
+        packed = stored(entries.mapInArrow(_packs(self.width, k, BLOCK), types), "curves")
         # Places run on over the partitions of a curve, of which there are as many as tasks wrote.
         sizes = packed.groupBy("curve", "part").agg(F.sum("n").alias("n"))
         before = Window.partitionBy("curve").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)

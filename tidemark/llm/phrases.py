@@ -58,7 +58,7 @@ LEAST_BYTES, MOST_BYTES, CHUNK = 1 << 16, 1 << 27, 1 << 16
 #: Tables of so many tasks are added up at a time.
 FAN = 64
 #: Distinct phrases a task holds before it hands them on, those it remembers to have named, bytes of text at a time.
-HELD = 1 << 18
+HELD = 1 << 20
 REMEMBERED = 1 << 19
 TEXT_BYTES = 1 << 20
 #: Longer words, in bytes, are hashed one by one.
@@ -125,14 +125,14 @@ class Words:
         return b" ".join(self.plain[self.starts[i] : self.ends[i]] for i in range(at, at + n))
 
 
-def _bounded(batches):
-    """Batches cut where their texts take more than ``TEXT_BYTES``; a row stays whole."""
+def _bounded(batches, most: int):
+    """Batches cut where their texts take more than ``most`` bytes; a row stays whole."""
     for batch in batches:
         sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy())
         begin = 0
         while begin < batch.num_rows:
             base = sizes[begin - 1] if begin else 0
-            end = max(begin + 1, int(np.searchsorted(sizes, base + TEXT_BYTES, "right")))
+            end = max(begin + 1, int(np.searchsorted(sizes, base + most, "right")))
             yield batch.slice(begin, end - begin)
             begin = end
 
@@ -140,18 +140,18 @@ def _bounded(batches):
 class Splitter:
     """Words of batches, a bounded number of bytes at a time; longer texts are cut between pieces."""
 
-    def __init__(self):
-        self.lanes = _Lane(2), _Lane(3)
+    def __init__(self, most: int):
+        self.most, self.lanes = most, (_Lane(2), _Lane(3))
 
     def __call__(self, batches):
-        for batch in _bounded(batches):
+        for batch in _bounded(batches, self.most):
             texts = [(x or "").encode("utf-8", "surrogatepass") for x in batch.column("text").to_pylist()]
             langs = [UNKNOWN if x is None else x for x in batch.column("lang").to_pylist()]
             begins = np.cumsum([0] + [len(t) + 1 for t in texts[:-1]])
             whole = b"\n".join(texts).translate(PLAIN)
             begin = 0
             while begin < len(whole):
-                end = whole.find(b"\n", begin + TEXT_BYTES)
+                end = whole.find(b"\n", begin + self.most)
                 end = len(whole) if end < 0 else end
                 yield self._words(whole[begin:end], begins - begin, langs)
                 begin = end
@@ -163,7 +163,8 @@ class Splitter:
         edges = np.flatnonzero(np.diff(np.r_[False, inside, False]))
         starts, ends = edges[::2], edges[1::2]
         piece = np.cumsum(ends_piece)[starts]
-        room = np.searchsorted(piece, piece, "right") - np.arange(len(piece))
+        last = np.flatnonzero(np.r_[piece[1:] != piece[:-1], True]) if len(piece) else piece
+        room = np.repeat(last, np.diff(np.r_[-1, last])) - np.arange(len(piece)) + 1
         document = np.searchsorted(begins, starts, "right") - 1
         seeds = np.array([language_seed(lang) for lang in langs], np.uint64)[document]
         lanes = tuple(mix(lane.hashes(plain, buffer, starts, ends) + seeds) for lane in self.lanes)
@@ -175,17 +176,17 @@ def longer(lanes: tuple, words: tuple, at: np.ndarray, n: int) -> tuple[np.ndarr
     return tuple(mix(lane[at] * MIX + word[at + n - 1] + np.uint64(n)) for lane, word in zip(lanes, words))
 
 
-def bits_of(h1: np.ndarray, h2: np.ndarray) -> list[np.ndarray]:
-    """The filter bits of phrases."""
-    size = np.uint64(FILTER_BITS - 1)
-    return [((h1 + np.uint64(i) * (h2 | np.uint64(1))) >> np.uint64(20)) & size for i in range(PROBES)]
+def bits_of(h1: np.ndarray, h2: np.ndarray, size: int) -> list[np.ndarray]:
+    """The bits of phrases in a filter of ``size`` bits, a power of two."""
+    mask = np.uint64(size - 1)
+    return [((h1 + np.uint64(i) * (h2 | np.uint64(1))) >> np.uint64(20)) & mask for i in range(PROBES)]
 
 
 def passes(filter_: np.ndarray | None, h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
     if filter_ is None:
         return np.zeros(len(h1), bool)
     out = np.ones(len(h1), bool)
-    for bit in bits_of(h1, h2):
+    for bit in bits_of(h1, h2, 64 * len(filter_)):
         out &= (filter_[bit >> np.uint64(6)] >> (bit & np.uint64(63))) & np.uint64(1) == 1
     return out
 
@@ -204,12 +205,12 @@ def pair_place(h1: np.ndarray, size: int) -> np.ndarray:
     return ((h1 * MIX) >> np.uint64(65 - size.bit_length())).astype(np.int64)
 
 
-def _pairs(size: int, least: int):
+def _pairs(size: int, least: int, most: int):
     """A task's table of pairs: how often each byte was hit, up to ``least``, in compressed chunks."""
 
     def run(batches):
         table = np.zeros(size, np.uint8)
-        for words in Splitter()(batches):
+        for words in Splitter(most)(batches):
             lane, at = words.lanes[:1], np.flatnonzero(words.room >= 2)
             place, hits = np.unique(pair_place(longer(lane, lane, at, 2)[0], size), return_counts=True)
             table[place] = np.minimum(table[place] + hits, least)
@@ -243,7 +244,7 @@ def heavy_pairs(docs: DataFrame, least: int = LEAST) -> np.ndarray | None:
     if words > FULL * size:
         return None
     schema = "chunk int, task int, bytes binary"
-    tables = stored(docs.select("text", "lang").mapInArrow(_pairs(size, least), schema), "pairs")
+    tables = stored(docs.select("text", "lang").mapInArrow(_pairs(size, least, TEXT_BYTES), schema), "pairs")
     most = (tables.agg(F.max("task")).first()[0] or 0) + 1
     while most > 1:
         # Of many tasks' tables a fixed number meet in one group at a time.
@@ -256,6 +257,15 @@ def heavy_pairs(docs: DataFrame, least: int = LEAST) -> np.ndarray | None:
     return np.packbits(bits)
 
 
+def packed(numbers: np.ndarray | None) -> bytes | None:
+    """A filter for a broadcast: few bits are set, so it packs well."""
+    return None if numbers is None else zlib.compress(numbers.tobytes(), 1)
+
+
+def unpacked(raw: bytes | None, kind) -> np.ndarray | None:
+    return None if raw is None else np.frombuffer(zlib.decompress(raw), kind)
+
+
 def is_heavy(heavy: np.ndarray | None, h1: np.ndarray) -> np.ndarray:
     if heavy is None:
         return np.ones(len(h1), bool)
@@ -291,12 +301,12 @@ def active(lanes, room, now, before, heavy, longest: int):
         at = on
 
 
-def _scan(filters, heavy, first_cycle: bool, longest: int):
+def _scan(filters, heavy, first_cycle: bool, longest: int, most: int):
     """Counts of what is within its cycle, words included in the first one."""
 
     def run(batches):
-        now, before = (None if f is None else np.frombuffer(f, np.uint64) for f in filters.value)
-        able = None if heavy.value is None else np.frombuffer(heavy.value, np.uint8)
+        now, before = (unpacked(f, np.uint64) for f in filters.value)
+        able = unpacked(heavy.value, np.uint8)
         held, size, totals = [], 0, {}
 
         def out(rows):
@@ -304,7 +314,7 @@ def _scan(filters, heavy, first_cycle: bool, longest: int):
             columns = [pa.array(signed(h1)), pa.array(signed(h2)), pa.array(n.astype(np.int32)), pa.array(c)]
             return pa.RecordBatch.from_arrays(columns, ["h1", "h2", "n", "c"])
 
-        for words in Splitter()(batches):
+        for words in Splitter(most)(batches):
             parts = [(1, None, words.lanes)] if first_cycle else []
             if first_cycle:
                 for at, many in zip(*np.unique(words.document, return_counts=True)):
@@ -318,7 +328,7 @@ def _scan(filters, heavy, first_cycle: bool, longest: int):
             if size > HELD:
                 held = [_sums(*(np.concatenate(x) for x in zip(*held)))]
                 size = len(held[0][0])
-                if size > HELD // 2:
+                if size > HELD * 3 // 4:
                     yield out(held[0])
                     held, size = [], 0
         if held:
@@ -334,10 +344,12 @@ def _scan(filters, heavy, first_cycle: bool, longest: int):
 def _filter_with(known: np.ndarray | None, reached: DataFrame) -> np.ndarray:
     """The filter with the phrases of ``reached`` added; what comes to the driver is at most the filter itself."""
 
+    size = FILTER_BITS if known is None else 64 * len(known)
+
     def run(batches):
         for batch in batches:
             h1, h2 = (batch.column(c).to_numpy().view(np.uint64) for c in ("h1", "h2"))
-            bits = np.unique(np.concatenate(bits_of(h1, h2)))
+            bits = np.unique(np.concatenate(bits_of(h1, h2, size)))
             at = np.flatnonzero(np.r_[True, np.diff(bits >> np.uint64(6)) != 0]) if len(bits) else np.zeros(0, int)
             value = np.left_shift(np.uint64(1), bits & np.uint64(63))
             value = np.bitwise_or.reduceat(value, at) if len(at) else value
@@ -345,7 +357,7 @@ def _filter_with(known: np.ndarray | None, reached: DataFrame) -> np.ndarray:
                 [pa.array((bits[at] >> np.uint64(6)).astype(np.int32)), pa.array(signed(value))], ["place", "value"]
             )
 
-    filter_ = np.zeros(FILTER_BITS // 64, np.uint64) if known is None else known.copy()
+    filter_ = np.zeros(size // 64, np.uint64) if known is None else known.copy()
     added = reached.select("h1", "h2").mapInArrow(run, "place int, value long")
     found = added.groupBy("place").agg(F.bit_or("value").alias("value")).toArrow()
     filter_[found.column("place").to_numpy()] |= found.column("value").to_numpy().view(np.uint64)
@@ -368,14 +380,14 @@ def count_phrases(spark: SparkSession, docs: DataFrame, texts: list[DataFrame],
     Rows of length 0 hold the number of words of a language, under the hash of its name.
     """
     heavy, shards = heavy_pairs(docs, least), len(texts)
-    heavy = spark.sparkContext.broadcast(None if heavy is None else heavy.tobytes())
+    heavy = spark.sparkContext.broadcast(packed(heavy))
     state, done = None, []
     filters: list[np.ndarray | None] = [None]
     scan, last_start = 0, 0
     while scan <= last_start + shards - 1:
         now, before = filters[scan], filters[scan - shards] if scan >= shards else None
-        raw = tuple(None if f is None else f.tobytes() for f in (now, before))
-        counted = texts[scan % shards].mapInArrow(_scan(spark.sparkContext.broadcast(raw), heavy, scan < shards, longest), COUNTS)
+        sent = spark.sparkContext.broadcast((packed(now), packed(before)))
+        counted = texts[scan % shards].mapInArrow(_scan(sent, heavy, scan < shards, longest, TEXT_BYTES), COUNTS)
         counted = counted.withColumn("since", F.lit(scan))
         if state is not None:
             counted = counted.withColumn("was", F.lit(0).cast("long")).unionByName(state)
@@ -387,6 +399,7 @@ def count_phrases(spark: SparkSession, docs: DataFrame, texts: list[DataFrame],
         # Whoever was first seen a cycle ago has been counted in every shard by now.
         over = F.col("since") <= scan - shards + 1
         total = stored(total.where(~over | (F.col("c") >= least) | (F.col("n") == 0)), "counts")
+        sent.unpersist()
         fresh = total.where((F.col("c") >= least) & (F.col("was") < least) & F.col("n").between(1, longest - 1))
         done.append(total.where(over).select("h1", "h2", "n", "c"))
         state = total.where(~over).select("h1", "h2", "n", "c", "since", F.col("c").alias("was"))
@@ -401,16 +414,16 @@ def count_phrases(spark: SparkSession, docs: DataFrame, texts: list[DataFrame],
     return stored(out, "frequent")
 
 
-def _named(filter_, longest: int):
+def _named(filter_, longest: int, most: int):
     """Texts of the phrases in the filter, most of them once a task."""
 
     def run(batches):
-        wanted = np.frombuffer(filter_.value, np.uint64)
+        wanted = unpacked(filter_.value, np.uint64)
         # What was told last under a slot; what is overwritten is told again.
         told = np.zeros((2, REMEMBERED), np.uint64)
         names = ["h1", "h2", "n", "lang", "phrase"]
         types = [pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.binary()]
-        for words in Splitter()(batches):
+        for words in Splitter(most)(batches):
             room, current, rows = words.room, words.lanes, []
             for n in range(1, longest + 1):
                 at = np.flatnonzero(room >= n)
@@ -449,19 +462,19 @@ def named_phrases(spark: SparkSession, docs: DataFrame, texts: list[DataFrame],
     """(lang, phrase binary, n, c) of the frequent phrases, and (lang, words) of each language.
 
     Any occurrence tells a phrase's text, so a part of the first shard is read for all of them, the shard for
-    those without a text yet, and all shards for what is left then.
+    those without a text yet, and the other shards for what is left then.
     """
     phrases, found = frequent.where("n > 0"), None
     few = texts[0].where(F.pmod(F.xxhash64("text"), F.lit(4)) == 0)
-    every = texts[0]
-    for part in texts[1:]:
-        every = every.unionByName(part)
-    for part in (few, texts[0], every):
+    rest = texts[1:2]
+    for part in texts[2:]:
+        rest = [rest[0].unionByName(part)]
+    for part in (few, texts[0], *rest):
         left = phrases if found is None else stored(phrases.join(found, ["h1", "h2", "n"], "left_anti"), "nameless")
         if left.isEmpty():
             break
-        wanted = spark.sparkContext.broadcast(_filter_with(None, left).tobytes())
-        told = part.mapInArrow(_named(wanted, longest), "h1 long, h2 long, n int, lang string, phrase binary")
+        wanted = spark.sparkContext.broadcast(packed(_filter_with(None, left)))
+        told = part.mapInArrow(_named(wanted, longest, TEXT_BYTES), "h1 long, h2 long, n int, lang string, phrase binary")
         # A phrase has one language and one text; those that only the filter took for wanted are dropped.
         told = told.dropDuplicates(["h1", "h2", "n"]).join(left.select("h1", "h2", "n"), ["h1", "h2", "n"], "left_semi")
         found = told if found is None else found.unionByName(told)

@@ -199,11 +199,11 @@ def _tiles(x: np.ndarray, rows: np.ndarray, axes: np.ndarray, leaves: int) -> li
     return out
 
 
-def leaves_of(ids: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def leaves_of(ids: np.ndarray, x: np.ndarray, size: int = LEAF) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(order of rows, first row of each leaf, least and greatest corner of each leaf)."""
     order = np.argsort(ids, kind="stable")
     axes = np.argsort(-x.astype(float).var(0), kind="stable")
-    tiles = [t for t in _tiles(x, order, axes, -(-len(ids) // LEAF)) if len(t)]
+    tiles = [t for t in _tiles(x, order, axes, -(-len(ids) // size)) if len(t)]
     starts = np.cumsum([0] + [len(t) for t in tiles[:-1]])
     rows = np.concatenate(tiles)
     return rows, starts, np.minimum.reduceat(x[rows], starts, axis=0), np.maximum.reduceat(x[rows], starts, axis=0)
@@ -215,12 +215,12 @@ PACKED = (
 )
 
 
-def _pack(width: int, kind, positives: int):
+def _pack(width: int, kind, positives: int, leaf: int):
     def run(key, rows):
         ids = rows.column("vec_id").to_numpy()
         x = np.frombuffer(b"".join(rows.column("code").to_pylist()), kind).reshape(-1, width).astype(np.int64)
         asks = rows.column("asks").to_numpy(zero_copy_only=False).astype(bool)
-        order, starts, lo, hi = leaves_of(ids, x)
+        order, starts, lo, hi = leaves_of(ids, x, leaf)
         ids, x, asks = ids[order], x[order], asks[order]
         q_ids, q = ids[asks], x[asks]
         # What the anchor's own subtree promises: its k-th best positive there.
@@ -270,7 +270,7 @@ class Tree:
         )
         one = coded.groupBy("vec_id").agg(F.min(F.struct("label", "code", "asks", "c0", "c1", "c2")).alias("r"))
         self.rows = stored(one.select("vec_id", "r.*"), "vectors")
-        self.packed = stored(self._tiled().groupBy(*KEY).applyInArrow(_pack(width, kind, positives), PACKED), "subtrees")
+        self.packed = stored(self._tiled().groupBy(*KEY).applyInArrow(_pack(width, kind, positives, LEAF), PACKED), "subtrees")
         self.subtrees = self.packed.select(*KEY, "ids", "codes", "starts", "lo", "hi")
         self.blocks = self.packed.where(F.length("q_ids") > 0).select(*KEY, "q_ids", "q", "kth")
         self.pages = max(1, -(-self.packed.count() // PAGE))
