@@ -45,7 +45,7 @@ from pyspark.sql.window import Window
 from tidemark.llm.common import MIX, mix, salted_join, signed
 from tidemark.settings import shared_folder, stored
 
-SHARDS = 4
+SHARDS = 3
 LEAST = 30
 LONGEST = 4
 FIRST = 2_000
@@ -141,7 +141,7 @@ class Splitter:
     """Words of batches, a bounded number of bytes at a time; longer texts are cut between pieces."""
 
     def __init__(self, most: int):
-        self.most, self.lanes = most, (_Lane(2), _Lane(3))
+        self.most, self.lane = most, _Lane(2)
 
     def __call__(self, batches):
         for batch in _bounded(batches, self.most):
@@ -167,7 +167,11 @@ class Splitter:
         room = np.repeat(last, np.diff(np.r_[-1, last])) - np.arange(len(piece)) + 1
         document = np.searchsorted(begins, starts, "right") - 1
         seeds = np.array([language_seed(lang) for lang in langs], np.uint64)[document]
-        lanes = tuple(mix(lane.hashes(plain, buffer, starts, ends) + seeds) for lane in self.lanes)
+        hashes = self.lane.hashes(plain, buffer, starts, ends)
+        # The second hash adds the first eight bytes themselves, which for most words is all of them.
+        eight = np.ndarray(len(plain), "<u8", plain + bytes(8), strides=(1,))[starts]
+        eight &= ~np.uint64(0) >> (np.uint64(8) * (8 - np.minimum(ends - starts, 8)).astype(np.uint64))
+        lanes = mix(hashes + seeds), mix((hashes ^ mix(eight)) * MIX + seeds)
         return Words(plain, starts, ends, lanes, room, langs, document)
 
 
@@ -284,10 +288,9 @@ def active(lanes, room, now, before, heavy, longest: int):
             return
         # ``current`` and ``passed`` are by place; phrases that do not fit are never looked at.
         on = at[passed[0][at] & passed[0][at + 1]]
-        grown = longer(current, lanes, on, n)
         if n == 2:
-            able = is_heavy(heavy, grown[0])
-            on, grown = on[able], tuple(g[able] for g in grown)
+            on = on[is_heavy(heavy, longer(lanes[:1], lanes[:1], on, n)[0])]
+        grown = longer(current, lanes, on, n)
         was_on = passed[1][on] & passed[1][on + 1]
         yield n, on[~was_on], tuple(g[~was_on] for g in grown)
         current = tuple(np.zeros(len(room), np.uint64) for _ in range(2))
