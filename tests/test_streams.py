@@ -207,6 +207,19 @@ def test_ordering_of_a_stream_matches_brute_force(spark, open_table, root, seed)
     assert seen == expected
 
 
+def test_a_silent_segment_loses_no_rows(spark, open_table, root):
+    """Segment 1 pauses for a batch; what it brings afterwards is not late."""
+    out = open_table("s/out").create("n bigint, key string, t bigint, shard int", 1)
+    sink = StreamSink(out, "job", EXACTLY_ONCE, key="key", order=["t", "n"])
+    batches = [[(0, 1, 10), (1, 2, 5)], [(0, 3, 100), (0, 4, 7)], [(1, 5, 6), (1, 6, 8), (0, 7, 101)], [(1, 8, 200)]]
+    for batch, rows in enumerate(batches):
+        # A new object each time, as after a restart.
+        ordered = EventTimeOrdering(sink, f"{root}/_state", "key", "t", segment="shard")
+        ordered.write(spark.createDataFrame([(s, n, "k", t) for s, n, t in rows], "shard int, n bigint, key string, t bigint"), batch)
+    ordered.finish()
+    assert [r.t for r in out.read().orderBy("offset").collect()] == [5, 6, 7, 8, 10, 100, 101, 200]
+
+
 def test_ordering_survives_a_stop_between_sink_and_state(spark, open_table, root, monkeypatch):
     out = open_table("s/out").create("n bigint, key string, t bigint, shard int", 1)
     sink = StreamSink(out, "job", EXACTLY_ONCE, key="key", order=["t", "n"])

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.times import micros, watermarked
-from tidemark.settings import stored
+from tidemark.settings import shared_folder
 from tidemark.sources.files import Files
 from tidemark.streaming.sinks import EXACTLY_ONCE, StreamSink
 
@@ -48,8 +48,8 @@ def hold_until_watermark(stream: DataFrame, key: str, time: str, arrival: str, d
 class EventTimeOrdering:
     """Use :meth:`write` with ``foreachBatch``; ``sink`` gets the rows that ordering emits.
 
-    The watermark after a micro-batch is the least over ``segment`` of the newest time delivered in
-    it, and never falls. ``state`` is a folder of the shared file system: per micro-batch the rows
+    The watermark after a micro-batch is the least over ``segment`` of the newest time that each has delivered
+    so far, and never falls: a silent segment holds it. ``state`` is a folder of the shared file system: per micro-batch the rows
     still held and the newest time emitted per key it changed. Every ``snapshot_every`` batches the
     latter are folded into one table.
     """
@@ -77,7 +77,10 @@ class EventTimeOrdering:
             raise ValueError(f"ordering was finished after batch {finished}: batch {batch_id} was not written")
         before = self._latest()
         if before is None or before < batch_id:
-            self._step(stored(rows, "micro-batch"), batch_id)
+            folder = shared_folder(self.spark, "micro-batch")
+            rows.write.parquet(folder)
+            self._step(self.spark.read.schema(rows.schema).parquet(folder), batch_id)
+            self.files.remove(folder)
 
     def finish(self) -> None:
         """Emit everything still held, as the end of a bounded input does.
@@ -143,8 +146,14 @@ class EventTimeOrdering:
         in_force = None if note is None else note["watermark"]
 
         arrived = rows.withColumn("_t", micros(rows, self.time))
-        newest = arrived.groupBy(self.segment).agg(F.max("_t").alias("_newest"))
-        bound = newest.agg(F.min("_newest")).first()[0]
+        # One row a segment; one that is silent in this batch keeps the newest time it had.
+        seen = arrived.groupBy(F.col(self.segment).cast("string").alias("_s")).agg(F.max("_t").alias("_newest")).collect()
+        newest = {} if note is None else dict(note.get("newest", {}))
+        for r in seen:
+            if r["_newest"] is not None:
+                name = f"segment {r['_s']}"
+                newest[name] = max(r["_newest"], newest.get(name, r["_newest"]))
+        bound = min(newest.values(), default=None)
         grew = bound is not None and (in_force is None or bound > in_force)
         watermark = bound if grew else in_force
 
@@ -168,7 +177,7 @@ class EventTimeOrdering:
             delta, snapshot = self._newest(self._emitted(note, before).unionByName(delta)), batch_id
         delta.write.mode("overwrite").parquet(f"{folder}/emitted")
         self.sink.write(fired.drop("_fires", "_t"), batch_id)
-        self.files.create(f"{folder}/done.json", json.dumps({"watermark": watermark, "snapshot": snapshot}))
+        self.files.create(f"{folder}/done.json", json.dumps({"watermark": watermark, "snapshot": snapshot, "newest": newest}))
         self._forget(snapshot, batch_id)
 
     def _forget(self, snapshot: int, batch_id: int) -> None:
