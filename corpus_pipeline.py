@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import chaining, cuckoo, language, minhash, packing
-from tidemark.llm.common import free_name, table
+from tidemark.llm.common import free_name, release, table
 from tidemark.llm.queries import vocabulary
 from tidemark.settings import shared_folder
 
@@ -33,6 +33,7 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    release(spark)  # the shuffles of the stage before; the next one calls it itself
     return minhash.kept_documents(docs)
 
 
@@ -41,6 +42,7 @@ def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    release(spark)
     return packing.pack(docs, vocabulary("word_bpe_49k.json"))
 
 
