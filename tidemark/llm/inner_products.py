@@ -9,7 +9,8 @@ the product of the residual norms (Cauchy-Schwarz) bounds each score from above;
 components, pairs under the query's bound are dropped, and what is left is scored in whole numbers. Floating
 point only prunes, with a margin above its rounding error.
 
-Query blocks meet candidate blocks through an equi-join on the band; a block's results, at most k a query, are ranked
+Query blocks meet candidate blocks through a shuffled equi-join on the band, never a broadcast: a packed block is far
+larger in memory than in its file, which the planner goes by. A block's results, at most k a query, are ranked
 again at the end.
 
 Defined cases: a row whose vector is null or holds null or non-finite components takes no part, nor does one with
@@ -33,6 +34,8 @@ from tidemark.settings import stored
 SCALE = 1024
 BLOCK = 4_096
 QUERY_BLOCK = 2_048
+#: Queries of a block whose products are in memory at once.
+QUERY_ROWS = 512
 BANDS = 256
 SEEDS = 2_048
 #: Shares of the rotated components after which pairs are dropped.
@@ -198,14 +201,15 @@ def top_products(vectors: DataFrame, is_query, k: int = 10) -> DataFrame:
     def meet(batches):
         for batch in batches:
             for r in batch.to_pylist():
-                numbers = [np.frombuffer(r[c], np.int64) for c in ("q_ids", "q", "ids", "matrix")]
-                found = best_of_block(
-                    numbers[0], numbers[1].reshape(-1, width), np.frombuffer(r["bound"], float),
-                    numbers[2], numbers[3].reshape(-1, width), turn.value, k,
-                )
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], ["query_id", "vec_id", "score"])
-
-    met = queries.withColumn("band", F.explode("visits")).drop("visits").join(candidates.drop("top"), "band")
+                q_ids, q, c_ids, c = (np.frombuffer(r[c], np.int64) for c in ("q_ids", "q", "ids", "matrix"))
+                q, c, bound = q.reshape(-1, width), c.reshape(-1, width), np.frombuffer(r["bound"], float)
+                for begin in range(0, len(q_ids), QUERY_ROWS):
+                    some = slice(begin, begin + QUERY_ROWS)
+                    found = best_of_block(q_ids[some], q[some], bound[some], c_ids, c, turn.value, k)
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], ["query_id", "vec_id", "score"])
+
+    visits = queries.withColumn("band", F.explode("visits")).drop("visits")
+    met = visits.join(candidates.drop("top").hint("merge"), "band")
     rows_at_once(met, 4)
     found = stored(met.mapInArrow(meet, schema), "products")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
