@@ -1,11 +1,13 @@
 """What grows with the input: blocks are not broadcast, shuffles go when a table is written, chance costs little."""
 
-import glob
+import time
 
 import numpy as np
 from pyspark.sql import functions as F
 
-from tidemark.llm import inner_products
+from tests.llm.test_against_brute_force import brute_removed
+from tidemark.llm import common, inner_products, suffixes
+from tidemark.settings import stored
 
 
 def plan_of(df):
@@ -28,3 +30,57 @@ def test_blocks_of_vectors_are_never_broadcast(spark, monkeypatch):
     for q in range(0, 700, 70):
         own = sorted((-scores[q, c], c) for c in range(700) if c != q)[:3]
         assert [(-r["score"], r["vec_id"]) for r in sorted(found, key=lambda r: r["rank"]) if r["query_id"] == q] == own
+
+
+def shuffle_files(spark):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    names = (files.apply(i).getName() for i in range(files.size()))
+    return {n for n in names if n.startswith("shuffle_")}
+
+
+def test_shuffles_of_stored_tables_go_with_the_write(spark):
+    for store in (stored, common.compact):
+        before = shuffle_files(spark)
+        kept = [store(spark.range(5_000).repartition(7, "id").groupBy((F.col("id") % 99).alias("k")).count(), "t")]
+        for _ in range(40):
+            if not (left := shuffle_files(spark) - before):
+                break
+            time.sleep(0.25)
+        assert not left
+        assert kept[0].count() == 99
+
+
+def test_anchor_runs_shared_by_chance_are_not_compared(spark, monkeypatch):
+    """Texts share lines of 30 bytes, which hold anchor runs but no window; few share a window."""
+    random = np.random.default_rng(62)
+    letters = lambda n: "".join(chr(97 + c) for c in random.integers(0, 26, n))
+    lines = [letters(30) for _ in range(6)]
+    texts = {d: "".join(letters(150) + lines[i] for i in random.integers(0, 6, 8)) for d in range(60)}
+    cuts, compared = [], suffixes._compared
+    monkeypatch.setattr(suffixes, "_compared", lambda c: cuts.append(c.count()) or compared(c))
+    table = lambda: spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    assert {r["n_removed"] for r in suffixes.removed(table()).collect()} == {0}
+    assert cuts == [0]
+    for d in range(1, 30):  # windows at all places beside the lines
+        at, n = int(random.integers(0, 1_000)), int(random.integers(100, 180))
+        texts[d + 30] = texts[d + 30][:at] + texts[d][at : at + n] + texts[d + 30][at + n :]
+    for spread, group in ((2, 3), (suffixes.SPREAD, suffixes.GROUP)):
+        monkeypatch.setattr(suffixes, "SPREAD", spread)
+        monkeypatch.setattr(suffixes, "GROUP", group)
+        assert {r["doc_id"]: r["n_removed"] for r in suffixes.removed(table()).collect()} == brute_removed(texts)
+
+
+def test_every_window_is_told_by_a_side():
+    """Entries of two texts that share a window share the anchor run and one side of it."""
+    random = np.random.default_rng(63)
+    for _ in range(200):
+        shared = random.bytes(100)
+        sides = []
+        for _ in range(2):
+            raw = random.bytes(int(random.integers(0, 90))) + shared + random.bytes(int(random.integers(0, 90)))
+            found = {}
+            for mer, _, _, _, _, both in suffixes.entries(raw):
+                for m, x in zip(mer.tolist(), both.tolist(), strict=True):
+                    found.setdefault(m, set()).update({("left", x >> 32), ("right", x & 0xFFFFFFFF)} - {("left", 0), ("right", 0)})
+            sides.append(found)
+        assert any(sides[0][m] & sides[1][m] for m in sides[0].keys() & sides[1].keys())

@@ -8,14 +8,16 @@ have the same anchor at the same offset, so entries with different anchor runs s
 Entries are dealt by the hash of their anchor run and reach a task in document order. The task keeps a family of
 suffix arrays, sorted by anchor run and then by the whole stretch, both as fingerprints: each batch gets its own
 array, is merge-scanned against the existing levels, and levels of equal size merge, so that n entries lie in
-about log n levels. An entry whose whole stretch is in an earlier array repeats in all its windows. What is left
-are entries that share the anchor run but not the whole stretch: their bytes are cut out of the texts and
+about log n levels. An entry whose whole stretch is in an earlier array repeats in all its windows. A window holds
+``SIDE`` bytes to the left of its anchor run or as many to the right, so what is left are entries that share the
+anchor run with the bytes on one side of it, but not the whole stretch: their bytes are cut out of the texts and
 compared from the anchor to both sides, pair by pair in small groups and window by window, through
-128-bit hashes, in groups of more than ``GROUP``.
+128-bit hashes, in groups of more than ``GROUP``. Those that share the anchor run by chance, which most do in
+a large table, end here.
 
 Before the shuffle, a task folds equal stretches of its own texts, and sends at most ``SPREAD`` stretches with one
-anchor run to the arrays; more of them are known to repeat and go to the comparison at once. So no hot string
-gathers its rows in one task.
+anchor run to the arrays; more of them are known to repeat and go to the comparison at once, with all entries of
+that anchor run. So no hot string gathers its rows in one task.
 
 Defined cases: a null text is empty; matches never cross documents; a text below 100 bytes loses nothing; of
 equal strings the first by (doc_id, start) stays; of rows with the same doc_id, and of those with a null one,
@@ -33,11 +35,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import in_batches, mix, rows_at_once, salted_join, signed, slices, texts
+from tidemark.llm.common import compact, discard, in_batches, mix, rows_at_once, salted_join, signed, slices, texts
 from tidemark.settings import stored
 
 WINDOW, MER = 100, 24
 WIDTH = WINDOW - MER + 1
+#: A window has this many bytes at least on one side of its anchor run.
+SIDE = (WINDOW - MER) // 2
 #: Bytes of a text that are looked at together; the next piece starts with the next window.
 PIECE = 1 << 18
 #: Text that a task folds together before it sends entries on.
@@ -47,9 +51,11 @@ GROUP = 64
 #: Entries of a new batch in the family of arrays, and those planned for one task.
 BATCH = 1 << 16
 TASK_ENTRIES = 600_000
-ENTRY = "mer long, ctx long, doc_id long, span long"
-#: A stretch of windows as one number: the first start and how many (at most WIDTH).
-SHIFT = 8
+ENTRY = "mer long, ctx long, doc_id long, span long, sides long"
+#: A stretch of windows as one number: the first start and how many (at most WIDTH). HOT says of an entry that others
+#: with its anchor run went to the comparison at once.
+SHIFT, HOT = 8, 1 << 7
+LOW = np.uint64(0xFFFFFFFF)
 
 _random = np.random.default_rng(42)
 TABLES = _random.integers(1, 1 << 63, (2, 256), dtype=np.uint64)
@@ -87,7 +93,11 @@ class Prints:
 
 
 def entries(raw: bytes) -> Iterator[tuple[np.ndarray, ...]]:
-    """(mer, ctx, first start, number of windows, anchor) of all entries of a text, piece by piece."""
+    """(mer, ctx, first start, number of windows, anchor, sides) of all entries of a text, piece by piece.
+
+    ``sides`` has 32 bits each of the anchor run with SIDE bytes to its left and to its right, 0 where no window of the
+    entry holds these.
+    """
     data = np.frombuffer(raw, np.uint8)
     low = np.uint64((1 << 20) - 1)
     for offset in range(0, len(data) - WINDOW + 1, PIECE):
@@ -107,11 +117,15 @@ def entries(raw: bytes) -> Iterator[tuple[np.ndarray, ...]]:
         end = np.concatenate([begin[1:], [len(anchor)]])
         at = anchor[begin]
         ctx = prints.of(begin, end + WINDOW - 1) ^ mix((at - begin).astype(np.uint64))
-        yield mers[at], ctx, begin + offset, end - begin, at + offset
+        left = prints.of(np.maximum(at - SIDE, 0), at + MER) >> np.uint64(32) | np.uint64(1)
+        right = prints.of(at, np.minimum(at + MER + SIDE, len(part))) >> np.uint64(32) | np.uint64(1)
+        left[at - begin < SIDE], right[at - end + 1 > SIDE] = 0, 0
+        yield mers[at], ctx, begin + offset, end - begin, at + offset, left << np.uint64(32) | right
 
 
-def _fold(mer, ctx, doc, span) -> tuple[np.ndarray, np.ndarray]:
-    """(covered, direct): rows whose stretch an earlier row has, and stretches beyond SPREAD with one anchor run."""
+def _fold(mer, ctx, doc, span) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(covered, direct, hot): rows whose stretch an earlier row has, stretches beyond SPREAD with one anchor run, and the
+    others with that anchor run."""
     order = np.lexsort((span, doc, ctx, mer))
     m, c = mer[order], ctx[order]
     new_mer = np.concatenate([[True], m[1:] != m[:-1]])
@@ -119,10 +133,12 @@ def _fold(mer, ctx, doc, span) -> tuple[np.ndarray, np.ndarray]:
     covered = np.zeros(len(mer), bool)
     covered[order[~new]] = True
     kept, starts = order[new], np.flatnonzero(new_mer[new])
-    place = np.arange(len(kept)) - np.repeat(starts, np.diff(np.append(starts, len(kept))))
-    direct = np.zeros(len(mer), bool)
+    sizes = np.diff(np.append(starts, len(kept)))
+    place = np.arange(len(kept)) - np.repeat(starts, sizes)
+    direct, hot = np.zeros(len(mer), bool), np.zeros(len(mer), bool)
     direct[kept[place >= SPREAD]] = True
-    return covered, direct
+    hot[kept[(place < SPREAD) & np.repeat(sizes > SPREAD, sizes)]] = True
+    return covered, direct, hot
 
 
 def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,23 +147,24 @@ def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     size = 0
 
     def flush():
-        mer, ctx, doc, span = (np.concatenate(x) for x in zip(*held, strict=True))
-        covered, direct = _fold(mer, ctx, doc, span)
+        mer, ctx, doc, span, sides = (np.concatenate(x) for x in zip(*held, strict=True))
+        covered, direct, hot = _fold(mer, ctx, doc, span)
         folded = covered | direct
+        span = np.where(hot, span | HOT, span)
         ctx = np.where(folded, direct.astype(np.uint64), ctx)
         deal = np.where(folded, mix(doc.view(np.uint64)), mer)
         return pa.RecordBatch.from_arrays(
             [pa.array(signed(mer), mask=folded), pa.array(signed(ctx)), pa.array(doc), pa.array(span),
-             pa.array((deal >> np.uint64(33)).astype(np.int64))],
-            ["mer", "ctx", "doc_id", "span", "deal"],
+             pa.array(signed(sides), mask=folded), pa.array((deal >> np.uint64(33)).astype(np.int64))],
+            ["mer", "ctx", "doc_id", "span", "sides", "deal"],
         )
 
     for batch in slices(batches):
         for doc, text in zip(batch.column("row").to_pylist(), texts(batch), strict=True):
             raw = text.encode("utf-8", "surrogatepass")
             size += len(raw)
-            for mer, ctx, first, n, _ in entries(raw):
-                held.append([mer, ctx, np.full(len(mer), doc, np.int64), (first << SHIFT) | n])
+            for mer, ctx, first, n, _, sides in entries(raw):
+                held.append([mer, ctx, np.full(len(mer), doc, np.int64), (first << SHIFT) | n, sides])
             if size >= FOLD_BYTES:
                 if held:
                     yield flush()
@@ -160,7 +177,8 @@ class Levels:
     """A family of suffix arrays of growing size over (mer, ctx)."""
 
     def __init__(self):
-        self.levels: list[tuple[np.ndarray, ...]] = []  # (key, mer, ctx, doc, span), largest first
+        self.levels: list[tuple[np.ndarray, ...]] = []  # (key, mer, ctx, doc, span, sides), largest first
+        self.hot: list[np.ndarray] = []  # anchor runs of which entries went to the comparison at once
 
     @staticmethod
     def key(mer: np.ndarray, ctx: np.ndarray) -> np.ndarray:
@@ -168,18 +186,23 @@ class Levels:
         high = np.uint64(0xFFFFFFFF00000000)
         return (mer & high) | (ctx >> np.uint64(32))
 
-    def add(self, mer, ctx, doc, span) -> np.ndarray:
-        """Which rows of a batch, in document order, repeat an earlier stretch; the others enter the family."""
+    def add(self, mer, ctx, doc, span, sides=None) -> np.ndarray:
+        """Which rows of a batch, in document order, repeat an earlier stretch; the others enter the family. Without
+        ``sides``, entries with one anchor run count as sharing them."""
         key = self.key(mer, ctx)
+        sides = np.full(len(key), 1, np.uint64) if sides is None else sides
+        if (hot := span & HOT != 0).any():
+            self.hot.append(np.unique(mer[hot]))
+            span = span & ~HOT
         order = np.lexsort((np.arange(len(key)), ctx, mer, key))
-        mer, ctx, doc, span, key = (x[order] for x in (mer, ctx, doc, span, key))
+        mer, ctx, doc, span, key, sides = (x[order] for x in (mer, ctx, doc, span, key, sides))
         hit = np.concatenate([[False], (mer[1:] == mer[:-1]) & (ctx[1:] == ctx[:-1])])
         for level in self.levels:
             at = np.minimum(np.searchsorted(level[0], key), len(level[0]) - 1)
             hit |= (level[1][at] == mer) & (level[2][at] == ctx)
         fresh = ~hit
         if fresh.any():
-            self.levels.append(tuple(x[fresh] for x in (key, mer, ctx, doc, span)))
+            self.levels.append(tuple(x[fresh] for x in (key, mer, ctx, doc, span, sides)))
             while len(self.levels) > 1 and len(self.levels[-2][0]) < 2 * len(self.levels[-1][0]):
                 self.merge()
         out = np.zeros(len(hit), bool)
@@ -192,14 +215,19 @@ class Levels:
         self.levels.append(tuple(np.insert(x, at, y) for x, y in zip(a, b, strict=True)))
 
     def shared(self) -> tuple[np.ndarray, np.ndarray]:
-        """(doc, span) of the entries whose anchor run another one has."""
+        """(doc, span) of the entries whose anchor run another one has, with the bytes on one side of it; and of all those of a
+        hot anchor run."""
         while len(self.levels) > 1:
             self.merge()
         if not self.levels:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        key, _, _, doc, span = self.levels[0]
-        same = (key[1:] >> np.uint64(32)) == (key[:-1] >> np.uint64(32))
-        both = np.concatenate([same, [False]]) | np.concatenate([[False], same])
+        _, mer, _, doc, span, sides = self.levels[0]
+        both = np.isin(mer, np.unique(np.concatenate(self.hot))) if self.hot else np.zeros(len(mer), bool)
+        for side in (sides >> np.uint64(32), sides & LOW):
+            at = np.flatnonzero(side)
+            at = at[np.lexsort((side[at], mer[at]))]
+            same = np.flatnonzero((mer[at[1:]] == mer[at[:-1]]) & (side[at[1:]] == side[at[:-1]]))
+            both[at[same]] = both[at[same + 1]] = True
         return doc[both], span[both]
 
 
@@ -227,9 +255,10 @@ def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if own.any():
             mer = mer_column.fill_null(0).to_numpy()[own].view(np.uint64)
             doc, span = doc[own], span[own]
-            hit = family.add(mer, ctx[own].view(np.uint64), doc, span)
+            sides = batch.column("sides").fill_null(0).to_numpy()[own].view(np.uint64)
+            hit = family.add(mer, ctx[own].view(np.uint64), doc, span, sides)
             if hit.any():
-                yield out(doc[hit], span[hit], True)
+                yield out(doc[hit], span[hit] & ~HOT, True)
     doc, span = family.shared()
     for i in range(0, len(doc), BATCH):
         yield out(doc[i : i + BATCH], span[i : i + BATCH], False)
@@ -246,7 +275,7 @@ def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             batch.column("row").to_pylist(), texts(batch), batch.column("spans").to_pylist(), strict=True
         ):
             raw, wanted = text.encode("utf-8", "surrogatepass"), np.array(wanted, np.int64)
-            for mer, _, first, n, anchor in entries(raw):
+            for mer, _, first, n, anchor, _ in entries(raw):
                 span = (first << SHIFT) | n
                 for i in np.flatnonzero(np.isin(span, wanted)).tolist():
                     b = int(first[i])
@@ -312,7 +341,7 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _compared(cuts: DataFrame) -> DataFrame:
-    """(doc_id, span) of the windows that repeat, from the cut-outs (mer, doc_id, span, anchor, bytes)."""
+    """(doc_id, span) of the windows that repeat, stored, from the cut-outs (mer, doc_id, span, anchor, bytes)."""
     large = stored(cuts.groupBy("mer").count().where(F.col("count") > GROUP).select("mer"), "large")
     small = cuts.join(large, "mer", "left_anti").repartition("mer").sortWithinPartitions("mer", "doc_id", "span")
     rows_at_once(cuts, 5_000)
@@ -320,13 +349,16 @@ def _compared(cuts: DataFrame) -> DataFrame:
     windows = cuts.join(large, "mer", "left_semi").select("doc_id", "span", "bytes").mapInArrow(
         _windows, "x long, y long, doc_id long, start long"
     )
-    windows = stored(windows.select(F.struct("x", "y").alias("content"), "doc_id", "start"), "windows")
+    windows = compact(windows.select(F.struct("x", "y").alias("content"), "doc_id", "start"), "windows")
     if windows.isEmpty():
-        return by_pair
+        return compact(by_pair, "compared")
     first = windows.groupBy("content").agg(F.min(F.struct("doc_id", "start")).alias("first"), F.count("*").alias("n"))
     first = stored(first.where("n > 1").select("content", "first"), "first")
     by_window = salted_join(windows, first, "content").where(F.struct("doc_id", "start") > F.col("first"))
-    return by_pair.union(by_window.select("doc_id", (F.shiftleft("start", SHIFT) + 1).alias("span")))
+    both = by_pair.union(by_window.select("doc_id", (F.shiftleft("start", SHIFT) + 1).alias("span")))
+    both = compact(both, "compared")
+    discard(windows, first)
+    return both
 
 
 # -- the whole -------------------------------------------------------------------------------------------
@@ -374,7 +406,7 @@ def repeated(documents: DataFrame) -> DataFrame:
     dealt = in_batches(documents, _entries, f"{ENTRY}, deal long")
     dealt = dealt.repartition(tasks, "deal").drop("deal").sortWithinPartitions("doc_id", "span")
     rows_at_once(dealt, BATCH)
-    found = stored(dealt.mapInArrow(_index, "doc_id long, span long, covered boolean"), "entries")
+    found = compact(dealt.mapInArrow(_index, "doc_id long, span long, covered boolean"), "entries")
     wanted = found.where(~F.col("covered")).groupBy(F.col("doc_id").alias("row")).agg(
         F.collect_list("span").alias("spans")
     )
@@ -382,7 +414,9 @@ def repeated(documents: DataFrame) -> DataFrame:
         documents.join(wanted, "row"), _cut_out,
         "mer long, doc_id long, span long, anchor int, bytes binary",
     )
-    more = stored(_compared(stored(cuts, "cuts")), "compared")
+    cuts = compact(cuts, "cuts")
+    more = _compared(cuts)
+    discard(cuts)
     return found.where("covered").select("doc_id", "span").union(more).toDF("row", "span")
 
 
