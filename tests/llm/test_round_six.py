@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from tests.llm.test_against_brute_force import brute_removed
-from tidemark.llm import common, inner_products, suffixes
+from tidemark.llm import chaining, common, inner_products, suffixes
 from tidemark.settings import stored
 
 
@@ -84,3 +84,34 @@ def test_every_window_is_told_by_a_side():
                     found.setdefault(m, set()).update({("left", x >> 32), ("right", x & 0xFFFFFFFF)} - {("left", 0), ("right", 0)})
             sides.append(found)
         assert any(sides[0][m] & sides[1][m] for m in sides[0].keys() & sides[1].keys())
+
+
+def test_passages_are_the_same_in_parts(spark, monkeypatch):
+    """Where pairs and contexts would take more than the words, they are done in parts, and nothing else changes."""
+    random = np.random.default_rng(64)
+    some = lambda n: ["".join(chr(97 + c) for c in random.integers(0, 26, 7)) for _ in range(n)]
+    line, copied, texts = some(8), [some(60) for _ in range(4)], []
+    for d in range(40):
+        own = list(copied[d % 4]) if d % 3 else some(20)
+        if d % 5 == 0:
+            own[7::9] = some(len(own[7::9]))
+        texts.append((d, " ".join([*some(60), *line, *some(60), *own, *some(30)])))
+    table = spark.createDataFrame(texts, "doc_id long, text string")
+    chained, met, tables = [], [], {}
+    chains_of = chaining._chains_of
+    meetings = chaining._beside_words
+    monkeypatch.setattr(chaining, "_chains_of", lambda found: chained.append(1) or chains_of(found))
+    monkeypatch.setattr(
+        chaining, "_beside_words", lambda *a: met.append(a[3] is chaining._contexts) or meetings(*a))
+    for parts in (1, 2):
+        monkeypatch.setattr(chaining, "_rounds", lambda size, room: parts, raising=False)
+        chained.clear(), met.clear()
+        tables[parts] = {tuple(r) for r in chaining.passages(table).collect()}, len(chained), sum(met)
+    assert len(tables[1][0]) > 20 and tables[1][0] == tables[2][0]
+    assert tables[1][1:] == (2, 1) and tables[2][1:] == (3, 2)
+
+
+def test_parts_grow_with_the_pairs():
+    room = chaining.LEAST_ROOM
+    assert [chaining._rounds(n, 0) for n in (0, 1, room, room + 1)] == [1, 1, 1, 2]
+    assert chaining._rounds(9 * room, 3 * room) == 3
