@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from tests.llm.test_against_brute_force import brute_removed
-from tidemark.llm import chaining, common, inner_products, suffixes
+from tidemark.llm import chaining, common, inner_products, suffixes, toxicity
 from tidemark.settings import stored
 
 
@@ -115,3 +115,15 @@ def test_parts_grow_with_the_pairs():
     room = chaining.LEAST_ROOM
     assert [chaining._rounds(n, 0) for n in (0, 1, room, room + 1)] == [1, 1, 1, 2]
     assert chaining._rounds(9 * room, 3 * room) == 3
+
+
+def test_large_tables_are_learnt_from_as_often_as_small_ones(spark, monkeypatch):
+    rounds, round_ = [], toxicity._round
+    monkeypatch.setattr(toxicity, "_round", lambda *a: rounds.append(1) or round_(*a))
+    monkeypatch.setattr(toxicity, "LEAST_STEPS", 100, raising=False)
+    documents = spark.range(900).select(
+        F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "some vile words").otherwise("some fair words").alias("text")
+    )
+    model = toxicity.learn(documents, documents.select("doc_id", (F.col("doc_id") % 3 == 0).cast("int").alias("toxic")))
+    assert len(rounds) == toxicity.EPOCHS
+    assert model.score("some vile words") >= toxicity.THRESHOLD > model.score("some fair words")
